@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The workload reelhouse mirrors is a daily full-refresh batch (one run per day,
+bronze -> gold -> checks).  It has no streams, watermarks, windows over event
+time or stateful operators, so none are offered here.  A daily run is driven by
+``reelhouse.plans.pipeline.run`` from any scheduler; incremental raw snapshots
+are kept by run date with ``reelhouse.sources.sinks.write_run`` /
+``read_latest``.
+"""
