@@ -54,7 +54,8 @@ def tmdb_raw(filtered: DataFrame, observation: Observation | None = None) -> Dat
         c: F.coalesce(F.col(c).try_cast(t), num(c).try_cast(t))
         for c, t in numeric.items() if c in df.columns
     })
-    out = enforce(df, schemas.TMDB_RAW)
+    # Text columns absent from the file are stored as '' like present ones.
+    out = fill_text(enforce(df, schemas.TMDB_RAW), FILM_TEXT)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     return out
