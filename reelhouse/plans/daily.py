@@ -110,7 +110,7 @@ def run_daily(
                                  partitions=raw_partitions) if basics_tsv else None)
 
     loaded = Observation("tmdb_loaded")
-    b = build_bronze(films_raw, crew_raw, names_raw, basics_raw, observation=loaded)
+    b = build_bronze(films_raw, crew_raw, names_raw, basics_raw)
     layout = {
         "tmdb_raw": ("imdb_id",), "imdb_title_crew_raw": ("tconst",),
         "imdb_name_basics_raw": ("nconst",), "imdb_title_basics_raw": ("tconst",),
@@ -119,7 +119,8 @@ def run_daily(
     if b.basics is not None:
         frames["imdb_title_basics_raw"] = b.basics
     for name, df in frames.items():
-        sinks.overwrite(df, f"{root}/bronze/{name}", sort_by=layout[name], max_rows_per_file=500_000)
+        sinks.overwrite(df, f"{root}/bronze/{name}", sort_by=layout[name], max_rows_per_file=500_000,
+                        observation=loaded if name == "tmdb_raw" else None)
     read = {n: spark.read.parquet(f"{root}/bronze/{n}") for n in frames}
     bronze = Bronze(read["tmdb_raw"], read["imdb_title_crew_raw"], read["imdb_name_basics_raw"],
                     read.get("imdb_title_basics_raw"))

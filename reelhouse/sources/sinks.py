@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -24,6 +24,7 @@ def overwrite(
     max_rows_per_file: int | None = None,
     as_table: bool = False,
     partitions: int | None = None,
+    observation: Observation | None = None,
 ) -> None:
     """Replace ``target`` (a path, or a table name with ``as_table``) with ``df``.
 
@@ -32,6 +33,9 @@ def overwrite(
     ``partition_by``      one directory per value (pruned at read time).
     ``max_rows_per_file`` cap rows per output file (bounded write batches).
     ``partitions``        number of range partitions for ``sort_by``.
+    ``observation``       collects the written row count during the write.  It
+                          is attached above the range exchange, so the
+                          boundary-sampling pass does not count rows twice.
 
     Spark cannot overwrite a path it is reading in the same plan: write to a
     new path (or table) and swap, never over the input.
@@ -41,6 +45,8 @@ def overwrite(
         keys = [F.col(c).asc_nulls_last() for c in sort_by]
         out = (out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys))
         out = out.sortWithinPartitions(*keys)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
