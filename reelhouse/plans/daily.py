@@ -20,6 +20,7 @@ from reelhouse.plans import dims as D
 from reelhouse.plans.fact import fact_movie_performance
 from reelhouse.plans.views import view_full, view_limited
 from reelhouse.sources import files, sinks
+from reelhouse.sources.catalog import Catalog
 
 
 @dataclass
@@ -121,17 +122,18 @@ def run_daily(
     for name, df in frames.items():
         sinks.overwrite(df, f"{root}/bronze/{name}", sort_by=layout[name], max_rows_per_file=500_000,
                         observation=loaded if name == "tmdb_raw" else None)
-    read = {n: spark.read.parquet(f"{root}/bronze/{n}") for n in frames}
+    cat = Catalog(spark, root)
+    read = cat.tables("bronze", frames)
     bronze = Bronze(read["tmdb_raw"], read["imdb_title_crew_raw"], read["imdb_name_basics_raw"],
                     read.get("imdb_title_basics_raw"))
 
     dims = build_dims(bronze, as_of)
     for name, df in dims.items():
         sinks.overwrite(df, f"{root}/gold/{name}")
-    gold_dims = {n: spark.read.parquet(f"{root}/gold/{n}") for n in dims}
+    gold_dims = cat.tables("gold", dims)
     fact = fact_movie_performance(bronze.tmdb_raw, bronze.crew)
     sinks.overwrite(fact, f"{root}/gold/fact_movie_performance")
-    gold = Gold(fact=spark.read.parquet(f"{root}/gold/fact_movie_performance"), **gold_dims)
+    gold = Gold(fact=cat.ref("fact_movie_performance"), **gold_dims)
 
     views = {
         "analytical_view_full": view_full(gold.fact, gold.dim_movie, gold.dim_date, gold.dim_director,
@@ -143,7 +145,7 @@ def run_daily(
         sinks.publish_view(v, name)
 
     results = quality.run_suite(gold.tables(), fail=check)
-    counts = {n: spark.read.parquet(f"{root}/bronze/{n}").count() for n in frames}
+    counts = {n: df.count() for n, df in read.items()}
     counts.update({n: df.count() for n, df in gold.tables().items()})
     return {"run_date": run_date, "tmdb_loaded": loaded.get.get("rows"), "rows": counts,
             "quality": [r.asDict() for r in results]}

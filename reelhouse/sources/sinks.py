@@ -25,11 +25,16 @@ def overwrite(
     as_table: bool = False,
     partitions: int | None = None,
     observation: Observation | None = None,
+    cluster: bool = False,
+    options: dict[str, str] | None = None,
 ) -> None:
     """Replace ``target`` (a path, or a table name with ``as_table``) with ``df``.
 
-    ``sort_by``           range-partition and sort within files on these keys
-                          (clustered layout: row-group statistics skip data).
+    ``sort_by``           sort rows inside each file on these keys (row-group
+                          min/max statistics then skip data); no shuffle.
+    ``cluster``           also range-partition on ``sort_by`` so files hold
+                          disjoint key ranges (file-level skipping).  Costs a
+                          shuffle plus a boundary-sampling pass over the input.
     ``partition_by``      one directory per value (pruned at read time).
     ``max_rows_per_file`` cap rows per output file (bounded write batches).
     ``partitions``        number of range partitions for ``sort_by``.
@@ -43,11 +48,12 @@ def overwrite(
     out = df
     if sort_by:
         keys = [F.col(c).asc_nulls_last() for c in sort_by]
-        out = (out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys))
+        if cluster:
+            out = out.repartitionByRange(partitions, *keys) if partitions else out.repartitionByRange(*keys)
         out = out.sortWithinPartitions(*keys)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
-    w = out.write.mode("overwrite").format(fmt)
+    w = out.write.mode("overwrite").format(fmt).options(**(options or {}))
     if partition_by:
         w = w.partitionBy(*partition_by)
     if max_rows_per_file:
@@ -58,6 +64,29 @@ def overwrite(
         w.save(target)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """Rewrite a (filtered) film file as CSV with a header, to a *new* path."""
+    overwrite(df, path, fmt="csv", options={"header": "true", "quote": '"', "escape": '"'})
+
+
+def write_snapshot(df: DataFrame, path: str, schema) -> DataFrame:
+    """Lakehouse snapshot: replace the folder with ``df`` cast to ``schema``.
+
+    Drop-create-append collapses into one overwrite of the folder (the table
+    format of the cluster's catalog can be chosen with ``fmt`` in ``overwrite``).
+    """
+    from reelhouse.operators.clean import enforce
+
+    overwrite(enforce(df, schema), path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
+def comment_table(spark: SparkSession, name: str, comment: str) -> None:
+    """Store a table description in the catalog (``COMMENT ON TABLE``)."""
+    text = comment.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+
+
 def create_namespace(spark: SparkSession, name: str) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` (idempotent)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")

@@ -12,7 +12,11 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from reelhouse.session import build_session
 
-    s = build_session("local[4]", app_name="reelhouse-tests", shuffle_partitions=8)
+    import tempfile
+
+    wh = tempfile.mkdtemp(prefix="reelhouse-warehouse-", dir="/tmp")
+    s = build_session("local[4]", app_name="reelhouse-tests", shuffle_partitions=8,
+                      extra={"spark.sql.warehouse.dir": wh})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -116,3 +116,42 @@ def test_namespace_and_table(spark):
     assert t.count() == 3
     t2 = sinks.replace_table(spark, spark.range(5), "bronze_test.t")
     assert t2.count() == 5
+
+
+def test_csv_rewrite_roundtrip_and_catalog(spark):
+    d = _tmp()
+    p = os.path.join(d, "movies.csv")
+    with open(p, "w") as fh:
+        fh.write(CSV)
+    raw = files.read_films_csv(spark, p, columns=schemas.RAW_FILM_COLUMNS)
+    kept = B.films_filtered(raw)
+    sinks.write_csv(kept, f"{d}/filtered")  # new path, never over the input
+    again = files.read_films_csv(spark, f"{d}/filtered", columns=schemas.RAW_FILM_COLUMNS)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, kept.collect()))
+    from reelhouse.sources.catalog import Catalog
+
+    cat = Catalog(spark, d)
+    sinks.overwrite(B.tmdb_raw(kept), cat.path("bronze", "tmdb_raw"), sort_by=["imdb_id"], cluster=True)
+    t = cat.source("bronze", "tmdb_raw")
+    assert t.schema == schemas.TMDB_RAW and t.count() == 3
+
+
+def test_snapshot_write_read_narrow_schema(spark):
+    d = _tmp()
+    raw = spark.createDataFrame([("tt1", "A", "7", "2", "2002-02-02 10:11:12.123456", "7")],
+                                "imdb_id string, title string, vote_average string, vote_count string, "
+                                "release_date string, revenue string")
+    snap = B.films_snapshot(raw, n=10)
+    back = sinks.write_snapshot(snap, f"{d}/snap", schemas.TMDB_SNAPSHOT)
+    r = back.first()
+    assert r.release_date == dt.datetime(2002, 2, 2, 10, 11, 12, 123456) and r.vote_count == 2
+    narrow = files.read_snapshot(spark, f"{d}/snap", schemas.TMDB_SNAPSHOT)
+    assert narrow.schema == schemas.TMDB_SNAPSHOT
+
+
+def test_table_comment(spark):
+    sinks.create_namespace(spark, "gold_test")
+    sinks.replace_table(spark, spark.range(2), "gold_test.c")
+    sinks.comment_table(spark, "gold_test.c", "Movie's fact table")
+    info = spark.sql("DESCRIBE TABLE EXTENDED gold_test.c").filter("col_name = 'Comment'").collect()
+    assert info[0].data_type == "Movie's fact table"
