@@ -54,6 +54,8 @@ def build_session(
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false")
+    # Checkpoints of row numbering are deleted once their frames are garbage.
+    b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SQL_CONF, **(extra or {})}.items():
