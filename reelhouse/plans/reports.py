@@ -114,12 +114,22 @@ def top_films(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year:
 def top_genres_by_peak(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year: int,
                        k: int = 10) -> DataFrame:
     """Per genre in ``year``: the most frequent title (ties -> smallest) and
-    the highest revenue; the ``k`` genres with the highest peak revenue."""
+    the highest revenue; the ``k`` genres with the highest peak revenue.
+
+    The frequent title is found in two aggregation levels: counts per
+    (genre, title), then the (count desc, title asc) minimum per genre.  Both
+    levels combine map-side with constant-size buffers, so a genre with very
+    many films or titles never has to sit in one task (unlike a per-group
+    value -> count map).
+    """
     j = _year_films(fact, dim_movie, dim_genre, year)
-    g = j.groupBy("genre_name").agg(
-        F.mode("movie_title", deterministic=True).alias("top_movie"),
-        F.max("revenue").alias("top_revenue"),
-    )
+    per_title = j.filter(F.col("movie_title").isNotNull()).groupBy("genre_name", "movie_title").agg(
+        F.count(F.lit(1)).alias("n"))
+    top_title = per_title.groupBy("genre_name").agg(
+        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("movie_title").alias("t"))).alias("best"))
+    peak = j.groupBy("genre_name").agg(F.max("revenue").alias("top_revenue"))
+    g = peak.join(top_title, "genre_name", "left").select(
+        "genre_name", F.col("best.t").alias("top_movie"), "top_revenue")
     return g.orderBy(F.col("top_revenue").desc_nulls_last(), F.col("genre_name").asc_nulls_last()).limit(k)
 
 
