@@ -67,11 +67,14 @@ SELECT concat('tt', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS tconst,
 FROM orders
 """
 
-# Person dump; customers ending in 9 have no person row (planted orphans).
+# Person dump: one row per customer.  Every tenth customer's person row has
+# an id outside the director id space ('nx...'), so directors pointing at
+# those customers have no name row (planted orphans) while no row is dropped.
 NAMES_SQL = """
-SELECT concat('nm', lpad(CAST(c_custkey AS STRING), 9, '0')) AS nconst,
+SELECT CASE WHEN c_custkey % 10 = 9 THEN concat('nx', lpad(CAST(c_custkey AS STRING), 9, '0'))
+            ELSE concat('nm', lpad(CAST(c_custkey AS STRING), 9, '0')) END AS nconst,
        concat(c_mktsegment, ' ', c_name) AS primaryName, 'director' AS primaryProfession
-FROM customer WHERE c_custkey % 10 <> 9
+FROM customer
 """
 
 

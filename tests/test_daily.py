@@ -26,7 +26,7 @@ def test_run_daily_end_to_end(spark, sf_small):
                     f"{root}/wh", run_date="2024-01-01", as_of="2024-01-01", raw_partitions=4)
     rows = out["rows"]
     assert rows["tmdb_raw"] == 163 == out["tmdb_loaded"]
-    assert rows["imdb_title_crew_raw"] == 1500 and rows["imdb_name_basics_raw"] == 135
+    assert rows["imdb_title_crew_raw"] == 1500 and rows["imdb_name_basics_raw"] == 150
     assert rows["fact_movie_performance"] == 163
     assert all(r["failures"] == 0 for r in out["quality"])
     fact = spark.read.parquet(f"{root}/wh/gold/fact_movie_performance")
