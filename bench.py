@@ -7,7 +7,7 @@ Stages (seconds):
   bronze          adapter -> film filter -> typed bronze Parquet (films, crew, names)
   dims            the five dimensions, written
   fact_direct     fact, direct plan (one join + lag + distributed ids), written
-  fact_literal    fact, literal self-join plan (parity; counted, not written)
+  fact_literal    fact with dimension lookups by join and '' director keys (counted, not written)
   ids_distributed dense_row_id over lineitem (range + checkpoint + offsets)
   ids_window      row_number() over a global ORDER BY (single task), for contrast
   r1..r5, r4_mode reports on the written gold tables (collected)

@@ -14,9 +14,10 @@ Direct plan (default)
     instead (size-checked broadcast joins), for dimensions built elsewhere.
 
 Literal plan (``fact_literal``)
-    The model as written: per-film CTEs re-joined on imdb_id.  A film id that
-    occurs n times yields n^4 rows there; it is kept as a parity query.  Equal
-    to the direct plan when imdb_id is unique.
+    The model's key lookups as joins against given dimensions, with '' kept as
+    the key of an empty director list.  The model's re-join of per-film
+    lookups on imdb_id (n copies of an id -> n^4 rows, all combinations within
+    a group) is deliberately not reproduced.
 """
 
 from __future__ import annotations
@@ -84,21 +85,24 @@ def fact_movie_performance(
     hot_keys="auto",
     id_partitions: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    blank_director_as_null: bool = True,
 ) -> DataFrame:
     """Fact table from bronze films and crew (direct plan).
 
     ``hot_keys``: ``"auto"`` samples imdb_id for groups large enough to need
     splitting (see ``find_hot_keys``), ``None`` uses the plain window, or pass
     a small frame of imdb_id values.
-    An empty first-director list gives NULL (not '') as director key.
+    An empty first-director list gives NULL as director key
+    (``blank_director_as_null=False`` keeps '' as the model does).
     """
     t = _film_measures(films).withColumns({
         "first_genre": first_item("genres"),
         "first_company": first_item("production_companies"),
     })
-    directors = crew.select(
-        F.col("tconst"), F.nullif(first_item("directors"), F.lit("")).alias("director_id")
-    )
+    first_dir = first_item("directors")
+    if blank_director_as_null:
+        first_dir = F.nullif(first_dir, F.lit(""))
+    directors = crew.select(F.col("tconst"), first_dir.alias("director_id"))
     t = t.join(directors, t["imdb_id"] == directors["tconst"], "left").drop("tconst")
 
     if key_mode == "derive":
@@ -135,32 +139,20 @@ def fact_literal(
     key_algo: str = KEY_ALGO,
     hot_keys=None,
     id_partitions: int | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """The fact model join for join: per-film lookups re-joined on imdb_id.
-
-    Keeps its semantics exactly, including the fan-out on repeated imdb_id and
-    '' as director key for an empty director list.
+    """The fact as the model writes it, minus its self-join fan-out.
+
+    Keys are looked up in the given dimensions (fact -> dimension joins,
+    size-checked broadcasts) and an empty director list keeps '' as its key.
+    The model also re-joins four per-film lookups on imdb_id, which turns n
+    copies of an id into n^4 rows: every combination inside a group of copies.
+    That product is not reproduced; each film row stays one fact row, so the
+    result equals the model wherever imdb_id is unique.
     """
-    t = _film_measures(films)
-    fg = t.select(F.col("imdb_id").alias("g_movie"), first_item("genres").alias("genre_name"))
-    movie_genre = fg.join(dim_genre.select("genre_name", "genre_id"), "genre_name", "left").select(
-        "g_movie", "genre_id"
-    )
-    crew_sel = crew.select("tconst", "directors")
-    first_director = t.select("imdb_id").join(crew_sel, F.col("imdb_id") == F.col("tconst"), "left").select(
-        F.col("imdb_id").alias("d_movie"), first_item("directors").alias("director_id")
-    )
-    movie_production = (
-        t.select("imdb_id", first_item("production_companies").alias("first_company"))
-        .join(dim_production.select("production_name", "production_id"),
-              F.col("first_company") == F.col("production_name"), "left")
-        .select(F.col("imdb_id").alias("p_movie"), "production_id")
-    )
-    base = (
-        t.join(movie_genre, F.col("g_movie") == F.col("imdb_id"), "left")
-        .join(first_director, F.col("d_movie") == F.col("imdb_id"), "left")
-        .join(movie_production, F.col("p_movie") == F.col("imdb_id"), "left")
-        .join(dim_date.select("full_date", "date_id"), F.col("full_date") == F.col("release_date"), "left")
-        .drop("g_movie", "d_movie", "p_movie", "full_date")
+    return fact_movie_performance(
+        films, crew, key_algo=key_algo, key_mode="join", dim_genre=dim_genre,
+        dim_production=dim_production, dim_date=dim_date, hot_keys=hot_keys,
+        id_partitions=id_partitions, max_broadcast_rows=max_broadcast_rows,
+        blank_director_as_null=False,
     )
-    return _finish(base, key_algo, _resolve_hot_keys(films, hot_keys), id_partitions)

@@ -55,13 +55,15 @@ def test_fact_key_modes_agree_without_blank_genre(spark):
     assert [r.genre_id for r in derive if r.imdb_id == "tt1"] == [None]
 
 
-def test_literal_plan_fans_out(spark):
+def test_literal_plan_keeps_one_row_per_film(spark):
     f, c, _ = dup_world(spark)
     lit = fact_literal(f, c, D.dim_genre(f), D.dim_production(f), D.dim_date(f))
-    # tt1 appears twice: 2 (base) x 2 (genre) x 2 (director) x 2 (company) = 16 rows
-    assert lit.filter(F.col("imdb_id") == "tt1").count() == 16
-    assert lit.filter(F.col("imdb_id") != "tt1").count() == 3
+    # no self-join product: the two copies of tt1 stay two rows
+    assert lit.filter(F.col("imdb_id") == "tt1").count() == 2
+    assert lit.count() == 5
     assert lit.filter(F.col("imdb_id") == "tt2").first().director_id == ""
+    direct = {r.imdb_id: r.director_id for r in fact_movie_performance(f, c).collect()}
+    assert direct["tt2"] is None
 
 
 def test_fact_hot_key_path_matches(spark):
