@@ -19,6 +19,10 @@ from pyspark.sql import functions as F
 
 from reelhouse.session import ensure_checkpoint_dir
 
+# Upper bound on the hot-key list that lag_delta broadcasts (find_hot_keys
+# returns at most 1 / share keys, i.e. 100 with the default share).
+MAX_HOT_KEYS = 10_000
+
 
 def _asc(c) -> Column:
     """Ascending, NULLs last (the warehouse's ordering convention)."""
@@ -88,7 +92,10 @@ def lag_delta(
     """
     if hot_keys is None:
         return _lag_window(df, keys, order, cols)
-    hk = F.broadcast(hot_keys.select(*keys).distinct())
+    hk = hot_keys.select(*keys).distinct()
+    if hk.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
+        raise ValueError(f"hot_keys holds more than {MAX_HOT_KEYS} keys; pass only the few heavy groups")
+    hk = F.broadcast(hk)
     cond = [df[k].eqNullSafe(hk[k]) for k in keys]
     cold = df.join(hk, cond, "left_anti")
     hot = df.join(hk, cond, "left_semi")
