@@ -8,7 +8,7 @@ Computed columns carry the same names and types as the Spark results.
 
 from __future__ import annotations
 
-from reelhouse.sources.adapter import CREW_SQL, NAMES_SQL, TMDB_RAW_SQL, TMDB_SRC_SQL
+from reelhouse.sources.adapter import BASICS_SQL, CREW_SQL, NAMES_SQL, TMDB_RAW_SQL, TMDB_SRC_SQL
 
 AS_OF = "2024-01-01"  # fixed validity date used by the registered queries
 TOP_YEAR = 2000  # release year asked by the top-films reports (dates span 2000-2001)
@@ -304,4 +304,11 @@ WHERE m.movie_runtime IS NOT NULL AND f.revenue IS NOT NULL GROUP BY 1"""
 FROM (SELECT * FROM tmdb_src ORDER BY imdb_id NULLS LAST LIMIT 5000) s
 WHERE imdb_id IS NOT NULL AND title IS NOT NULL AND vote_average IS NOT NULL AND vote_count IS NOT NULL
   AND release_date IS NOT NULL AND revenue IS NOT NULL"""
+    q["q_bronze_from_csv"] = q["q_fill_bronze"]
+    q["q_crew_from_tsv_gz"] = q["q_crew_bronze"]
+    q["q_title_basics_bronze"] = f"""WITH basics_src AS ({BASICS_SQL})
+SELECT tconst, coalesce(primaryTitle, '') AS primaryTitle,
+       coalesce(CAST(TRY_CAST(startYear AS DOUBLE) AS INTEGER), -1) AS startYear,
+       coalesce(CAST(TRY_CAST(runtimeMinutes AS DOUBLE) AS INTEGER), -1) AS runtimeMinutes
+FROM basics_src WHERE tconst IS NOT NULL"""
     return q

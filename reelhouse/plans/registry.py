@@ -8,6 +8,7 @@ lazy DataFrame.  Column names and types match the SQL of ``reelhouse.oracle``.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -25,7 +26,11 @@ from reelhouse.plans import reports as R
 from reelhouse.plans.daily import Bronze, build_bronze
 from reelhouse.plans.fact import fact_literal, fact_movie_performance
 from reelhouse.plans.views import view_full, view_limited
+from reelhouse import schemas
+from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources.adapter import RawInputs, read_testdata
+from reelhouse.sources import sinks
+from reelhouse.sources.files import read_films_csv, read_tsv
 
 AS_OF = _dt.date.fromisoformat(oracle.AS_OF)
 ROUND6 = ("movie_popularity", "popularity_change")
@@ -128,9 +133,34 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "dim_production": w.dim_production, "fact_movie_performance": w.fact})
     q["q_fk_orphans"] = _fk_orphans
     q["q_snapshot"] = lambda w: B.films_snapshot(w.raw.films_src, 5000, ("imdb_id",))
+    q["q_bronze_from_csv"] = _bronze_from_csv
+    q["q_crew_from_tsv_gz"] = _crew_from_tsv_gz
+    q["q_title_basics_bronze"] = lambda w: B.title_basics_raw(w.raw.basics_src)
     return q
 
 
+def _scratch(spark: SparkSession) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/reelhouse-io-{uuid.uuid4().hex[:12]}"
+
+
+def _bronze_from_csv(w: Warehouse) -> DataFrame:
+    """Raw film rows written as a CSV file, read back by the CSV reader, loaded to bronze."""
+    path = f"{_scratch(w.spark)}/movies"
+    sinks.write_csv(w.raw.films_src, path)
+    raw = read_films_csv(w.spark, path, columns=schemas.RAW_FILM_COLUMNS)
+    return B.tmdb_raw(B.films_filtered(raw))
+
+
+def _crew_from_tsv_gz(w: Warehouse) -> DataFrame:
+    """Crew rows written as gzip TSV (\\N for NULL), read back by the TSV reader, loaded to bronze."""
+    path = f"{_scratch(w.spark)}/title.crew"
+    (w.raw.crew_src.write.option("sep", "\t").option("header", True).option("nullValue", "\\N")
+        .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(path))
+    return B.title_crew_raw(read_tsv(w.spark, path, ["tconst", "directors"]))
+
+
 def _lag_by_director(w: Warehouse) -> DataFrame:
     """Revenue change between consecutive films of the same director."""
     from reelhouse.functions.exprs import first_item

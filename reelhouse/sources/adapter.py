@@ -78,6 +78,18 @@ FROM customer
 """
 
 
+# Title basics dump (no gold consumer; exercises the -1 / '' fills): missing
+# titles, missing years and unparsable runtimes are planted.
+BASICS_SQL = """
+SELECT concat('tt', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS tconst,
+       CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE concat('Title ', CAST(o_orderkey AS STRING)) END AS primaryTitle,
+       CASE WHEN o_orderkey % 11 = 0 THEN NULL
+            ELSE CAST(year(CAST(o_orderdate AS DATE)) AS STRING) END AS startYear,
+       CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' ELSE CAST(o_orderkey % 240 AS STRING) END AS runtimeMinutes
+FROM orders
+"""
+
+
 def read_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -98,3 +110,4 @@ class RawInputs:
         self.films_src: DataFrame = spark.sql(TMDB_SRC_SQL)
         self.crew_src: DataFrame = spark.sql(CREW_SQL)
         self.names_src: DataFrame = spark.sql(NAMES_SQL)
+        self.basics_src: DataFrame = spark.sql(BASICS_SQL)

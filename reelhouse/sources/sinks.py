@@ -64,9 +64,20 @@ def overwrite(
         w.save(target)
 
 
+# Header, double-quote quoting with doubled quotes, no whitespace trimming.
+CSV_WRITE_OPTIONS = {
+    "header": "true", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Rewrite a (filtered) film file as CSV with a header, to a *new* path."""
-    overwrite(df, path, fmt="csv", options={"header": "true", "quote": '"', "escape": '"'})
+    """Rewrite a (filtered) film file as CSV with a header, to a *new* path.
+
+    Values are written verbatim: the writer's default whitespace trimming is
+    turned off, so a title such as ' Alpha' survives the round trip.
+    """
+    overwrite(df, path, fmt="csv", options=CSV_WRITE_OPTIONS)
 
 
 def write_snapshot(df: DataFrame, path: str, schema) -> DataFrame:

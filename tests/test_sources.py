@@ -21,6 +21,7 @@ CSV = (
     ',No id,2005-01-01,1,1,8,100,100,Drama,Released,z\n'
     'tt7,Bad number,2005-01-01,abc,1,8,100,100,,released,z\n'
     'tt8,No votes,2005-01-01,1,1,8,,100,Drama,Released,z\n'
+    'tt9," Padded title ",2003-01-01,1,1,7,5,100,Drama,Released,z\n'
 )
 
 
@@ -38,7 +39,7 @@ def test_csv_reader_filter_and_bronze(spark):
     rows = {r.imdb_id: r for r in raw.collect()}
     assert rows["tt1"].title == 'He said "hi", ok' and rows["tt2"].title == "Two\nlines"
     kept = B.films_filtered(raw)
-    assert sorted(r.imdb_id for r in kept.collect()) == ["tt1", "tt2", "tt7"]
+    assert sorted(r.imdb_id for r in kept.collect()) == ["tt1", "tt2", "tt7", "tt9"]
     bronze = B.tmdb_raw(kept).collect()
     by = {r.imdb_id: r for r in bronze}
     assert by["tt7"].budget is None and by["tt7"].genres == "" and by["tt7"].production_companies == ""
@@ -128,12 +129,13 @@ def test_csv_rewrite_roundtrip_and_catalog(spark):
     sinks.write_csv(kept, f"{d}/filtered")  # new path, never over the input
     again = files.read_films_csv(spark, f"{d}/filtered", columns=schemas.RAW_FILM_COLUMNS)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, kept.collect()))
+    assert {r.title for r in again.collect()} >= {" Padded title ", "Two\nlines"}
     from reelhouse.sources.catalog import Catalog
 
     cat = Catalog(spark, d)
     sinks.overwrite(B.tmdb_raw(kept), cat.path("bronze", "tmdb_raw"), sort_by=["imdb_id"], cluster=True)
     t = cat.source("bronze", "tmdb_raw")
-    assert t.schema == schemas.TMDB_RAW and t.count() == 3
+    assert t.schema == schemas.TMDB_RAW and t.count() == 4
 
 
 def test_snapshot_write_read_narrow_schema(spark):
