@@ -40,15 +40,22 @@ def dense_row_id(
 ) -> DataFrame:
     """Add ``name`` = 1-based position of each row in the global ``order``.
 
-    Equal to ``row_number() OVER (ORDER BY order)`` (ties are numbered in an
-    arbitrary but fixed way; add a unique tiebreak column for determinism).
-    Columns of ``order`` given as names sort ascending with NULLs last.
+    Equal to ``row_number() OVER (ORDER BY order)``.  Ties are numbered in an
+    arbitrary order, fixed once the ranges are checkpointed; add a unique
+    tiebreak column for run-to-run determinism.  Columns of ``order`` given
+    as names sort ascending with NULLs last.
+
+    Rows tied on the whole ``order`` (copies) are broken by their scan
+    position, so even a group of copies holding a large share of the rows is
+    spread over several ranges instead of landing in one task.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    keys = [_asc(c) for c in order]
-    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
-    ranged = ranged.sortWithinPartitions(*keys)
+    tie = "__scan_pos"
+    keys = [_asc(c) for c in order] + [F.col(tie).asc()]
+    src = df.withColumn(tie, F.monotonically_increasing_id())
+    ranged = src.repartitionByRange(partitions, *keys) if partitions else src.repartitionByRange(*keys)
+    ranged = ranged.sortWithinPartitions(*keys).drop(tie)
     # Reliable checkpoint: the ranges and their row order are fixed on shared
     # storage, so both passes below see exactly the same partitions.
     fixed = ranged.checkpoint(eager=True)

@@ -58,3 +58,16 @@ def test_top_k_per_group(spark):
     out = top_k_per_group(df, ["g"], [F.col("v").desc(), F.col("id").asc()], 2)
     got = sorted((r.g, r.rank, r.id) for r in out.collect())
     assert got == [("a", 1, 2), ("a", 2, 3), ("b", 1, 4)]
+
+
+def test_dense_row_id_spreads_a_group_of_copies(spark):
+    # 3,000 identical rows (a third of the input) plus 6,000 distinct ones
+    copies = spark.range(3000).select(F.lit(7).cast("bigint").alias("k"))
+    rest = spark.range(6000).select((F.col("id") + 100).alias("k"))
+    df = copies.unionByName(rest)
+    out = dense_row_id(df, ["k"], name="rid", partitions=6)
+    per_part = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(per_part) < 3000  # the copies did not stay together in one range
+    ids = sorted(r.rid for r in out.collect())
+    assert ids == list(range(1, 9001))
+    assert {r.rid for r in out.filter("k = 7").collect()} == set(range(1, 3001))
