@@ -84,6 +84,16 @@ def _union(frames: Iterable[DataFrame]) -> DataFrame:
     return out
 
 
+def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows per table as ``(table, rows)``: one counting pass per table, no
+    shuffle beyond the single partial count each task sends.  For counts of a
+    table being written, attach an ``Observation`` to the write instead."""
+    return _union(
+        df.agg(F.count(F.lit(1)).cast("bigint").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        for name, df in tables.items()
+    )
+
+
 def suite(tables: dict[str, DataFrame], tests=GOLD_TESTS, foreign_keys=()) -> DataFrame:
     """All rules as one result frame (lazy; one small row per rule)."""
     frames = []

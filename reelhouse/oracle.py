@@ -311,4 +311,24 @@ SELECT tconst, coalesce(primaryTitle, '') AS primaryTitle,
        coalesce(CAST(TRY_CAST(startYear AS DOUBLE) AS INTEGER), -1) AS startYear,
        coalesce(CAST(TRY_CAST(runtimeMinutes AS DOUBLE) AS INTEGER), -1) AS runtimeMinutes
 FROM basics_src WHERE tconst IS NOT NULL"""
+    q["q_snapshot_scan"] = q["q_snapshot"]
+    q["q_films_year_partition"] = bronze + f"""SELECT *, CAST(year(release_date) AS INTEGER) AS release_year
+FROM tmdb_raw WHERE year(release_date) = {TOP_YEAR}"""
+    q["q_latest_run"] = bronze + f"""SELECT imdb_id, title, release_date, production_companies, budget, revenue,
+       vote_average, original_language, vote_count, runtime, genres, status, DATE '{AS_OF}' AS run_date
+FROM tmdb_f"""
+    q["q_clustered_bronze"] = q["q_fill_bronze"]
+    q["q_append_columns"] = bronze + """SELECT imdb_id, title, CAST(release_date AS DATE) AS release_date,
+       production_companies, CAST(budget AS BIGINT) AS budget, CAST(revenue AS BIGINT) AS revenue,
+       CAST(vote_average AS FLOAT) AS vote_average, CAST(vote_count AS BIGINT) AS vote_count,
+       CAST(runtime AS INTEGER) AS runtime, genres, original_language, status
+FROM tmdb_f"""
+    basics = f"basics_src AS ({BASICS_SQL})"
+    q["q_load_counts"] = f"""WITH {BRONZE_CTES}, {basics}
+SELECT 'tmdb_filtered' AS "table", CAST(count(*) AS BIGINT) AS "rows" FROM tmdb_f
+UNION ALL SELECT 'tmdb_raw', count(*) FROM tmdb_raw
+UNION ALL SELECT 'imdb_title_crew_raw', count(*) FROM crew_raw
+UNION ALL SELECT 'imdb_name_basics_raw', count(*) FROM names_raw
+UNION ALL SELECT 'imdb_title_basics_raw', count(*) FROM basics_src WHERE tconst IS NOT NULL"""
+    q["q_view_by_name"] = q["q_view_full"]
     return q

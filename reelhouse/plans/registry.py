@@ -30,7 +30,8 @@ from reelhouse import schemas
 from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources.adapter import RawInputs, read_testdata
 from reelhouse.sources import sinks
-from reelhouse.sources.files import read_films_csv, read_tsv
+from reelhouse.sources.catalog import Catalog
+from reelhouse.sources.files import read_films_csv, read_snapshot, read_tsv
 
 AS_OF = _dt.date.fromisoformat(oracle.AS_OF)
 ROUND6 = ("movie_popularity", "popularity_change")
@@ -136,6 +137,17 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
     q["q_bronze_from_csv"] = _bronze_from_csv
     q["q_crew_from_tsv_gz"] = _crew_from_tsv_gz
     q["q_title_basics_bronze"] = lambda w: B.title_basics_raw(w.raw.basics_src)
+    q["q_snapshot_scan"] = _snapshot_scan
+    q["q_films_year_partition"] = _films_year_partition
+    q["q_latest_run"] = _latest_run
+    q["q_clustered_bronze"] = _clustered_bronze
+    q["q_append_columns"] = lambda w: sinks.append_new_columns(
+        w.bronze.tmdb_raw, B.films_filtered(w.raw.films_src))
+    q["q_load_counts"] = lambda w: quality.row_counts({
+        "tmdb_filtered": B.films_filtered(w.raw.films_src), "tmdb_raw": w.bronze.tmdb_raw,
+        "imdb_title_crew_raw": w.bronze.crew, "imdb_name_basics_raw": w.bronze.names,
+        "imdb_title_basics_raw": B.title_basics_raw(w.raw.basics_src)})
+    q["q_view_by_name"] = _view_by_name
     return q
 
 
@@ -161,6 +173,43 @@ def _crew_from_tsv_gz(w: Warehouse) -> DataFrame:
     return B.title_crew_raw(read_tsv(w.spark, path, ["tconst", "directors"]))
 
 
+def _snapshot_scan(w: Warehouse) -> DataFrame:
+    """Snapshot written as a Parquet folder, then scanned as a table with the declared schema."""
+    path = f"{_scratch(w.spark)}/tmdb_bronze"
+    sinks.write_snapshot(B.films_snapshot(w.raw.films_src, 5000, ("imdb_id",)), path, schemas.TMDB_SNAPSHOT)
+    return read_snapshot(w.spark, path, schemas.TMDB_SNAPSHOT)
+
+
+def _films_year_partition(w: Warehouse) -> DataFrame:
+    """Bronze films written with one folder per release year; one year read back (partition pruning)."""
+    path = f"{_scratch(w.spark)}/tmdb_by_year"
+    films = w.bronze.tmdb_raw.withColumn("release_year", F.year("release_date"))
+    sinks.overwrite(films, path, sort_by=["imdb_id"], partition_by=["release_year"])
+    return w.spark.read.parquet(path).filter(F.col("release_year") == oracle.TOP_YEAR)
+
+
+def _latest_run(w: Warehouse) -> DataFrame:
+    """Two runs of the raw film file by run date; the latest one is read back."""
+    root = f"{_scratch(w.spark)}/raw_tmdb"
+    sinks.write_run(w.raw.films_src, root, "2023-12-31")
+    sinks.write_run(B.films_filtered(w.raw.films_src), root, oracle.AS_OF)
+    return sinks.read_latest(w.spark, root)
+
+
+def _clustered_bronze(w: Warehouse) -> DataFrame:
+    """Bronze films range-clustered on imdb_id in capped files, read back by name."""
+    cat = Catalog(w.spark, _scratch(w.spark))
+    sinks.overwrite(w.bronze.tmdb_raw, cat.path("bronze", "tmdb_raw"), sort_by=["imdb_id"], cluster=True,
+                    max_rows_per_file=500)
+    return cat.source("bronze", "tmdb_raw")
+
+
+def _view_by_name(w: Warehouse) -> DataFrame:
+    """The full view published under its name and queried through the catalog."""
+    sinks.publish_view(view_full(*w.star()), "analytical_view_full")
+    return _round(w.spark.table("analytical_view_full"))
+
+
 def _lag_by_director(w: Warehouse) -> DataFrame:
     """Revenue change between consecutive films of the same director."""
     from reelhouse.functions.exprs import first_item

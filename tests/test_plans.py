@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 import tempfile
 
 import pytest
@@ -84,3 +85,14 @@ def test_view_broadcasts_only_checked_small_dims(gold):
 def test_fact_plan_has_no_single_partition_window(gold):
     fact = FM.fact_movie_performance(gold["films"], gold["crew"])
     assert "SinglePartition" not in _plan(fact)
+
+
+def test_partitioned_reads_are_pruned(spark, sf_small):
+    from reelhouse.plans.registry import QUERIES
+
+    w = Warehouse(spark, sf_small)
+    by_year = _plan(QUERIES["q_films_year_partition"](w))
+    assert re.search(r"PartitionFilters: \[isnotnull\(release_year#\d+\), \(release_year#\d+ = 2000\)\]", by_year)
+    latest = _plan(QUERIES["q_latest_run"](w))
+    # only the latest run's folder is listed for the scan
+    assert re.search(r"PartitionFilters: \[isnotnull\(run_date#\d+\), \(run_date#\d+ = 2024-01-01\)\]", latest)
