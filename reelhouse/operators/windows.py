@@ -98,23 +98,45 @@ def lag_delta(
     plain window, which reuses an existing hash partitioning on the keys.
     """
     if hot_keys is None:
-        return _lag_window(df, keys, order, cols)
+        return lag_window(df, keys, order, cols)
+    cold, hot = split_by_keys(df, keys, hot_keys)
+    return lag_window(cold, keys, order, cols).unionByName(lag_spread(hot, keys, order, cols))
+
+
+def bounded_keys(hot_keys: DataFrame, keys: Sequence[str], limit: int = MAX_HOT_KEYS) -> DataFrame:
+    """Distinct ``keys`` of ``hot_keys`` marked for broadcast, after checking
+    that at most ``limit`` of them exist (raises otherwise)."""
     hk = hot_keys.select(*keys).distinct()
-    if hk.limit(MAX_HOT_KEYS + 1).count() > MAX_HOT_KEYS:
-        raise ValueError(f"hot_keys holds more than {MAX_HOT_KEYS} keys; pass only the few heavy groups")
-    hk = F.broadcast(hk)
+    if hk.limit(limit + 1).count() > limit:
+        raise ValueError(f"hot_keys holds more than {limit} keys; pass only the few heavy groups")
+    return F.broadcast(hk)
+
+
+def split_by_keys(df: DataFrame, keys: Sequence[str], hot_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(cold, hot)``: the rows whose ``keys`` are not / are among ``hot_keys``.
+
+    Both halves are broadcast joins against the size-checked key list, so the
+    split moves no data.  A NULL key matches a NULL hot key.
+    """
+    hk = bounded_keys(hot_keys, keys)
     cond = [df[k].eqNullSafe(hk[k]) for k in keys]
-    cold = df.join(hk, cond, "left_anti")
-    hot = df.join(hk, cond, "left_semi")
-    return _lag_window(cold, keys, order, cols).unionByName(_lag_ranged(hot, keys, order, cols))
+    return df.join(hk, cond, "left_anti"), df.join(hk, cond, "left_semi")
 
 
-def _lag_window(df, keys, order, cols):
+def lag_window(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, str]) -> DataFrame:
+    """Plain window form of :func:`lag_delta` (each key group in one task)."""
     w = Window.partitionBy(*keys).orderBy(*[_asc(c) for c in order])
     return df.withColumns({out: F.col(c) - F.lag(c, 1).over(w) for c, out in cols.items()})
 
 
-def _lag_ranged(df, keys, order, cols):
+def lag_spread(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, str]) -> DataFrame:
+    """Skew-safe form of :func:`lag_delta`, meant for a few very large groups.
+
+    Rows are numbered by :func:`dense_row_id` over (keys, order), which spreads
+    even one huge group over many ranges; each row then meets its predecessor
+    in a join on the unique row number (evenly spread), and the difference is
+    kept only when the predecessor belongs to the same group.
+    """
     rid = "__rid"
     numbered = dense_row_id(df, list(keys) + list(order), name=rid)
     prev = numbered.select(

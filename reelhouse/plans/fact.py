@@ -8,7 +8,9 @@ Direct plan (default)
     genre, company and date joins: the only join left is the one to the crew
     table (both sides large: one shuffle on imdb_id).  The lag window reuses
     that hash partitioning, and ``fact_id`` is numbered by the distributed
-    ``dense_row_id`` instead of a single-task window.
+    ``dense_row_id`` instead of a single-task window.  Ids that hold a large
+    share of the rows are split off *before* that join and take a broadcast
+    join plus the spread lag path (``_join_crew_and_lag``).
 
     With ``key_mode="join"`` the keys are looked up in given dimension frames
     instead (size-checked broadcast joins), for dimensions built elsewhere.
@@ -26,8 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.exprs import first_item, popularity, surrogate_key
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim
-from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_delta
+from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim, maybe_broadcast
+from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_spread, lag_window, split_by_keys
 from reelhouse.plans.dims import KEY_ALGO
 
 # Fixed orderings (ascending, NULLs last).  The first columns are the model's;
@@ -66,13 +68,40 @@ def _resolve_hot_keys(films: DataFrame, hot_keys):
     return hot_keys
 
 
-def _finish(base: DataFrame, key_algo: str, hot_keys, id_partitions: int | None) -> DataFrame:
-    """Lag changes, row ids and the final column list (shared by both plans)."""
-    metrics = lag_delta(base, ["imdb_id"], LAG_ORDER, CHANGES, hot_keys=hot_keys)
+def _finish(metrics: DataFrame, key_algo: str, id_partitions: int | None) -> DataFrame:
+    """Row ids and the final column list (shared by both plans)."""
     numbered = dense_row_id(metrics, FACT_ID_ORDER, name="fact_id", partitions=id_partitions)
     return numbered.withColumn("movie_id", surrogate_key(F.trim("title"), key_algo)).select(FACT_COLUMNS)
 
 
+def _join_crew(t: DataFrame, directors: DataFrame, hot, max_broadcast_rows: int):
+    """Films LEFT JOIN first directors on imdb_id, as ``(cold, hot)`` frames.
+
+    Without hot ids: one shuffle join (``hot`` is ``None``).  With hot ids the
+    rows are split *before* the join: cold films take the shuffle join, while
+    the rows of the few hot ids meet their crew rows in a broadcast join (that
+    crew side is size-checked), so no join task receives a whole hot group.
+    Splitting after the join would not help: AQE cannot split a skewed join
+    partition whose hash partitioning the lag window downstream relies on.
+    """
+    if hot is None:
+        return t.join(directors, "imdb_id", "left"), None
+    cold_t, hot_t = split_by_keys(t, ["imdb_id"], hot)
+    _, hot_dirs = split_by_keys(directors, ["imdb_id"], hot)
+    return (cold_t.join(directors, "imdb_id", "left"),
+            hot_t.join(maybe_broadcast(hot_dirs, max_broadcast_rows), "imdb_id", "left"))
+
+
+def _join_crew_and_lag(t: DataFrame, directors: DataFrame, hot, max_broadcast_rows: int) -> DataFrame:
+    """The crew join plus the lag changes: the plain window on the cold rows
+    (it reuses the join's hash partitioning), the spread path on hot ids."""
+    cold, hot_rows = _join_crew(t, directors, hot, max_broadcast_rows)
+    metrics = lag_window(cold, ["imdb_id"], LAG_ORDER, CHANGES)
+    if hot_rows is None:
+        return metrics
+    return metrics.unionByName(lag_spread(hot_rows, ["imdb_id"], LAG_ORDER, CHANGES))
+
+
 def fact_movie_performance(
     films: DataFrame,
     crew: DataFrame,
@@ -90,8 +119,8 @@ def fact_movie_performance(
     """Fact table from bronze films and crew (direct plan).
 
     ``hot_keys``: ``"auto"`` samples imdb_id for groups large enough to need
-    splitting (see ``find_hot_keys``), ``None`` uses the plain window, or pass
-    a small frame of imdb_id values.
+    splitting (see ``find_hot_keys``), ``None`` uses the plain join and window,
+    or pass a small frame of imdb_id values.
     An empty first-director list gives NULL as director key
     (``blank_director_as_null=False`` keeps '' as the model does).
     """
@@ -99,12 +128,6 @@ def fact_movie_performance(
         "first_genre": first_item("genres"),
         "first_company": first_item("production_companies"),
     })
-    first_dir = first_item("directors")
-    if blank_director_as_null:
-        first_dir = F.nullif(first_dir, F.lit(""))
-    directors = crew.select(F.col("tconst"), first_dir.alias("director_id"))
-    t = t.join(directors, t["imdb_id"] == directors["tconst"], "left").drop("tconst")
-
     if key_mode == "derive":
         blank_genre = _blank_first_genre_exists(films)
         g, c = F.col("first_genre"), F.col("first_company")
@@ -125,8 +148,15 @@ def fact_movie_performance(
                      "release_date", "left", max_broadcast_rows)
     else:
         raise ValueError(f"unknown key_mode {key_mode!r}")
+    t = t.drop("first_genre", "first_company")
+
+    first_dir = first_item("directors")
+    if blank_director_as_null:
+        first_dir = F.nullif(first_dir, F.lit(""))
+    directors = crew.select(F.col("tconst").alias("imdb_id"), first_dir.alias("director_id"))
     hot = _resolve_hot_keys(films, hot_keys)
-    return _finish(t.drop("first_genre", "first_company"), key_algo, hot, id_partitions)
+    metrics = _join_crew_and_lag(t, directors, hot, max_broadcast_rows)
+    return _finish(metrics, key_algo, id_partitions)
 
 
 def fact_literal(

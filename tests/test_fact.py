@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from fixtures import dup_world, films, crew
 from reelhouse.plans import dims as D
+from reelhouse.operators.windows import find_hot_keys
+from reelhouse.plans import fact as FM
 from reelhouse.plans.fact import fact_literal, fact_movie_performance
 
 
@@ -72,3 +74,34 @@ def test_fact_hot_key_path_matches(spark):
     a = fact_movie_performance(f, c, hot_keys=None).collect()
     b = fact_movie_performance(f, c, hot_keys=hot).collect()
     assert sorted(a) == sorted(b)
+
+
+def test_fact_hot_id_split_before_the_crew_join(spark):
+    # one id holds a third of the rows (copies with different revenue and dates)
+    hot_rows = [dict(imdb_id="tt7", title=f"Copy {i}", revenue=1000 + i, release_date=dt.date(2000 + i % 20, 1, 1))
+                for i in range(300)]
+    cold_rows = [dict(imdb_id=f"tt{100 + i}", title=f"Film {i}", revenue=i) for i in range(600)]
+    f = films(spark, hot_rows + cold_rows).repartition(6)
+    c = crew(spark, [("tt7", "nm7,nm8")] + [(f"tt{100 + i}", f"nm{i % 13}") for i in range(0, 600, 2)])
+    hot = find_hot_keys(f, ["imdb_id"], share=0.1, sample_fraction=0.5, min_rows=10)
+    assert {r.imdb_id for r in hot.collect()} == {"tt7"}
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # behave like large tables
+    try:
+        split = fact_movie_performance(f, c, hot_keys=hot)
+        directors = c.select(F.col("tconst").alias("imdb_id"), F.col("directors").alias("director_id"))
+        cold_j, hot_j = FM._join_crew(FM._film_measures(f), directors, hot, 1000)
+        cold_plan = cold_j._jdf.queryExecution().executedPlan().toString()
+        hot_plan = hot_j._jdf.queryExecution().executedPlan().toString()
+        plain = fact_movie_performance(f, c, hot_keys=None)
+        a, b = sorted(plain.collect()), sorted(split.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    assert a == b and len(a) == 900
+    assert sorted(r.fact_id for r in b) == list(range(1, 901))
+    tt7 = sorted((r for r in b if r.imdb_id == "tt7"), key=lambda r: (r.revenue,))
+    assert all(r.director_id == "nm7" for r in tt7)
+    assert sum(1 for r in tt7 if r.revenue_growth is None) == 1
+    # the hot rows meet their crew rows in a broadcast join; the cold rows in a shuffle join
+    assert "SortMergeJoin" in cold_plan and "LeftOuter" in cold_plan
+    assert "SortMergeJoin" not in hot_plan and "BroadcastHashJoin" in hot_plan and "LeftOuter" in hot_plan
