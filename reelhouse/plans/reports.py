@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.exprs import bucketize, year_range
+from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits
 from reelhouse.operators.windows import top_k_per_group
 
 # Runtime buckets (inclusive upper edges, minutes) and labels.
@@ -102,15 +103,36 @@ def by_release_year(fact: DataFrame, dim_movie: DataFrame, digits: int = 2) -> D
     )
 
 
-def _year_films(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year: int) -> DataFrame:
-    m = dim_movie.filter(year_range("release_date", year)).select("imdb_id", "movie_title")
-    f = fact.select("imdb_id", "genre_id", "revenue")
-    return f.join(m, "imdb_id", "inner").join(dim_genre.select("genre_id", "genre_name"), "genre_id", "inner")
+def _year_movies(dim_movie: DataFrame, year: int) -> DataFrame:
+    """Movies released in ``year``; the date range reaches the Parquet scan."""
+    return dim_movie.filter(year_range("release_date", year)).select("imdb_id", "movie_title")
 
 
-def top_films(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year: int, k: int = 10) -> DataFrame:
-    """The ``k`` highest-revenue films of each genre released in ``year``."""
-    j = _year_films(fact, dim_movie, dim_genre, year)
+def _year_fact(fact: DataFrame, movies: DataFrame, max_broadcast_rows: int) -> DataFrame:
+    """Fact rows with a genre, cut to the year's films by a broadcast semi-join
+    when the year's movie list is checked small (otherwise the inner join
+    with the movies does the cut later)."""
+    f = fact.select("imdb_id", "genre_id", "revenue").filter(F.col("genre_id").isNotNull())
+    if fits(movies, max_broadcast_rows):
+        f = f.join(F.broadcast(movies.select("imdb_id")), "imdb_id", "left_semi")
+    return f
+
+
+def top_films(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year: int, k: int = 10,
+              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """The ``k`` highest-revenue films of each genre released in ``year``.
+
+    Equal to ranking every (fact row, movie row) pair that shares an imdb_id,
+    without forming those pairs: only the ``k`` best revenues of a (genre,
+    film) and the ``k`` smallest titles of a film can reach a genre's top
+    ``k``, so both sides are cut to that first (partial top-k before each
+    shuffle) and a group of copies of one id never multiplies.
+    """
+    movies = _year_movies(dim_movie, year)
+    f = _year_fact(fact, movies, max_broadcast_rows)
+    f = top_k_per_group(f, ["genre_id", "imdb_id"], [F.col("revenue").desc_nulls_last()], k, "__r").drop("__r")
+    m = top_k_per_group(movies, ["imdb_id"], [F.col("movie_title").asc_nulls_last()], k, "__r").drop("__r")
+    j = f.join(m, "imdb_id", "inner").join(dim_genre.select("genre_id", "genre_name"), "genre_id", "inner")
     order = [F.col("revenue").desc_nulls_last(), F.col("movie_title").asc_nulls_last(),
              F.col("imdb_id").asc_nulls_last()]
     ranked = top_k_per_group(j, ["genre_name"], order, k, "rank")
@@ -118,22 +140,26 @@ def top_films(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year:
 
 
 def top_genres_by_peak(fact: DataFrame, dim_movie: DataFrame, dim_genre: DataFrame, year: int,
-                       k: int = 10) -> DataFrame:
+                       k: int = 10, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Per genre in ``year``: the most frequent title (ties -> smallest) and
     the highest revenue; the ``k`` genres with the highest peak revenue.
 
-    The frequent title is found in two aggregation levels: counts per
-    (genre, title), then the (count desc, title asc) minimum per genre.  Both
-    levels combine map-side with constant-size buffers, so a genre with very
-    many films or titles never has to sit in one task (unlike a per-group
-    value -> count map).
+    Counted over (fact row, movie row) pairs sharing an imdb_id, without
+    forming them: the fact is first reduced to one row per (genre, film)
+    (row count and top revenue, map-side partial aggregation), and only those
+    rows meet the movie titles.  The frequent title then takes two aggregation
+    levels with constant-size buffers, so no genre or title has to sit in one
+    task as a value -> count map.
     """
-    j = _year_films(fact, dim_movie, dim_genre, year)
+    movies = _year_movies(dim_movie, year)
+    per_film = _year_fact(fact, movies, max_broadcast_rows).groupBy("genre_id", "imdb_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("revenue").alias("peak"))
+    j = per_film.join(movies, "imdb_id", "inner").join(dim_genre.select("genre_id", "genre_name"), "genre_id")
     per_title = j.filter(F.col("movie_title").isNotNull()).groupBy("genre_name", "movie_title").agg(
-        F.count(F.lit(1)).alias("n"))
+        F.sum("n").alias("n"))
     top_title = per_title.groupBy("genre_name").agg(
         F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("movie_title").alias("t"))).alias("best"))
-    peak = j.groupBy("genre_name").agg(F.max("revenue").alias("top_revenue"))
+    peak = j.groupBy("genre_name").agg(F.max("peak").alias("top_revenue"))
     g = peak.join(top_title, "genre_name", "left").select(
         "genre_name", F.col("best.t").alias("top_movie"), "top_revenue")
     return g.orderBy(F.col("top_revenue").desc_nulls_last(), F.col("genre_name").asc_nulls_last()).limit(k)

@@ -107,3 +107,52 @@ def test_describe_metadata(spark):
     out = quality.describe(df, {"movie_id": "Surrogate key for each movie"})
     assert out.schema["movie_id"].metadata["comment"] == "Surrogate key for each movie"
     assert dt.date is not None and F is not None
+
+
+def _copies_world(spark):
+    """One id (tt7) holds most fact rows and, through several distinct titles,
+    several movie rows; revenues tie across copies."""
+    from fixtures import films, crew
+
+    rows = [dict(imdb_id="tt7", title=f"Copy {i % 15:02d}", revenue=(i * 37) % 50,
+                 release_date=dt.date(2000, 1 + i % 12, 1), genres=("Drama" if i % 3 else "Horror"))
+            for i in range(240)]
+    rows += [dict(imdb_id=f"tt{100 + i}", title=f"Film {i:03d}", revenue=(i * 11) % 60,
+                  release_date=dt.date(2000 + i % 2, 3, 1), genres=("Drama", "Horror", "Comedy")[i % 3])
+             for i in range(120)]
+    f = films(spark, rows)
+    c = crew(spark, [(f"tt{100 + i}", "nm1") for i in range(120)] + [("tt7", "nm2")])
+    return fact_movie_performance(f, c), D.dim_movie(f), D.dim_genre(f)
+
+
+def _pairs(fact, dm, dg, year):
+    m = dm.filter(F.year("release_date") == year).select("imdb_id", "movie_title")
+    return fact.select("imdb_id", "genre_id", "revenue").join(m, "imdb_id").join(dg, "genre_id")
+
+
+def test_top_films_equals_ranking_all_pairs(spark):
+    from pyspark.sql import Window
+
+    fact, dm, dg = _copies_world(spark)
+    got = R.top_films(fact, dm, dg, 2000, k=4).collect()
+    order = [F.col("revenue").desc_nulls_last(), F.col("movie_title").asc_nulls_last(),
+             F.col("imdb_id").asc_nulls_last()]
+    want = (_pairs(fact, dm, dg, 2000).withColumn("rank", F.row_number().over(Window.partitionBy("genre_name")
+                                                                              .orderBy(*order)))
+            .filter("rank <= 4").select("genre_name", "rank", "movie_title", "imdb_id", "revenue").collect())
+    assert sorted(got) == sorted(want) and len(got) == 12
+
+
+def test_top_genres_by_peak_equals_counting_all_pairs(spark):
+    fact, dm, dg = _copies_world(spark)
+    got = {r.genre_name: (r.top_movie, r.top_revenue) for r in R.top_genres_by_peak(fact, dm, dg, 2000).collect()}
+    pairs = _pairs(fact, dm, dg, 2000).collect()
+    want = {}
+    for g in {p.genre_name for p in pairs}:
+        ps = [p for p in pairs if p.genre_name == g]
+        counts = {}
+        for p in ps:
+            counts[p.movie_title] = counts.get(p.movie_title, 0) + 1
+        best = min(counts, key=lambda t: (-counts[t], t))
+        want[g] = (best, max(p.revenue for p in ps))
+    assert got == want
