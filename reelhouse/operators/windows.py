@@ -160,36 +160,40 @@ def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
     share: float = 0.01,
-    sample_fraction: float = 0.01,
+    sample_fraction: float = 0.001,
     min_rows: int = 1_000_000,
     seed: int = 7,
 ) -> DataFrame | None:
     """Key values holding more than ``share`` of the rows, or ``None``.
 
-    Estimated on a Bernoulli sample of the key columns only (a pruned scan).
-    A key must also hold an estimated ``min_rows`` rows: smaller groups fit a
-    task anyway.  At most ``1 / share`` keys can qualify, so the collected
-    list is bounded by construction and the returned frame is safe to
-    broadcast.
+    One job over a Bernoulli sample of the key columns only (a pruned scan;
+    nothing is persisted): a ``rollup`` counts the sampled rows per key and,
+    in the same pass, in total.  Counts combine map-side, so a hot key costs
+    one partial row per task.  Only the total and the heaviest keys reach the
+    driver, through an ordered limit: at most ``1 / share`` keys can hold more
+    than ``share`` of the rows, so the returned frame is small by construction
+    and safe to broadcast.  A key must also hold an estimated ``min_rows``
+    rows, since smaller groups fit one task anyway; choose ``sample_fraction``
+    so that ``min_rows * sample_fraction`` is a few hundred rows or more.
     """
     spark = df.sparkSession
-    sampled = df.select(*keys).sample(fraction=sample_fraction, seed=seed).persist()
-    try:
-        n = sampled.count()
-        if n == 0:
-            return None
-        rows = (
-            sampled.groupBy(*keys).count()
-            .filter((F.col("count") > F.lit(n * share))
-                    & (F.col("count") >= F.lit(min_rows * sample_fraction)))
-            .select(*keys)
-            .collect()  # > n * share rows each, so at most 1 / share keys
-        )
-    finally:
-        sampled.unpersist()
-    if not rows:
+    total_level = (1 << len(keys)) - 1  # grouping_id of the grand-total row
+    counts = (
+        df.select(*keys).sample(fraction=sample_fraction, seed=seed)
+        .rollup(*keys).agg(F.count(F.lit(1)).alias("__n"), F.grouping_id().alias("__g"))
+    )
+    per_key = (F.col("__g") == 0) & (F.col("__n") >= F.lit(min_rows * sample_fraction))
+    rows = (
+        counts.filter((F.col("__g") == total_level) | per_key)
+        .orderBy(F.col("__n").desc())
+        .limit(int(1 / share) + 2)  # the total row first, then the heaviest keys
+        .collect()
+    )
+    n = next((r["__n"] for r in rows if r["__g"] == total_level), 0)
+    hot = [tuple(r[k] for k in keys) for r in rows if r["__g"] == 0 and r["__n"] > n * share]
+    if not hot:
         return None
-    return spark.createDataFrame(rows, schema=df.select(*keys).schema)
+    return spark.createDataFrame(hot, schema=df.select(*keys).schema)
 
 
 def top_k_per_group(

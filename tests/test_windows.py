@@ -71,3 +71,14 @@ def test_dense_row_id_spreads_a_group_of_copies(spark):
     ids = sorted(r.rid for r in out.collect())
     assert ids == list(range(1, 9001))
     assert {r.rid for r in out.filter("k = 7").collect()} == set(range(1, 3001))
+
+
+def test_find_hot_keys_two_columns_and_null_key(spark):
+    # ("x", NULL) holds 40% of the rows; the grand total and the ("x") subtotal
+    # of the rollup must not be mistaken for keys
+    hot = spark.range(4000).select(F.lit("x").alias("a"), F.lit(None).cast("int").alias("b"))
+    rest = spark.range(6000).select(F.lit("x").alias("a"), (F.col("id") % 600).cast("int").alias("b"))
+    df = hot.unionByName(rest)
+    found = find_hot_keys(df, ["a", "b"], share=0.1, sample_fraction=0.5, min_rows=100)
+    assert found is not None and [tuple(r) for r in found.collect()] == [("x", None)]
+    assert found.schema == df.select("a", "b").schema
