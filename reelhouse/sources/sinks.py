@@ -121,17 +121,13 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 def write_run(df: DataFrame, root: str, run_date: str, column: str = "run_date") -> None:
     """Store one run of a raw snapshot under ``root/run_date=...``.
 
-    Dynamic partition overwrite replaces only that run's folder, so earlier
-    runs are kept and a rerun of the same day is idempotent.
+    Dynamic partition overwrite (a per-write option, so concurrent writers
+    are unaffected) replaces only that run's folder: earlier runs are kept and
+    a rerun of the same day is idempotent.
     """
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (df.withColumn(column, F.lit(run_date).cast("date"))
-           .write.mode("overwrite").partitionBy(column).parquet(root))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.withColumn(column, F.lit(run_date).cast("date"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(column).parquet(root))
 
 
 def list_runs(spark: SparkSession, root: str, column: str = "run_date") -> list[str]:
