@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.exprs import first_item, popularity, surrogate_key
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim, maybe_broadcast
+from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits, join_dim
 from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_spread, lag_window, split_by_keys
 from reelhouse.plans.dims import KEY_ALGO
 
@@ -61,11 +61,17 @@ def _blank_first_genre_exists(films: DataFrame) -> bool:
     return films.filter(g.isNotNull() & (g != "") & (first_item(g) == "")).limit(1).count() > 0
 
 
-def _resolve_hot_keys(films: DataFrame, hot_keys):
-    """``"auto"``: sample the (cheap, column-pruned) bronze ids, not the joined rows."""
-    if isinstance(hot_keys, str) and hot_keys == "auto":
-        return find_hot_keys(films, ["imdb_id"])
-    return hot_keys
+def _resolve_hot_keys(films: DataFrame, directors: DataFrame, hot_keys):
+    """``"auto"``: ids heavy in the films *or* in the crew rows, each found on
+    a sample of its (cheap, column-pruned) id column, not on the joined rows.
+    Each list holds at most ``1 / share`` ids, so their union stays small."""
+    if not (isinstance(hot_keys, str) and hot_keys == "auto"):
+        return hot_keys
+    found = [h for h in (find_hot_keys(films, ["imdb_id"]), find_hot_keys(directors, ["imdb_id"]))
+             if h is not None]
+    if not found:
+        return None
+    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
 
 
 def _finish(metrics: DataFrame, key_algo: str, id_partitions: int | None) -> DataFrame:
@@ -77,19 +83,28 @@ def _finish(metrics: DataFrame, key_algo: str, id_partitions: int | None) -> Dat
 def _join_crew(t: DataFrame, directors: DataFrame, hot, max_broadcast_rows: int):
     """Films LEFT JOIN first directors on imdb_id, as ``(cold, hot)`` frames.
 
-    Without hot ids: one shuffle join (``hot`` is ``None``).  With hot ids the
-    rows are split *before* the join: cold films take the shuffle join, while
-    the rows of the few hot ids meet their crew rows in a broadcast join (that
-    crew side is size-checked), so no join task receives a whole hot group.
-    Splitting after the join would not help: AQE cannot split a skewed join
-    partition whose hash partitioning the lag window downstream relies on.
+    Without hot ids: one shuffle join (``hot`` is ``None``).  With hot ids
+    both inputs are split *before* the join, so the cold shuffle join never
+    sees a hot id on either side.  The hot ids' films meet their crew rows in
+    a broadcast join when those crew rows are checked few; otherwise as an
+    inner join (AQE splits a skewed partition on either side, or both) plus
+    the films without any crew row (an anti join against the hot ids that do
+    have crew rows: at most the hot-id list).  No join task receives a whole
+    hot group.  Splitting after the join would not help: AQE cannot split a
+    skewed join partition whose hash partitioning the lag window downstream
+    relies on, nor the inner side of a left outer join.
     """
     if hot is None:
         return t.join(directors, "imdb_id", "left"), None
     cold_t, hot_t = split_by_keys(t, ["imdb_id"], hot)
-    _, hot_dirs = split_by_keys(directors, ["imdb_id"], hot)
-    return (cold_t.join(directors, "imdb_id", "left"),
-            hot_t.join(maybe_broadcast(hot_dirs, max_broadcast_rows), "imdb_id", "left"))
+    cold_d, hot_d = split_by_keys(directors, ["imdb_id"], hot)
+    cold = cold_t.join(cold_d, "imdb_id", "left")
+    if fits(hot_d, max_broadcast_rows):
+        return cold, hot_t.join(F.broadcast(hot_d), "imdb_id", "left")
+    matched = hot_t.join(hot_d, "imdb_id", "inner")
+    with_crew = F.broadcast(hot_d.select("imdb_id").distinct())  # a subset of the hot ids
+    alone = hot_t.join(with_crew, "imdb_id", "left_anti")
+    return cold, matched.unionByName(alone, allowMissingColumns=True)
 
 
 def _join_crew_and_lag(t: DataFrame, directors: DataFrame, hot, max_broadcast_rows: int) -> DataFrame:
@@ -118,8 +133,9 @@ def fact_movie_performance(
 ) -> DataFrame:
     """Fact table from bronze films and crew (direct plan).
 
-    ``hot_keys``: ``"auto"`` samples imdb_id for groups large enough to need
-    splitting (see ``find_hot_keys``), ``None`` uses the plain join and window,
+    ``hot_keys``: ``"auto"`` samples the film ids and the crew ids for groups
+    large enough to need splitting (see ``find_hot_keys``), ``None`` uses the
+    plain join and window,
     or pass a small frame of imdb_id values.
     An empty first-director list gives NULL as director key
     (``blank_director_as_null=False`` keeps '' as the model does).
@@ -154,7 +170,7 @@ def fact_movie_performance(
     if blank_director_as_null:
         first_dir = F.nullif(first_dir, F.lit(""))
     directors = crew.select(F.col("tconst").alias("imdb_id"), first_dir.alias("director_id"))
-    hot = _resolve_hot_keys(films, hot_keys)
+    hot = _resolve_hot_keys(films, directors, hot_keys)
     metrics = _join_crew_and_lag(t, directors, hot, max_broadcast_rows)
     return _finish(metrics, key_algo, id_partitions)
 

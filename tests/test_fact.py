@@ -105,3 +105,24 @@ def test_fact_hot_id_split_before_the_crew_join(spark):
     # the hot rows meet their crew rows in a broadcast join; the cold rows in a shuffle join
     assert "SortMergeJoin" in cold_plan and "LeftOuter" in cold_plan
     assert "SortMergeJoin" not in hot_plan and "BroadcastHashJoin" in hot_plan and "LeftOuter" in hot_plan
+
+
+def test_fact_hot_id_heavy_in_crew_too(spark):
+    # tt7: 40 film rows and 30 crew rows (a group of copies on both sides); the
+    # hot crew rows exceed the broadcast cap, so the hot branch takes the
+    # inner join plus the films without crew rows (tt8 is hot but has none)
+    hot_rows = [dict(imdb_id="tt7", title=f"Copy {i}", revenue=1000 + i) for i in range(40)]
+    hot_rows += [dict(imdb_id="tt8", title=f"Lone {i}", revenue=i) for i in range(5)]
+    cold_rows = [dict(imdb_id=f"tt{100 + i}", title=f"Film {i}", revenue=i) for i in range(60)]
+    f = films(spark, hot_rows + cold_rows).repartition(4)
+    c = crew(spark, [("tt7", f"nm{i},nm0") for i in range(30)] + [(f"tt{100 + i}", "nm5") for i in range(0, 60, 3)])
+    hot = spark.createDataFrame([("tt7",), ("tt8",)], "imdb_id string")
+    plain = fact_movie_performance(f, c, hot_keys=None).collect()
+    split = fact_movie_performance(f, c, hot_keys=hot, max_broadcast_rows=10).collect()
+    assert len(plain) == 40 * 30 + 5 + 60
+    key = lambda r: (r.imdb_id, r.director_id or "", r.revenue, r.fact_id)
+    assert sorted(plain, key=key) == sorted(split, key=key)
+    d = c.select(F.col("tconst").alias("imdb_id"), F.col("directors").alias("director_id"))
+    _, hot_j = FM._join_crew(FM._film_measures(f), d, hot, 10)
+    plan = hot_j._jdf.queryExecution().executedPlan().toString()
+    assert "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
