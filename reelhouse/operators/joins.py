@@ -49,17 +49,29 @@ def reduce_then_left_join(
 ) -> DataFrame:
     """``keys LEFT JOIN big ON keys.key_col = big.big_col`` for a very large ``big``.
 
-    When the distinct keys are checked small, ``big`` is first cut down with a
-    broadcast left-semi join (no shuffle of ``big``); the left join then only
-    moves the reduced rows (AQE broadcasts them when the runtime size allows;
-    a broadcast left outer join always builds the right side, so reducing
-    ``big`` first is what makes that possible).
-    Otherwise it is one shuffle join (the keys side is usually already hash
-    partitioned by the DISTINCT that produced it).
+    ``keys`` holds distinct key values.  The left join is computed as the
+    inner join plus the keys without any match (an anti join against the
+    distinct matched keys), because a skewed key on ``big``'s side, the inner
+    side of a left outer join, can be split neither by AQE nor by a broadcast
+    of ``keys``:
+
+    * keys checked small: ``big`` streams through a broadcast inner join
+      against the keys (no shuffle of ``big`` at all); its matched key values
+      are at most the keys, so their distinct list is broadcast for the anti
+      join.
+    * otherwise: one shuffle inner join, whose skewed partitions AQE splits on
+      either side, and an anti join against ``big``'s distinct key values
+      (map-side partial aggregation, so a hot key costs one row per task).
     """
-    cond_semi = F.col(big_col).isNotNull()
+    if key_col == big_col:
+        raise ValueError("key_col and big_col must have different names")
+    on = F.col(key_col) == F.col(big_col)
+    present = big.filter(F.col(big_col).isNotNull())
     if fits(keys, max_broadcast_rows):
-        small = F.broadcast(keys.select(F.col(key_col).alias("__k")))
-        reduced = big.filter(cond_semi).join(small, F.col(big_col) == F.col("__k"), "left_semi")
-        return keys.join(reduced, keys[key_col] == reduced[big_col], "left")
-    return keys.join(big, keys[key_col] == big[big_col], "left")
+        matched = present.join(F.broadcast(keys), on, "inner")
+        found = F.broadcast(matched.select(F.col(big_col).alias("__k")).distinct())
+    else:
+        matched = keys.join(present, on, "inner")
+        found = present.select(F.col(big_col).alias("__k")).distinct()
+    alone = keys.join(found, F.col(key_col) == F.col("__k"), "left_anti")
+    return matched.select(*keys.columns, *big.columns).unionByName(alone, allowMissingColumns=True)

@@ -82,3 +82,18 @@ def test_find_hot_keys_two_columns_and_null_key(spark):
     found = find_hot_keys(df, ["a", "b"], share=0.1, sample_fraction=0.5, min_rows=100)
     assert found is not None and [tuple(r) for r in found.collect()] == [("x", None)]
     assert found.schema == df.select("a", "b").schema
+
+
+def test_reduce_then_left_join_equals_left_join(spark):
+    from reelhouse.operators.joins import reduce_then_left_join
+
+    keys = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "k string")
+    big = spark.range(300).select(
+        F.when(F.col("id") < 200, F.lit("a")).when(F.col("id") < 210, F.lit("b"))
+        .when(F.col("id") < 220, F.lit(None)).otherwise(F.concat(F.lit("z"), F.col("id").cast("string")))
+        .alias("n"), F.col("id").alias("v"))
+    want = sorted(keys.join(big, keys.k == big.n, "left").collect(), key=str)
+    for cap in (1000, 1):  # broadcast branch, then shuffle branch
+        got = reduce_then_left_join(keys, big, "k", "n", max_broadcast_rows=cap)
+        assert got.columns == ["k", "n", "v"]
+        assert sorted(got.collect(), key=str) == want
