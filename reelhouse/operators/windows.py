@@ -210,3 +210,20 @@ def top_k_per_group(
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
+
+
+def top_n(df: DataFrame, order: Sequence[Column], n: int, fan_in: int = 1024) -> DataFrame:
+    """The first ``n`` rows of ``df`` in ``order`` (give a unique tiebreak).
+
+    ``orderBy(order).limit(n)`` alone plans as ``TakeOrderedAndProject``,
+    whose final merge pulls ``n`` rows from *every* input partition into one
+    task: a number that grows with the input.  Here the input partitions are
+    first dealt into ``fan_in`` groups, each reduced to its first ``n`` rows
+    (partial ``WindowGroupLimit`` in every map task, then once more per
+    group), so a group task receives about ``partitions / fan_in * n`` rows
+    and the final merge at most ``fan_in * n``.
+    """
+    g, r = "__topn_group", "__topn_rank"
+    grouped = df.withColumn(g, F.spark_partition_id() % F.lit(fan_in))
+    firsts = top_k_per_group(grouped, [g], order, n, r).drop(g, r)
+    return firsts.orderBy(*order).limit(n)

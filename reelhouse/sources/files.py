@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelhouse.operators.clean import select_existing
+from reelhouse.operators.windows import top_n
 
 
 def read_films_csv(
@@ -84,11 +85,12 @@ def sample_first(df: DataFrame, n: int, order_by: Sequence[str] | None = None) -
     """The first ``n`` rows.
 
     With ``order_by`` the rows are the first in that order (ascending, NULLs
-    last) and the plan is a distributed top-k (``TakeOrderedAndProject``).
-    Without it, "first" means file order: a scan-order index is attached
-    before the limit, so the result does not depend on shuffle timing.
+    last).  Without it, "first" means scan order: a scan-order index is
+    attached, so the result does not depend on shuffle timing.  Either way
+    the selection is a distributed top-n (``windows.top_n``) whose tasks each
+    receive a bounded number of rows, however many partitions the input has.
     """
     if order_by:
-        return df.orderBy(*[F.col(c).asc_nulls_last() for c in order_by]).limit(n)
+        return top_n(df, [F.col(c).asc_nulls_last() for c in order_by], n)
     idx = "__scan_order"
-    return df.withColumn(idx, F.monotonically_increasing_id()).orderBy(idx).limit(n).drop(idx)
+    return top_n(df.withColumn(idx, F.monotonically_increasing_id()), [F.col(idx).asc()], n).drop(idx)

@@ -97,3 +97,14 @@ def test_reduce_then_left_join_equals_left_join(spark):
         got = reduce_then_left_join(keys, big, "k", "n", max_broadcast_rows=cap)
         assert got.columns == ["k", "n", "v"]
         assert sorted(got.collect(), key=str) == want
+
+
+def test_top_n_equals_order_limit_and_merges_in_two_levels(spark):
+    from reelhouse.operators.windows import top_n
+
+    df = spark.createDataFrame(_rows(), "id int, k string, t int, v double").repartition(12)
+    order = [F.col("v").desc(), F.col("id").asc()]
+    got = top_n(df, order, 25, fan_in=3)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert got.collect() == df.orderBy(*order).limit(25).collect()
