@@ -62,19 +62,23 @@ def dense_row_id(
     counts = fixed.groupBy(F.spark_partition_id().alias("pid")).count().collect()
     if not counts:
         return fixed.withColumn(name, F.lit(None).cast("bigint"))
-    n_parts = max(r["pid"] for r in counts) + 1
-    per_part = [0] * n_parts
-    for r in counts:
-        per_part[r["pid"]] = r["count"]
+    per_part = dict((r["pid"], r["count"]) for r in counts)
     offsets, acc = [], 0
-    for c in per_part:
-        offsets.append(acc)
-        acc += c
+    for p in range(max(per_part) + 1):
+        offsets.append((p, acc))
+        acc += per_part.get(p, 0)
+    # One (partition, offset) row per range: bounded by the partition count,
+    # not by the data, so it is broadcast; the join keeps each row in place.
+    offs = spark.createDataFrame(offsets, "__pid int, __off bigint")
     pid = F.spark_partition_id()
     # monotonically_increasing_id = (partition index << 33) + position in partition
-    pos = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    offset = F.element_at(F.array(*[F.lit(o).cast("bigint") for o in offsets]), pid + 1)
-    return fixed.withColumn(name, offset + pos + F.lit(start).cast("bigint"))
+    located = fixed.withColumns({
+        "__pid": pid,
+        "__pos": F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33),
+    })
+    out = located.join(F.broadcast(offs), "__pid", "inner")
+    return out.withColumn(name, F.col("__off") + F.col("__pos") + F.lit(start).cast("bigint")).drop(
+        "__pid", "__pos", "__off")
 
 
 def lag_delta(

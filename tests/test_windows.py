@@ -108,3 +108,12 @@ def test_top_n_equals_order_limit_and_merges_in_two_levels(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
     assert got.collect() == df.orderBy(*order).limit(25).collect()
+
+
+def test_dense_row_id_many_ranges(spark):
+    # many ranges: offsets travel as a broadcast (partition, offset) frame
+    df = spark.range(20000).select(((F.col("id") * 7919) % 20000).alias("k"))
+    out = dense_row_id(df, ["k"], name="rid", partitions=400)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert out.filter(F.col("rid") != F.col("k") + 1).count() == 0
