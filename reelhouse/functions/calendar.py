@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 # Spark ``dayofweek``: 1 = Sunday ... 7 = Saturday.
 SUNDAY, MONDAY, THURSDAY, SATURDAY = 1, 2, 5, 7
+# Full English weekday names, indexed by ``dayofweek - 1``.
+FULL_WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
 class HolidayRule(NamedTuple):
@@ -67,12 +69,23 @@ def weekday_name(col) -> Column:
     return F.date_format(_c(col), "E")
 
 
-def is_weekend(col) -> Column:
-    """1 for Saturday or Sunday, else 0 (decided on the weekday number, not its name)."""
-    return F.when(F.dayofweek(_c(col)).isin(SATURDAY, SUNDAY), 1).otherwise(0)
+def _is_weekday(d: Column, day: int, by_name: bool) -> Column:
+    """Is ``d`` on weekday ``day``?  ``by_name`` compares the short weekday
+    name with the full one, as the warehouse model literally does: that test
+    is never true (kept only to reproduce the model's output)."""
+    if by_name:
+        return weekday_name(d) == FULL_WEEKDAY_NAMES[day - 1]
+    return F.dayofweek(d) == day
 
 
-def _rule_condition(d: Column, rule: HolidayRule, strict_thanksgiving: bool) -> Column:
+def is_weekend(col, by_name: bool = False) -> Column:
+    """1 for Saturday or Sunday, else 0 (decided on the weekday number; see
+    ``_is_weekday`` for ``by_name``)."""
+    d = _c(col)
+    return F.when(_is_weekday(d, SATURDAY, by_name) | _is_weekday(d, SUNDAY, by_name), 1).otherwise(0)
+
+
+def _rule_condition(d: Column, rule: HolidayRule, strict_thanksgiving: bool, by_name: bool) -> Column:
     cond = F.month(d) == rule.month
     day_from, day_to = rule.day_from, rule.day_to
     if strict_thanksgiving and rule.name == "Thanksgiving":
@@ -83,17 +96,22 @@ def _rule_condition(d: Column, rule: HolidayRule, strict_thanksgiving: bool) ->
     if day_from is not None:
         cond = cond & F.dayofmonth(d).between(day_from, day_to if day_to is not None else day_from)
     if rule.weekday is not None:
-        cond = cond & (F.dayofweek(d) == rule.weekday)
+        cond = cond & _is_weekday(d, rule.weekday, by_name)
     if min_week is not None:
         cond = cond & (F.weekofyear(d) >= min_week)
     return cond
 
 
-def holiday_name(col, rules=HOLIDAY_RULES, strict_thanksgiving: bool = False) -> Column:
-    """Name of the first matching holiday rule, NULL when none matches."""
+def holiday_name(col, rules=HOLIDAY_RULES, strict_thanksgiving: bool = False,
+                 weekday_by_name: bool = False) -> Column:
+    """Name of the first matching holiday rule, NULL when none matches.
+
+    ``weekday_by_name=True`` reproduces the model literally: its weekday rules
+    (Labor Day, Thanksgiving) then never match.
+    """
     d = _c(col)
     expr = None
     for rule in rules:
-        cond = _rule_condition(d, rule, strict_thanksgiving)
+        cond = _rule_condition(d, rule, strict_thanksgiving, weekday_by_name)
         expr = F.when(cond, rule.name) if expr is None else expr.when(cond, rule.name)
     return expr

@@ -47,12 +47,16 @@ names_raw AS (
 )"""
 
 
-def _calendar_select(date_expr: str, strict: bool) -> str:
+def _calendar_select(date_expr: str, strict: bool, by_name: bool = False) -> str:
     d = date_expr
+    # by_name: the model's literal weekday tests (short name against full names)
+    monday = f"strftime({d}, '%a') = 'Monday'" if by_name else f"isodow({d}) = 1"
+    thursday = f"strftime({d}, '%a') = 'Thursday'" if by_name else f"isodow({d}) = 4"
+    weekend = f"strftime({d}, '%a') IN ('Saturday', 'Sunday')" if by_name else f"isodow({d}) IN (6, 7)"
     thanksgiving = (
-        f"month({d}) = 11 AND isodow({d}) = 4 AND day({d}) BETWEEN 22 AND 28"
+        f"month({d}) = 11 AND {thursday} AND day({d}) BETWEEN 22 AND 28"
         if strict
-        else f"month({d}) = 11 AND isodow({d}) = 4 AND week({d}) >= 47"
+        else f"month({d}) = 11 AND {thursday} AND week({d}) >= 47"
     )
     holiday = f"""CASE
       WHEN month({d}) = 1 AND day({d}) = 1 THEN 'New Years Day'
@@ -64,7 +68,7 @@ def _calendar_select(date_expr: str, strict: bool) -> str:
       WHEN month({d}) = 5 AND day({d}) = 5 THEN 'Cinco de Mayo'
       WHEN month({d}) = 6 AND day({d}) BETWEEN 19 AND 26 THEN 'Midsummer'
       WHEN month({d}) = 7 AND day({d}) = 4 THEN 'Independence Day'
-      WHEN month({d}) = 9 AND day({d}) BETWEEN 1 AND 7 AND isodow({d}) = 1 THEN 'Labor Day (US)'
+      WHEN month({d}) = 9 AND day({d}) BETWEEN 1 AND 7 AND {monday} THEN 'Labor Day (US)'
       WHEN month({d}) = 10 AND day({d}) = 31 THEN 'Halloween'
       WHEN {thanksgiving} THEN 'Thanksgiving'
       WHEN month({d}) = 12 AND day({d}) = 24 THEN 'Christmas Eve'
@@ -78,7 +82,7 @@ def _calendar_select(date_expr: str, strict: bool) -> str:
          strftime({d}, '%a') AS weekday,
          CASE WHEN month({d}) IN (12, 1, 2) THEN 'Winter' WHEN month({d}) IN (3, 4, 5) THEN 'Spring'
               WHEN month({d}) IN (6, 7, 8) THEN 'Summer' WHEN month({d}) IN (9, 10, 11) THEN 'Autumn' END AS season,
-         CASE WHEN isodow({d}) IN (6, 7) THEN 1 ELSE 0 END AS is_weekend,
+         CASE WHEN {weekend} THEN 1 ELSE 0 END AS is_weekend,
          {holiday} AS holiday_name,
          CASE WHEN ({holiday}) IS NOT NULL THEN 1 ELSE 0 END AS is_holiday,
          CAST(NULL AS INTEGER) AS days_until_holiday, CAST(NULL AS INTEGER) AS days_after_holiday"""
@@ -192,6 +196,8 @@ SELECT imdb_id, title, release_date, production_companies, budget, revenue, vote
     dims = f"WITH {BRONZE_CTES},\n{DIM_CTES}\n"
     for name in ("dim_movie", "dim_genre", "dim_director", "dim_production", "dim_date"):
         q[f"q_{name}"] = dims + f"SELECT * FROM {name}"
+    q["q_dim_date_literal"] = bronze + f"""SELECT * FROM ({_calendar_select('full_date', False, True)}
+  FROM (SELECT DISTINCT release_date AS full_date FROM tmdb_raw WHERE release_date IS NOT NULL) s) c"""
     q["q_calendar_orders"] = (f"SELECT * FROM ({_calendar_select('full_date', False)} FROM "
                               f"(SELECT DISTINCT CAST(o_orderdate AS DATE) AS full_date FROM orders) s) c")
     q["q_holidays_strict"] = (f"SELECT * FROM ({_calendar_select('full_date', True)} FROM "

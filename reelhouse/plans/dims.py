@@ -111,8 +111,14 @@ def dim_director(
 
 
 def calendar(dates: DataFrame, date_col: str = "full_date", strict_thanksgiving: bool = False,
-             key_algo: str = KEY_ALGO) -> DataFrame:
-    """Calendar attributes for a frame with one DATE column per row."""
+             key_algo: str = KEY_ALGO, weekday_by_name: bool = False) -> DataFrame:
+    """Calendar attributes for a frame with one DATE column per row.
+
+    Weekday tests (weekend, Labor Day, Thanksgiving) use the weekday number.
+    ``weekday_by_name=True`` reproduces the model's literal output instead: it
+    compares the short weekday name with full names, so those tests are never
+    true (``is_weekend`` is always 0, neither holiday is tagged).
+    """
     d = F.col(date_col)
     return dates.select(
         surrogate_key(d, key_algo).alias("date_id"),
@@ -123,8 +129,9 @@ def calendar(dates: DataFrame, date_col: str = "full_date", strict_thanksgiving:
         F.weekofyear(d).alias("week"),
         weekday_name(d).alias("weekday"),
         season(d).alias("season"),
-        is_weekend(d).alias("is_weekend"),
-        holiday_name(d, strict_thanksgiving=strict_thanksgiving).alias("holiday_name"),
+        is_weekend(d, by_name=weekday_by_name).alias("is_weekend"),
+        holiday_name(d, strict_thanksgiving=strict_thanksgiving, weekday_by_name=weekday_by_name)
+        .alias("holiday_name"),
     ).select(
         "*",
         F.when(F.col("holiday_name").isNotNull(), 1).otherwise(0).alias("is_holiday"),
@@ -134,9 +141,10 @@ def calendar(dates: DataFrame, date_col: str = "full_date", strict_thanksgiving:
 
 
 def dim_date(films: DataFrame, date_col: str = "release_date", strict_thanksgiving: bool = False,
-             key_algo: str = KEY_ALGO) -> DataFrame:
-    """Calendar rows for the distinct non-NULL dates of ``date_col``."""
+             key_algo: str = KEY_ALGO, weekday_by_name: bool = False) -> DataFrame:
+    """Calendar rows for the distinct non-NULL dates of ``date_col`` (see
+    ``calendar`` for ``weekday_by_name``)."""
     dates = films.select(F.col(date_col).cast("date").alias("full_date")).filter(
         F.col("full_date").isNotNull()
     ).distinct()
-    return calendar(dates, "full_date", strict_thanksgiving, key_algo)
+    return calendar(dates, "full_date", strict_thanksgiving, key_algo, weekday_by_name)

@@ -99,6 +99,7 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
     q["q_dim_director"] = lambda w: w.dim_director
     q["q_dim_production"] = lambda w: w.dim_production
     q["q_dim_date"] = lambda w: w.dim_date
+    q["q_dim_date_literal"] = lambda w: D.dim_date(w.bronze.tmdb_raw, weekday_by_name=True)
     q["q_calendar_orders"] = lambda w: D.calendar(_order_dates(w.spark, w.sf_dir))
     q["q_holidays_strict"] = lambda w: D.calendar(_order_dates(w.spark, w.sf_dir), strict_thanksgiving=True)
     q["q_surrogate_key"] = lambda w: read_testdata(w.spark, w.sf_dir, "customer").select(

@@ -97,3 +97,16 @@ def test_weekend_weekday_season(spark):
     assert [r[1] for r in rows][:3] == ["Sat", "Sun", "Mon"]
     assert [r[2] for r in rows][3:] == ["Winter", "Spring", "Autumn"]
     assert not math.isnan(0.0)
+
+
+def test_weekday_tests_by_number_and_literal_by_name(spark):
+    import datetime as dt
+
+    from reelhouse.plans.dims import calendar
+
+    days = [(dt.date(2001, 9, 1),), (dt.date(2001, 9, 3),), (dt.date(2001, 11, 22),)]  # Sat, Labor Day, Thanksgiving
+    df = spark.createDataFrame(days, "full_date date")
+    intent = {r.full_date.day: (r.is_weekend, r.holiday_name) for r in calendar(df).collect()}
+    assert intent == {1: (1, None), 3: (0, "Labor Day (US)"), 22: (0, "Thanksgiving")}
+    literal = {r.full_date.day: (r.is_weekend, r.holiday_name) for r in calendar(df, weekday_by_name=True).collect()}
+    assert literal == {1: (0, None), 3: (0, None), 22: (0, None)}
