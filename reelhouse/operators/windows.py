@@ -1,4 +1,4 @@
-"""Ordered operators: change vs previous row, global row ids, top-k per group.
+"""Ordered operators: change vs previous row, global row ids, top rows.
 
 ``dense_row_id`` is the distributed replacement for ``row_number() OVER
 (ORDER BY ...)`` without PARTITION BY, which Spark would run in a single task.
@@ -8,6 +8,13 @@ ranged data to the reliable checkpoint folder so its boundaries can never move
 between the two passes (even if executors are lost), counts the rows of each
 range (one number per partition reaches the driver) and numbers rows as
 range offset + position inside the range.
+
+``lag_delta`` is ``x - lag(x)`` per group: a plain window for ordinary groups
+(``lag_window``) and, for the few groups ``find_hot_keys`` reports, a path
+that never holds a group in one task (``lag_spread``); ``split_by_keys``
+separates the two with broadcast joins against the bounded hot-key list.
+``top_k_per_group`` and ``top_n`` keep the first rows per group / overall with
+partial limits before every shuffle.
 """
 
 from __future__ import annotations
