@@ -31,6 +31,32 @@ SQL_CONF = {
 }
 
 
+def sizing(input_bytes: int, total_cores: int, partition_bytes: int = 256 * 1024 * 1024,
+           max_waves: int = 20) -> dict[str, str]:
+    """Shuffle and scan settings for a job reading about ``input_bytes`` on
+    ``total_cores`` task slots.
+
+    The shuffle gets one partition per ``partition_bytes`` of input (a shuffle
+    rarely outgrows its input once columns are pruned), in whole waves of the
+    cluster, at least two.  The number of shuffle blocks is map tasks times
+    partitions, so both the shuffle and the scan are capped at ``max_waves``:
+    beyond that, partitions and scan splits grow instead (the sort-based
+    shuffle and aggregation spill to disk).  AQE starts from that partition
+    count, coalesces the excess and splits skewed partitions.
+    """
+    cores = max(total_cores, 1)
+    mb = 1024 * 1024
+    waves = min(max(2, -(-input_bytes // (partition_bytes * cores))), max_waves)
+    n = waves * cores
+    split = max(128 * mb, -(-input_bytes // (cores * max_waves * mb)) * mb)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply :data:`SQL_CONF` to an existing session and return it."""
     for k, v in SQL_CONF.items():

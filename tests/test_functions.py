@@ -110,3 +110,18 @@ def test_weekday_tests_by_number_and_literal_by_name(spark):
     assert intent == {1: (1, None), 3: (0, "Labor Day (US)"), 22: (0, "Thanksgiving")}
     literal = {r.full_date.day: (r.is_weekend, r.holiday_name) for r in calendar(df, weekday_by_name=True).collect()}
     assert literal == {1: (0, None), 3: (0, None), 22: (0, None)}
+
+
+def test_sizing_for_a_large_input():
+    from reelhouse.session import sizing
+
+    tb, mb = 1024 ** 4, 1024 ** 2
+    small = sizing(10 * tb, total_cores=8000)
+    n = int(small["spark.sql.shuffle.partitions"])
+    assert n % 8000 == 0 and 10 * tb / n <= 256 * mb  # whole waves, partitions of at most 256 MB
+    big = sizing(100 * tb, total_cores=8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 20 * 8000  # capped at 20 waves
+    scan_tasks = 100 * tb / int(big["spark.sql.files.maxPartitionBytes"])
+    assert scan_tasks <= 20 * 8000 + 1  # the scan is capped too: splits grow past 128 MB
+    assert int(sizing(10 * mb, total_cores=8)["spark.sql.shuffle.partitions"]) == 16  # two waves minimum
+    assert int(sizing(10 * mb, total_cores=8)["spark.sql.files.maxPartitionBytes"]) == 128 * mb
