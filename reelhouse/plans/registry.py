@@ -168,9 +168,7 @@ def _bronze_from_csv(w: Warehouse) -> DataFrame:
 def _crew_from_tsv_gz(w: Warehouse) -> DataFrame:
     """Crew rows written as gzip TSV (\\N for NULL), read back by the TSV reader, loaded to bronze."""
     path = f"{_scratch(w.spark)}/title.crew"
-    (w.raw.crew_src.write.option("sep", "\t").option("header", True).option("nullValue", "\\N")
-        .option("emptyValue", "").option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False).option("compression", "gzip").csv(path))
+    sinks.write_tsv_gz(w.raw.crew_src, path)
     return B.title_crew_raw(read_tsv(w.spark, path, ["tconst", "directors"]))
 
 

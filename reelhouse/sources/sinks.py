@@ -80,6 +80,16 @@ def write_csv(df: DataFrame, path: str) -> None:
     overwrite(df, path, fmt="csv", options=CSV_WRITE_OPTIONS)
 
 
+def write_tsv_gz(df: DataFrame, path: str) -> None:
+    """Write a dump in the person/title dump format: gzip tab-separated text
+    with a header, ``\\N`` for NULL, no quoting and no whitespace trimming
+    (one folder of part files, which the dump reader reads like one file)."""
+    (df.write.mode("overwrite").option("sep", "\t").option("header", True).option("nullValue", "\\N")
+       .option("emptyValue", "").option("quote", "").option("escapeQuotes", False)
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+       .option("compression", "gzip").csv(path))
+
+
 def write_snapshot(df: DataFrame, path: str, schema) -> DataFrame:
     """Lakehouse snapshot: replace the folder with ``df`` cast to ``schema``.
 

@@ -1,27 +1,19 @@
 """End to end: raw CSV + gzip TSV files derived from the test tables -> daily run."""
 
-import gzip
 import os
 import tempfile
 
 from reelhouse.plans.daily import run_daily
 from reelhouse.sources.adapter import RawInputs
-
-
-def _write_tsv_gz(df, path, cols):
-    # Small fixture files: written by the test (driver side) on purpose.
-    with gzip.open(path, "wt") as fh:
-        fh.write("\t".join(cols) + "\n")
-        for r in df.select(*cols).toLocalIterator():
-            fh.write("\t".join("\\N" if v is None else str(v) for v in r) + "\n")
+from reelhouse.sources.sinks import write_tsv_gz
 
 
 def test_run_daily_end_to_end(spark, sf_small):
     root = tempfile.mkdtemp(prefix="reelhouse-daily-", dir="/tmp")
     raw = RawInputs(spark, sf_small)
     raw.films_src.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{root}/in/movies")
-    _write_tsv_gz(raw.crew_src, f"{root}/in/title.crew.tsv.gz", ["tconst", "directors"])
-    _write_tsv_gz(raw.names_src, f"{root}/in/name.basics.tsv.gz", ["nconst", "primaryName", "primaryProfession"])
+    write_tsv_gz(raw.crew_src.select("tconst", "directors"), f"{root}/in/title.crew.tsv.gz")
+    write_tsv_gz(raw.names_src.select("nconst", "primaryName", "primaryProfession"), f"{root}/in/name.basics.tsv.gz")
     out = run_daily(spark, f"{root}/in/movies", f"{root}/in/title.crew.tsv.gz", f"{root}/in/name.basics.tsv.gz",
                     f"{root}/wh", run_date="2024-01-01", as_of="2024-01-01", raw_partitions=4)
     rows = out["rows"]
