@@ -139,18 +139,24 @@ fact_base AS (
   LEFT JOIN dim_production p ON p.production_name = {_first('t.production_companies')}
   LEFT JOIN dim_date dd ON dd.full_date = t.release_date
 ),
-fact AS (
-  SELECT row_number() OVER (ORDER BY imdb_id NULLS LAST, date_id NULLS LAST, director_id NULLS LAST,
-                                     genre_id NULLS LAST, production_id NULLS LAST, title NULLS LAST,
-                                     revenue NULLS LAST) AS fact_id,
-         {K('trim(title)')} AS movie_id, imdb_id, director_id, genre_id, production_id, date_id,
-         vote_avg, vote_count, revenue, budget, movie_popularity,
+fact_lag AS (
+  SELECT *,
          revenue - lag(revenue) OVER w AS revenue_growth,
          movie_popularity - lag(movie_popularity) OVER w AS popularity_change,
          vote_avg - lag(vote_avg) OVER w AS vote_avg_change
   FROM fact_base
   WINDOW w AS (PARTITION BY imdb_id ORDER BY release_year NULLS LAST, release_date NULLS LAST,
                                              title NULLS LAST, revenue NULLS LAST, director_id NULLS LAST)
+),
+fact AS (
+  SELECT row_number() OVER (ORDER BY imdb_id NULLS LAST, date_id NULLS LAST, director_id NULLS LAST,
+                                     genre_id NULLS LAST, production_id NULLS LAST, title NULLS LAST,
+                                     revenue NULLS LAST, revenue_growth NULLS FIRST,
+                                     popularity_change NULLS FIRST, vote_avg_change NULLS FIRST) AS fact_id,
+         {K('trim(title)')} AS movie_id, imdb_id, director_id, genre_id, production_id, date_id,
+         vote_avg, vote_count, revenue, budget, movie_popularity,
+         revenue_growth, popularity_change, vote_avg_change
+  FROM fact_lag
 )"""
 
 

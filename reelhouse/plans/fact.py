@@ -33,8 +33,12 @@ from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_spread,
 from reelhouse.plans.dims import KEY_ALGO
 
 # Fixed orderings (ascending, NULLs last).  The first columns are the model's;
-# the rest are tiebreaks that make row ids and lag deterministic.
+# the rest are tiebreaks that make row ids and lag deterministic.  The changes
+# come last in the row-id order (NULLs first: the row without a predecessor
+# gets the lower id), so rows still tied there are identical in every column:
+# copies of one film with the same first director, whichever id each gets.
 FACT_ID_ORDER = ["imdb_id", "date_id", "director_id", "genre_id", "production_id", "title", "revenue"]
+FACT_ID_LAST = ["revenue_growth", "popularity_change", "vote_avg_change"]  # ascending, NULLs first
 LAG_ORDER = ["release_year", "release_date", "title", "revenue", "director_id"]
 CHANGES = {"revenue": "revenue_growth", "movie_popularity": "popularity_change", "vote_avg": "vote_avg_change"}
 
@@ -76,7 +80,8 @@ def _resolve_hot_keys(films: DataFrame, directors: DataFrame, hot_keys):
 
 def _finish(metrics: DataFrame, key_algo: str, id_partitions: int | None) -> DataFrame:
     """Row ids and the final column list (shared by both plans)."""
-    numbered = dense_row_id(metrics, FACT_ID_ORDER, name="fact_id", partitions=id_partitions)
+    order = FACT_ID_ORDER + [F.col(c).asc_nulls_first() for c in FACT_ID_LAST]
+    numbered = dense_row_id(metrics, order, name="fact_id", partitions=id_partitions)
     return numbered.withColumn("movie_id", surrogate_key(F.trim("title"), key_algo)).select(FACT_COLUMNS)
 
 

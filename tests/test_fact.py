@@ -126,3 +126,16 @@ def test_fact_hot_id_heavy_in_crew_too(spark):
     _, hot_j = FM._join_crew(FM._film_measures(f), d, hot, 10)
     plan = hot_j._jdf.queryExecution().executedPlan().toString()
     assert "Inner" in plan and "LeftAnti" in plan and "LeftOuter" not in plan
+
+
+def test_fact_ids_deterministic_with_crew_copies(spark):
+    # one film, 25 identical crew rows: 25 fact rows equal in every column but
+    # the lag changes (the first has none); ids must not depend on the plan
+    f = films(spark, [dict(imdb_id="tt7", title="Only"), dict(imdb_id="tt8", title="Other")])
+    c = crew(spark, [("tt7", "nm1,nm2")] * 25 + [("tt8", "nm3")])
+    hot = spark.createDataFrame([("tt7",)], "imdb_id string")
+    plain = sorted(fact_movie_performance(f, c, hot_keys=None).collect())
+    split = sorted(fact_movie_performance(f, c, hot_keys=hot, max_broadcast_rows=5).collect())
+    assert plain == split and len(plain) == 26
+    first = [r for r in plain if r.imdb_id == "tt7" and r.revenue_growth is None]
+    assert len(first) == 1 and first[0].fact_id == 1  # the row without a predecessor gets the lowest id

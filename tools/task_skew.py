@@ -1,10 +1,12 @@
 """Largest task per stage, from Spark's event log, for the fact build on skewed input.
 
-Usage: python tools/task_skew.py [sf_dir] [hot_share]
+Usage: python tools/task_skew.py [sf_dir] [hot_share] [films|crew]
 
 The bronze films of ``sf_dir`` are derived as usual, then a ``hot_share`` part
 of them (default a third, picked by a hash of the id) gets one common imdb_id:
-a group of copies holding that share of all rows.  The fact is built twice,
+a group of copies holding that share of all rows.  With ``crew`` the films
+stay as they are and that share of the crew rows gets the id of one film
+instead (a title with a third of all crew rows).  The fact is built twice,
 with the plain crew join and window (``hot_keys=None``) and with hot ids
 detected and split off (``find_hot_keys``), each as its own job group.  The
 event log is written to a fresh scratch folder; per variant the tool prints
@@ -56,6 +58,7 @@ def _stage_tasks(log_path: str) -> tuple[dict, dict]:
 def main(argv) -> int:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     share = float(argv[2]) if len(argv) > 2 else 1 / 3
+    side = argv[3] if len(argv) > 3 else "films"
     scratch = tempfile.mkdtemp(prefix="reelhouse-skew-", dir=os.environ.get("TMPDIR", "/tmp"))
     logs = os.path.join(scratch, "eventlog")
     os.makedirs(logs)
@@ -81,14 +84,21 @@ def main(argv) -> int:
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     raw = RawInputs(spark, sf_dir)
     b = build_bronze(raw.films_src, raw.crew_src, raw.names_src)
-    bucket = F.abs(F.xxhash64("imdb_id")) % 1000
-    films = b.tmdb_raw.withColumn(
-        "imdb_id", F.when(bucket < int(share * 1000), F.lit("tt000000001")).otherwise(F.col("imdb_id")))
+    hot_id = F.lit("tt000000001")
+    films = b.tmdb_raw
+    if side == "films":
+        bucket = F.abs(F.xxhash64("imdb_id")) % 1000
+        films = films.withColumn("imdb_id", F.when(bucket < int(share * 1000), hot_id).otherwise(F.col("imdb_id")))
     sinks.overwrite(films, f"{scratch}/films")
     films = spark.read.parquet(f"{scratch}/films")
     # crew rows of the films present only, so that film rows dominate the join tasks
     ids = films.select(F.col("imdb_id").alias("tconst")).distinct()
-    sinks.overwrite(b.crew.join(ids, "tconst", "left_semi"), f"{scratch}/crew")
+    crew = b.crew.join(ids, "tconst", "left_semi")
+    if side == "crew":
+        first_id = films.agg(F.min("imdb_id")).first()[0]  # one value
+        bucket = F.abs(F.xxhash64("tconst", "directors")) % 1000
+        crew = crew.withColumn("tconst", F.when(bucket < int(share * 1000), F.lit(first_id)).otherwise(F.col("tconst")))
+    sinks.overwrite(crew, f"{scratch}/crew")
     films, crew = spark.read.parquet(f"{scratch}/films"), spark.read.parquet(f"{scratch}/crew")
     n_rows = films.count()
 
@@ -96,7 +106,10 @@ def main(argv) -> int:
     sc.setJobGroup("plain", "fact, plain join and window")
     sinks.overwrite(fact_movie_performance(films, crew, hot_keys=None), f"{scratch}/fact_plain")
     sc.setJobGroup("split", "fact, hot ids split off")
-    hot = find_hot_keys(films, ["imdb_id"], share=0.05, sample_fraction=0.2, min_rows=1000)
+    found = [h for h in (find_hot_keys(films, ["imdb_id"], share=0.05, sample_fraction=0.2, min_rows=1000),
+                         find_hot_keys(crew.select(F.col("tconst").alias("imdb_id")), ["imdb_id"], share=0.05,
+                                       sample_fraction=0.2, min_rows=1000)) if h is not None]
+    hot = found[0] if len(found) == 1 else found[0].unionByName(found[1])
     sinks.overwrite(fact_movie_performance(films, crew, hot_keys=hot), f"{scratch}/fact_split")
     same = (spark.read.parquet(f"{scratch}/fact_plain").exceptAll(spark.read.parquet(f"{scratch}/fact_split"))
             .count() == 0)
@@ -104,7 +117,8 @@ def main(argv) -> int:
 
     log_path = sorted(glob.glob(os.path.join(logs, "*")))[-1]
     groups, tasks = _stage_tasks(log_path)
-    out = {"sf_dir": sf_dir, "rows": n_rows, "hot_share": round(share, 3), "results_equal": same}
+    out = {"sf_dir": sf_dir, "hot_side": side, "film_rows": n_rows, "hot_share": round(share, 3),
+           "results_equal": same}
     for variant in ("plain", "split"):
         stages = [t for sid, t in tasks.items() if groups.get(sid) == variant and len(t) > 1 and max(t) > 0]
         t = max(stages, key=max)
