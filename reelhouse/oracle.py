@@ -226,7 +226,8 @@ FROM (SELECT nullif({_first('c.directors')}, '') AS director_id, t.imdb_id,
              year(t.release_date) AS release_year, t.release_date, t.revenue
       FROM tmdb_raw t JOIN crew_raw c ON c.tconst = t.imdb_id) s
 WHERE director_id IS NOT NULL
-WINDOW w AS (PARTITION BY director_id ORDER BY release_year NULLS LAST, release_date NULLS LAST, imdb_id NULLS LAST)"""
+WINDOW w AS (PARTITION BY director_id ORDER BY release_year NULLS LAST, release_date NULLS LAST, imdb_id NULLS LAST,
+                                             revenue NULLS LAST)"""
     q["q_view_full"] = GOLD + f"""SELECT m.movie_title, dt.year AS release_year, d.director_name, g.genre_name,
        p.production_name, {MEASURES_OUT}
 {STAR}"""

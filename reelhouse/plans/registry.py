@@ -219,7 +219,7 @@ def _lag_by_director(w: Warehouse) -> DataFrame:
     # heavy directors found on the crew column alone (the hot list only routes
     # rows, so an estimate suffices), not by computing the join twice
     hot = find_hot_keys(c.filter(F.col("director_id").isNotNull()), ["director_id"])
-    out = lag_delta(rows, ["director_id"], ["release_year", "release_date", "imdb_id"],
+    out = lag_delta(rows, ["director_id"], ["release_year", "release_date", "imdb_id", "revenue"],
                     {"revenue": "revenue_growth"}, hot_keys=hot)
     return out.select("director_id", "imdb_id", "release_year", "revenue", "revenue_growth")
 
