@@ -1,8 +1,8 @@
 """Join helpers: size-checked broadcast and semi-join reduction.
 
 A side is broadcast only after its row count has been checked against a cap
-(``fits``: a ``limit(cap + 1).count()``, cheap on a materialised table and
-stopping early on a large one).  Beyond the cap the join stays a shuffle join,
+(``fits``: a ``limit(cap + 1).count()``; every task stops after cap + 1 rows,
+and on a written table the count reads Parquet row counts, no column data).  Beyond the cap the join stays a shuffle join,
 and AQE may still convert it at runtime from real shuffle sizes.
 """
 
