@@ -26,8 +26,9 @@ from pyspark.sql import functions as F
 
 from reelhouse.session import ensure_checkpoint_dir
 
-# Upper bound on the hot-key list that lag_delta broadcasts (find_hot_keys
-# returns at most 1 / share keys, i.e. 100 with the default share).
+# Upper bound on a hot-key list that split_by_keys broadcasts (find_hot_keys
+# returns at most 1 / share keys, i.e. 100 with the default share; the fact
+# unions two such lists, one per side of its crew join).
 MAX_HOT_KEYS = 10_000
 
 
