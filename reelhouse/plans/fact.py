@@ -9,8 +9,9 @@ Direct plan (default)
     table (both sides large: one shuffle on imdb_id).  The lag window reuses
     that hash partitioning, and ``fact_id`` is numbered by the distributed
     ``dense_row_id`` instead of a single-task window.  Ids that hold a large
-    share of the rows are split off *before* that join and take a broadcast
-    join plus the spread lag path (``_join_crew_and_lag``).
+    share of the films or of the crew rows are split off both inputs *before*
+    that join; they take a broadcast join (or an inner join that AQE can split
+    on either side) and the spread lag path (``_join_crew``).
 
     With ``key_mode="join"`` the keys are looked up in given dimension frames
     instead (size-checked broadcast joins), for dimensions built elsewhere.
@@ -139,9 +140,8 @@ def fact_movie_performance(
     """Fact table from bronze films and crew (direct plan).
 
     ``hot_keys``: ``"auto"`` samples the film ids and the crew ids for groups
-    large enough to need splitting (see ``find_hot_keys``), ``None`` uses the
-    plain join and window,
-    or pass a small frame of imdb_id values.
+    large enough to need splitting (see ``find_hot_keys``); ``None`` uses the
+    plain join and window; or pass a small frame of imdb_id values.
     An empty first-director list gives NULL as director key
     (``blank_director_as_null=False`` keeps '' as the model does).
     """
