@@ -80,8 +80,10 @@ def build_session(
     if master:
         b = b.master(master)
     b = b.config("spark.ui.enabled", "false")
-    # Checkpoints of row numbering are deleted once their frames are garbage.
+    # Checkpoints of row numbering are deleted once their frames are garbage,
+    # and written compressed (they hold a whole table; the default is raw rows).
     b = b.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    b = b.config("spark.checkpoint.compress", "true")
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SQL_CONF, **(extra or {})}.items():
