@@ -20,6 +20,18 @@ def fits(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_all(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``fits`` for several frames in one job: a union of their bounded counts
+    (one small row per frame reaches the driver)."""
+    counts = None
+    for name, df in frames.items():
+        c = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("frame"), "n")
+        counts = c if counts is None else counts.unionByName(c)
+    if counts is None:
+        return {}
+    return {r["frame"]: r["n"] <= max_rows for r in counts.collect()}
+
+
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """``broadcast(df)`` when its size is checked to be under ``max_rows``."""
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -3,8 +3,8 @@
 Both are five LEFT joins from the fact to its dimensions.  Dimension sides
 are projected to the key and the attribute the view needs before joining, so
 only those columns travel; small dimensions are broadcast after a size check
-(``join_dim``), large ones meet the fact in a shuffle join (AQE may still
-convert at runtime).
+(``fits_all``: one job for all five), large ones meet the fact in a shuffle
+join (AQE may still convert at runtime).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, join_dim
+from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits_all
 from reelhouse.operators.masking import bucket_rule, first_word_rule, hash_rule, keep_prefix, mask
 
 MEASURES = [
@@ -24,14 +24,17 @@ VIEW_COLUMNS = ["movie_title", "release_year", "director_name", "genre_name", "p
 
 def _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production, max_broadcast_rows):
     f = fact.select("imdb_id", "date_id", "director_id", "genre_id", "production_id", *MEASURES)
-    f = join_dim(f, dim_movie.select("imdb_id", "movie_title"), "imdb_id", "left", max_broadcast_rows)
-    f = join_dim(f, dim_date.select("date_id", F.col("year").alias("release_year")), "date_id", "left",
-                 max_broadcast_rows)
-    f = join_dim(f, dim_director.select("director_id", "director_name"), "director_id", "left",
-                 max_broadcast_rows)
-    f = join_dim(f, dim_genre.select("genre_id", "genre_name"), "genre_id", "left", max_broadcast_rows)
-    f = join_dim(f, dim_production.select("production_id", "production_name"), "production_id", "left",
-                 max_broadcast_rows)
+    sides = {
+        "imdb_id": dim_movie.select("imdb_id", "movie_title"),
+        "date_id": dim_date.select("date_id", F.col("year").alias("release_year")),
+        "director_id": dim_director.select("director_id", "director_name"),
+        "genre_id": dim_genre.select("genre_id", "genre_name"),
+        "production_id": dim_production.select("production_id", "production_name"),
+    }
+    # all five size checks in one job; checked-small sides are broadcast
+    small = fits_all(sides, max_broadcast_rows)
+    for key, dim in sides.items():
+        f = f.join(F.broadcast(dim) if small[key] else dim, key, "left")
     return f.select(VIEW_COLUMNS)
 
 

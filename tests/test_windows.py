@@ -117,3 +117,12 @@ def test_dense_row_id_many_ranges(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
     assert out.filter(F.col("rid") != F.col("k") + 1).count() == 0
+
+
+def test_fits_all_in_one_job(spark):
+    from reelhouse.operators.joins import fits, fits_all
+
+    frames = {"a": spark.range(5), "b": spark.range(50), "c": spark.range(0)}
+    got = fits_all(frames, 10)
+    assert got == {"a": True, "b": False, "c": True}
+    assert got == {k: fits(v, 10) for k, v in frames.items()}
