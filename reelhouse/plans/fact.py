@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.exprs import first_item, popularity, surrogate_key
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits, join_dim
+from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits, fits_all
 from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_spread, lag_window, split_by_keys
 from reelhouse.plans.dims import KEY_ALGO
 
@@ -161,12 +161,15 @@ def fact_movie_performance(
     elif key_mode == "join":
         if dim_genre is None or dim_production is None or dim_date is None:
             raise ValueError("key_mode='join' needs dim_genre, dim_production and dim_date")
-        t = join_dim(t, dim_genre.select(F.col("genre_name").alias("first_genre"), "genre_id"),
-                     "first_genre", "left", max_broadcast_rows)
-        t = join_dim(t, dim_production.select(F.col("production_name").alias("first_company"), "production_id"),
-                     "first_company", "left", max_broadcast_rows)
-        t = join_dim(t, dim_date.select(F.col("full_date").alias("release_date"), "date_id"),
-                     "release_date", "left", max_broadcast_rows)
+        sides = {
+            "first_genre": dim_genre.select(F.col("genre_name").alias("first_genre"), "genre_id"),
+            "first_company": dim_production.select(F.col("production_name").alias("first_company"),
+                                                   "production_id"),
+            "release_date": dim_date.select(F.col("full_date").alias("release_date"), "date_id"),
+        }
+        small = fits_all(sides, max_broadcast_rows)  # the three size checks in one job
+        for key, dim in sides.items():
+            t = t.join(F.broadcast(dim) if small[key] else dim, key, "left")
     else:
         raise ValueError(f"unknown key_mode {key_mode!r}")
     t = t.drop("first_genre", "first_company")
