@@ -126,3 +126,8 @@ def test_fits_all_in_one_job(spark):
     got = fits_all(frames, 10)
     assert got == {"a": True, "b": False, "c": True}
     assert got == {k: fits(v, 10) for k, v in frames.items()}
+
+
+def test_find_hot_keys_on_empty_input(spark):
+    empty = spark.range(0).select(F.col("id").cast("string").alias("k"))
+    assert find_hot_keys(empty, ["k"], share=0.1, sample_fraction=1.0, min_rows=1) is None
