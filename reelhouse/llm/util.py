@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import string
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -15,10 +19,25 @@ from reelhouse.session import configure, ensure_checkpoint_dir
 BATCH_ROWS = "1000"
 
 
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each application (as ``--py-files`` would)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_reelhouse_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="reelhouse-code-")), "reelhouse_code.zip")
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(package.rglob("*.py")):
+            z.write(f, f.relative_to(package.parent))
+    sc.addPyFile(target)  # read by the driver, served to the executors
+    sc._reelhouse_shipped = True
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings that the operators rely on (checkpoint folder, small Arrow batches)."""
+    """What the operators rely on: code on the workers, a checkpoint folder, small Arrow batches."""
     configure(spark)
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark
 
