@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,10 +30,13 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from reelhouse.llm.words import word_lists
+
 WINDOW = 2048
 SHARD_ITEMS = 2048
-CACHE_WORDS = 250_000  # words of each of the two generations of a worker's cache
+CACHE_WORDS = 500_000  # words of each of the two generations of a worker's cache
 QUERY_TERMS = 16
+GATHER_BYTES = 24 * 1024 * 1024
 K1, B = 1.2, 0.75
 #: The vocabulary's pre-tokenizer pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -68,7 +72,7 @@ class WordTokenizer:
         self.t.no_padding()
         self.model, self.parts, self.pattern = self.t.model, Cache(), regex.compile(PATTERN)
         self.kind = np.dtype("<u2" if self.t.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words = Cache()
+        self.words, self.code = Cache(), "H" if self.kind.itemsize == 2 else "I"
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in set(plain)]
         self.stand_in = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
@@ -83,31 +87,47 @@ class WordTokenizer:
         """Packed ids of a stretch without ASCII white space."""
         if not self.direct or b"<|" in w:
             return np.array(self.t.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
-        s = w.decode().lower() if w.isascii() else self.t.normalizer.normalize_str(w.decode())
-        out = []
-        for part in self.pattern.findall(s):
-            ids = self.parts.get(part)
-            if ids is None:
-                tokens = self.model.tokenize(part.encode().decode("latin1").translate(self.stand_in))
-                ids = np.array([x.id for x in tokens], self.kind).tobytes()
-                self.parts.put(part, ids)
-            out.append(ids)
-        return b"".join(out)
-
-    def packed(self, text: str) -> bytes:
-        """Packed ids of a whole text."""
-        young, get, put, word = self.words.young, self.words.get, self.words.put, self.word
-        out = []
-        for w in text.encode().split():
-            ids = young.get(w)
+        s = w.decode()
+        # below U+0250 nothing composes and letters fold one by one
+        s = s.lower() if s.isascii() or max(s) < "\u0250" else self.t.normalizer.normalize_str(s)
+        if s.isalpha():
+            return self.part(s)
+        if s[:-1].isalpha() and s[-1] in ".,":
+            return self.part(s[:-1]) + self.part(s[-1])
+        return b"".join([self.part(x) for x in self.pattern.findall(s)])
+
+    def part(self, s: str) -> bytes:
+        """Packed ids of one pre-token."""
+        ids = self.parts.get(s)
+        if ids is None:
+            tokens = self.model.tokenize(s if s.isascii() and s.isprintable() else s.encode().decode("latin1").translate(self.stand_in))
+            ids = array(self.code, [x.id for x in tokens]).tobytes()
+            self.parts.put(s, ids)
+        return ids
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of whole texts; each distinct word of the batch is looked up once."""
+        flat, counts = word_lists(texts, lower=False)
+        if not len(flat):
+            return [np.zeros(0, self.kind)] * len(texts)
+        enc = flat.dictionary_encode()
+        codes = enc.indices.to_numpy(zero_copy_only=False)
+        distinct = enc.dictionary.cast(pa.large_binary()).to_pylist()
+        found = list(map(self.words.young.get, distinct))
+        for i, ids in enumerate(found):
             if ids is None:
-                ids = get(w)
-                if ids is None:
-                    ids = word(w)
-                    put(w, ids)
-                young = self.words.young
-            out.append(ids)
-        return b"".join(out)
+                w = distinct[i]
+                ids = found[i] = self.words.old.get(w) or self.word(w)
+                self.words.put(w, ids)
+        del distinct
+        size = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
+        begin = np.cumsum(size) - size
+        sizes = size[codes]
+        ends = np.cumsum(sizes)
+        at = np.repeat(begin[codes] - (ends - sizes), sizes) + np.arange(ends[-1])
+        ids = np.frombuffer(b"".join(found), self.kind)[at]
+        closes = np.concatenate(([0], ends))[np.cumsum(counts)]
+        return np.split(ids, closes[:-1])
 
 
 @functools.lru_cache(maxsize=2)
@@ -124,17 +144,29 @@ PACKED = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
           "seed_score double")
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches joined to about ``GATHER_BYTES``: more repeated words in each."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.nbytes
+        if size >= GATHER_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def cut_texts(path: str, end_id: int, window: int):
     """Full windows (without their ids) and the rest of every text (with its ids)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer(path)
-        end = np.array([end_id], t.kind).tobytes()
-        for b in batches:
+        end = np.array([end_id], t.kind)
+        for b in gathered(batches):
             out: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                data = t.packed(text or "") + end
-                ids = np.frombuffer(data, t.kind)
+            for doc_id, ids in zip(b.column(0).to_pylist(), t.encode(b.column(1))):
+                ids = np.concatenate((ids, end))
                 for start in range(0, len(ids), window):
                     piece = ids[start:start + window]
                     full = len(piece) == window

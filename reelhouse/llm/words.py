@@ -29,9 +29,10 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_lists(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+def word_lists(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
     """All words of a batch in order, and the number of words of each text (null: none)."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
     flat = lists.flatten()
     owner = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
     full = pc.greater(pc.binary_length(flat), 0)
