@@ -88,8 +88,9 @@ class WordTokenizer:
         if not self.direct or b"<|" in w:
             return np.array(self.t.encode(w.decode(), add_special_tokens=False).ids, self.kind).tobytes()
         s = w.decode()
-        # below U+0250 nothing composes and letters fold one by one
-        s = s.lower() if s.isascii() or max(s) < "\u0250" else self.t.normalizer.normalize_str(s)
+        if not s.isascii() and max(s) >= "\u0250":  # other scripts: the library's own normaliser and classes
+            return np.array(self.t.encode(s, add_special_tokens=False).ids, self.kind).tobytes()
+        s = s.lower()  # below U+0250 nothing composes and letters fold one by one
         if s.isalpha():
             return self.part(s)
         if s[:-1].isalpha() and s[-1] in ".,":
@@ -120,14 +121,20 @@ class WordTokenizer:
                 ids = found[i] = self.words.old.get(w) or self.word(w)
                 self.words.put(w, ids)
         del distinct
-        size = np.fromiter(map(len, found), np.int64, len(found)) // self.kind.itemsize
-        begin = np.cumsum(size) - size
-        sizes = size[codes]
-        ends = np.cumsum(sizes)
-        at = np.repeat(begin[codes] - (ends - sizes), sizes) + np.arange(ends[-1])
-        ids = np.frombuffer(b"".join(found), self.kind)[at]
-        closes = np.concatenate(([0], ends))[np.cumsum(counts)]
-        return np.split(ids, closes[:-1])
+        size = np.fromiter(map(len, found), np.int32, len(found)) // self.kind.itemsize
+        begin = np.cumsum(size, dtype=np.int32) - size
+        table = np.frombuffer(b"".join(found), self.kind)
+        del found, flat, enc
+        out, at = [], 0
+        for block in np.array_split(counts, max(1, len(codes) // 200_000)):
+            words = codes[at:at + int(block.sum())]
+            at += len(words)
+            sizes = size[words]
+            ends = np.cumsum(sizes, dtype=np.int32)
+            total = int(ends[-1]) if len(ends) else 0
+            place = np.repeat(begin[words] - (ends - sizes), sizes) + np.arange(total, dtype=np.int32)
+            out += np.split(table[place], np.concatenate(([0], ends))[np.cumsum(block)][:-1]) if len(block) else []
+        return out
 
 
 @functools.lru_cache(maxsize=2)
@@ -187,13 +194,14 @@ class Index:
         self.n = len(items)
         lengths = np.array([len(x) for x in items])
         owner = np.repeat(np.arange(self.n, dtype=np.int64), lengths)
-        key = np.concatenate(items).astype(np.int64) * self.n + owner if self.n else np.zeros(0, np.int64)
+        wide = np.int32 if (1 << 16) * self.n < 1 << 31 and items[0].dtype.itemsize == 2 else np.int64
+        key = np.concatenate(items).astype(wide) * wide(self.n) + owner.astype(wide)
         key, tf = np.unique(key, return_counts=True)
-        term, self.item = key // max(self.n, 1), key % max(self.n, 1)
+        term, self.item = key // self.n, key % self.n
         self.terms, self.begin, df = np.unique(term, return_index=True, return_counts=True)
         self.end = self.begin + df
         idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        scale = K1 * (1 - B + B * lengths / max(lengths.mean(), 1)) if self.n else lengths
+        scale = K1 * (1 - B + B * lengths / max(lengths.mean(), 1))
         place = np.repeat(np.arange(len(df)), df)
         self.weight = idf[place] * tf * (K1 + 1) / (tf + scale[self.item])
         self.lists = np.argsort(self.item, kind="stable")  # postings by item
