@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from reelhouse.llm.components import components
-from reelhouse.llm.jaccard import links_of_cells, text_rows
-from reelhouse.llm.setjoin import LEAST_BUCKETS, key_filter, node_ids, shared_cells
+from reelhouse.llm.jaccard import text_rows
+from reelhouse.llm.setjoin import LEAST_BUCKETS, key_filter, node_ids, resolve, shared_cells
 from reelhouse.llm.util import cut
 from reelhouse.llm.words import SHINGLE, WORD, mix, shingles, word_hashes
 
@@ -115,10 +115,10 @@ def band_keys(bands: int, rows: int):
 
 
 def wanted_sets(wanted):
-    """(node, id, n, arr) of the paragraphs whose node the filter lets through."""
+    """(node, id, n, arr) of the paragraphs whose node the filter lets through; ``arr`` once for each id of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = wanted.value
+        f, done = wanted.value, set()
         for b in batches:
             words, counts = word_hashes(b.column(0))
             if not len(words):
@@ -129,10 +129,13 @@ def wanted_sets(wanted):
             if not len(pick):
                 continue
             s, begin = shingle_slices(words, first[pick], length[pick])
-            sets = [np.unique(x).view(np.int64) for x in np.split(s, begin[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(node[pick]), pa.array(sequence_ids(s, begin)), pa.array([len(x) for x in sets], pa.int64()),
-                 pa.array(sets, pa.list_(pa.int64()))], names=["node", "id", "n", "arr"])
+            ids = sequence_ids(s, begin)
+            sets = []
+            for i, x in zip(ids.tolist(), np.split(s, begin[1:])):
+                sets.append(None if i in done else np.unique(x).view(np.int64))
+                done.add(i)
+            yield pa.RecordBatch.from_arrays([pa.array(node[pick]), pa.array(ids), pa.array([None if x is None else len(x) for x in sets], pa.int64()),
+                                              pa.array(sets, pa.list_(pa.int64()))], names=["node", "id", "n", "arr"])
 
     return run
 
@@ -181,23 +184,30 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     buckets = max(LEAST_BUCKETS, docs.count() // TEXTS_PER_BUCKET)
     cells = cut(shared_cells(rows, band_keys(bands, rows_of_band), buckets))
     wanted = spark.sparkContext.broadcast(key_filter(cells.select(F.col("node").alias("key")).distinct()))
-    sets = rows.mapInArrow(wanted_sets(wanted), "node long, id long, n long, arr array<long>")
-    links, ids = links_of_cells(cells, sets, percent)
+    found = cut(rows.mapInArrow(wanted_sets(wanted), "node long, id long, n long, arr array<long>"))
+    sets = cut(found.filter("arr is not null").groupBy("id").agg(F.first("n").alias("n"), F.first("arr").alias("arr")))
+    of_node = found.select("node", "id").distinct().join(sets.select("id", "n"), "id")
+    members = cut(cells.select("cell", "node").distinct().join(of_node, "node").select("cell", "id", "n").distinct())
+    ids = cut(members.select("id").distinct())
+    shared = members.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1").select("cell")
+    members = members.join(shared, "cell")
+    sets = sets.join(members.select("id").distinct(), "id", "left_semi")
+    links = resolve(members, cut(sets), percent)
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
-    found = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
+    repeated = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(spans_of(found), SPANS)
+    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(spans_of(repeated), SPANS)
     spans = cut(spans.join(comp, "id").drop("id"))
     doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
     groups = (spans.groupBy("comp").agg(F.min(F.struct("doc_id", "para")).alias("stays"), F.count("*").alias("n_copies"),
                                         F.min(doc).alias("lo"), F.max(doc).alias("hi"))
               .filter("lo <> hi").drop("lo", "hi"))
-    repeated = spans.join(groups, "comp")
+    spans = spans.join(groups, "comp")
     by_doc = Window.partitionBy("doc_id")  # a document's own paragraphs
     run = F.col("para") - F.dense_rank().over(by_doc.orderBy("para"))
-    repeated = repeated.withColumn("__run", run).withColumn(
+    spans = spans.withColumn("__run", run).withColumn(
         "__words", F.sum("n_words").over(Window.partitionBy("doc_id", "__run"))).filter(F.col("__words") >= run_words)
-    return repeated.select(
+    return spans.select(
         "doc_id", "para", "start", "end", "n_words", F.col("stays.doc_id").alias("component_id"), "n_copies",
         (~F.struct("doc_id", "para").eqNullSafe(F.col("stays"))).alias("removed"))
 
