@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reelhouse.llm.util import cut, shuffle_partitions
+from reelhouse.llm.util import shuffle_partitions
 
 ROLES = ("assistant", "system", "user")
 #: Speaker markers at the start of a line, by role (fixed values).
@@ -265,7 +265,7 @@ def parse_transcripts(conversations: DataFrame, train: Column) -> DataFrame:
                                 "role", "text", F.coalesce(train, F.lit(False)).alias("train"))
     order = ("conv_id", "turn", F.coalesce("text", F.lit("")), "role", "train")
     dealt = rows.repartitionByRange(shuffle_partitions(spark), "conv_id", "turn", F.xxhash64("text")).sortWithinPartitions(*order)
-    segments = cut(dealt.mapInArrow(to_segments, SEGMENTS))
+    segments = dealt.mapInArrow(to_segments, SEGMENTS).checkpoint()  # keeps partitions and their order
     model = learn(segments)
     parts = segments.select("conv_id", "symbols").mapInArrow(matrices(model), "conv_id long, pid long, m array<double>")
     # only conversations that span partitions need borders: at most one for each partition but the last

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reelhouse.llm.util import cut
+from reelhouse.llm.util import cut, trim
 from reelhouse.llm.words import hashes_of, mix, word_hashes, word_lists
 
 K = 5
@@ -42,8 +42,9 @@ LEAST_BUCKETS = 32
 BUCKET_BYTES = 28_000_000  # of text: about 4 million tokens
 SAMPLE_DOCS = 2000
 MAX_HOT = 1024
-FLUSH_TOKENS = 6_000_000
+FLUSH_TOKENS = 1_800_000
 FLUSH_DOCS = 60_000
+PART_TOKENS = 500_000
 
 
 def text_column() -> Column:
@@ -85,7 +86,7 @@ def bigrams(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     before = np.empty_like(token)
     before[1:] = token[:-1]
     before[ends - counts] = START
-    return np.repeat(np.arange(len(counts)), counts + 1), before, token
+    return np.repeat(np.arange(len(counts), dtype=np.int32), counts + 1), before, token
 
 
 def bucket_of(plan: Plan, before: np.ndarray, token: np.ndarray) -> np.ndarray:
@@ -119,18 +120,20 @@ def count_words(sent):
             if not len(flat):
                 return
             enc = flat.dictionary_encode()
-            codes = enc.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            codes = enc.indices.to_numpy(zero_copy_only=False)
             hashes = hashes_of(enc.dictionary)
             doc, before, token = bigrams(hashes[codes], counts)
             word = token != END
-            place = bucket_of(plan, before[word], token[word])
-            asked = np.unique(codes * plan.n_buckets + place)
+            asked = codes.astype(np.int64) * plan.n_buckets + bucket_of(plan, before[word], token[word])
+            c = np.bincount(codes, weights=train[doc[word]], minlength=len(hashes)).astype(np.int64)
+            del flat, codes, doc, before, token, word
+            asked = np.unique(asked)
             code, place = asked // plan.n_buckets, asked % plan.n_buckets
             group = code * (plan.n_buckets // 32 + 1) + place // 32
             begin = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
             mask = np.bitwise_or.reduceat(np.int64(1) << (place % 32), begin)
             code, part = code[begin], (place // 32)[begin]
-            c = np.bincount(codes, weights=train[doc[word]], minlength=len(hashes)).astype(np.int64)[code]
+            c = c[code]
             c[1:][code[1:] == code[:-1]] = 0
             words = enc.dictionary.cast(pa.string()).take(pa.array(code))
             for at in range(0, len(code), 100_000):
@@ -141,10 +144,12 @@ def count_words(sent):
         for b in batches:
             held.append((b.column(0).cast(pa.large_string()), b.column(1).to_numpy(zero_copy_only=False)))
             n += b.column(0).nbytes
-            if n > 6 * FLUSH_TOKENS:
+            if n > 4 * FLUSH_TOKENS:
                 yield from flush()
+                trim()
         if held:
             yield from flush()
+        trim()
 
     return run
 
@@ -163,6 +168,7 @@ def count_hot_pairs(hot: np.ndarray):
             keys, n = np.unique(a[both] * len(hot) + z[both], return_counts=True)
             for k, c in zip(keys.tolist(), n.tolist()):
                 total[k] = total.get(k, 0) + c
+        trim()
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], names=["pair", "n"])
 
     return run
@@ -208,6 +214,17 @@ def message(rows: list[tuple]) -> pa.RecordBatch:
                                       names=["bucket", "kind", "a", "b", "c", "d", "e"])
 
 
+def pack_sorted(x: np.ndarray) -> bytes:
+    """Sorted 64-bit hashes as byte planes of their differences, which compress."""
+    return np.diff(x, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def unpack_sorted(x: bytes, n: int | None = None, offset: int = 0) -> np.ndarray:
+    n = (len(x) - offset) // 8 if n is None else n
+    planes = np.frombuffer(x, np.uint8, 8 * n, offset).reshape(8, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(np.uint64).ravel(), dtype=np.uint64)
+
+
 def small(x: np.ndarray) -> bytes:
     """Non-negative integers in the narrowest type; the first byte names its width."""
     top = int(x.max()) if len(x) else 0
@@ -232,10 +249,10 @@ def send_counts(sent):
             nonlocal held
             h, c, place = (np.concatenate(x) for x in zip(*held))
             held = []
-            order = np.argsort(place, kind="stable")
+            order = np.lexsort((h, place))
             h, c, place = h[order], c[order], place[order]
             cuts = np.searchsorted(place, np.arange(plan.n_buckets + 1))
-            rows = [(int(b), "count", h[i:j].tobytes(), small(c[i:j]), b"", b"", b"")
+            rows = [(int(b), "count", pack_sorted(h[i:j]), small(c[i:j]), b"", b"", b"")
                     for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])) if j > i]
             if rows:
                 yield message(rows)
@@ -280,13 +297,13 @@ def send_tokens(sent):
             base = np.cumsum([0] + [len(h[0]) for h in held[:-1]])
             rk = np.concatenate([h[0] for h in held])
             train = np.concatenate([h[1] for h in held])
-            doc = np.concatenate([h[2] + b for h, b in zip(held, base)])
+            doc = np.concatenate([h[2] + np.int32(b) for h, b in zip(held, base)])
             before, token = (np.concatenate([h[i] for h in held]) for i in (3, 4))
             held, n, docs = [], 0, 0
             if len(plan.pair_keys):
                 frequent, at = lookup(plan.pair_keys, pair_key(before, token))
                 if frequent.any():
-                    key, times = np.unique(doc[frequent] * len(plan.pair_keys) + at[frequent], return_counts=True)
+                    key, times = np.unique(doc[frequent].astype(np.int64) * len(plan.pair_keys) + at[frequent], return_counts=True)
                     used, place = np.unique(key // len(plan.pair_keys), return_inverse=True)
                     b = int(mix(np.array([rk[0]]).view(np.uint64))[0] % np.uint64(plan.n_buckets))
                     yield message([(b, "pairs", rk[used].tobytes(), small(place), small(key % len(plan.pair_keys)), small(times), b"")])
@@ -298,11 +315,11 @@ def send_tokens(sent):
             for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
                 if j > i:
                     first = np.flatnonzero(np.concatenate(([True], before[i + 1:j] != before[i:j - 1])))
-                    run_of = before[i:j][first].tobytes() + small(np.diff(np.append(first, j - i)))
+                    run_of = pack_sorted(before[i:j][first]) + small(np.diff(np.append(first, j - i)))
                     head = len(first).to_bytes(4, "little")
                     tokens, code = np.unique(token[i:j], return_inverse=True)
                     used, place = np.unique(doc[i:j], return_inverse=True)
-                    yield message([(b, "tokens", head + run_of, tokens.tobytes(), small(code),
+                    yield message([(b, "tokens", head + run_of, pack_sorted(tokens), small(code),
                                     rk[used].tobytes() + np.packbits(train[used]).tobytes(), small(place))])
 
         for b in batches:
@@ -312,8 +329,10 @@ def send_tokens(sent):
             n, docs = n + len(token), docs + len(counts)
             if n > FLUSH_TOKENS or docs > FLUSH_DOCS:
                 yield from flush()
+                trim()
         if held:
             yield from flush()
+        trim()
 
     return run
 
@@ -328,16 +347,17 @@ class Bucket:
         n_ctx = n_tok = n_doc = 0
         self.pairs = []
         hashes, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for kind, a, b, c, d, e in messages:
+        while messages:
+            kind, a, b, c, d, e = messages.pop()
             if kind == "count":
-                hashes.append(np.frombuffer(a, np.uint64)), counts.append(wide(b))
+                hashes.append(unpack_sorted(a)), counts.append(wide(b))
             elif kind == "pairs":
                 self.pairs.append((np.frombuffer(a, np.int64), wide(b), wide(c), wide(d)))
             elif kind == "tokens":
                 n = int.from_bytes(a[:4], "little")
-                ctx.append(np.frombuffer(a, np.uint64, n, 4))
-                ctx_code.append((np.repeat(np.arange(n), wide(a[4 + 8 * n:])) + n_ctx).astype(np.int32))
-                tok.append(np.frombuffer(b, np.uint64))
+                ctx.append(unpack_sorted(a, n, 4))
+                ctx_code.append(np.repeat(np.arange(n_ctx, n_ctx + n, dtype=np.int32), wide(a[4 + 8 * n:])))
+                tok.append(unpack_sorted(b))
                 tok_code.append((wide(c) + n_tok).astype(np.int32))
                 place = wide(e)
                 k = int(place.max()) + 1
@@ -353,36 +373,27 @@ class Bucket:
         del ctx_code
         self.tok, back = np.unique(np.concatenate(tok), return_inverse=True)
         self.t = back.astype(np.int32)[np.concatenate(tok_code)]
-        del tok_code
-        self.rk, self.doc = np.concatenate(rks), np.concatenate(docs)
-        self.train = np.concatenate(trains)[self.doc]
+        del tok_code, back
+        self.rk, self.doc, self.train = np.concatenate(rks), np.concatenate(docs), np.concatenate(trains)
         # training counts of the tokens as unigrams: 1 unless told otherwise
         h, n = np.concatenate(hashes), np.concatenate(counts)
         order = np.argsort(h)
         found, at = lookup(h[order], self.tok)
         self.uni = np.ones(len(self.tok), np.int64)
         self.uni[found] = n[order][at[found]]
-        # distinct bigrams with their training counts
-        key = self.c.astype(np.int64) * len(self.tok) + self.t
-        self.pair, inverse = np.unique(key, return_inverse=True)
-        del key
-        self.inverse = inverse.astype(np.int32)
-        self.r = np.bincount(self.inverse[self.train], minlength=len(self.pair))
-        self.pair_ctx = (self.pair // len(self.tok)).astype(np.int32)
-        self.pair_tok = (self.pair % len(self.tok)).astype(np.int32)
         self.is_hot, self.hot_at = lookup(plan.hot, self.ctx)
 
-    def histogram(self) -> np.ndarray:
-        return np.bincount(np.minimum(self.r, K + 2), minlength=K + 3)[1:K + 2]
-
-    def context_sums(self, unigram: np.ndarray, end: float) -> tuple[np.ndarray, np.ndarray]:
-        """By context: counts of counts 1..K and the sum of larger counts; unigram mass of the seen tokens."""
-        seen = self.r > 0
-        rows = np.zeros((len(self.ctx), K + 1))
-        small_r = np.where(self.r <= K, self.r, K + 1)
-        np.add.at(rows, (self.pair_ctx[seen], small_r[seen] - 1), np.where(self.r[seen] <= K, 1, self.r[seen]))
-        mass = np.bincount(self.pair_ctx[seen], weights=self.mass(unigram, end)[self.pair_tok[seen]], minlength=len(self.ctx))
-        return rows, mass
+    def parts(self) -> Iterator[Part]:
+        """The bucket's contexts in ranges of about ``PART_TOKENS`` tokens (one context is never split)."""
+        if self.empty:
+            return
+        ends = np.cumsum(np.bincount(self.c, minlength=len(self.ctx)))
+        lo = 0
+        while lo < len(self.ctx):
+            done = ends[lo - 1] if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, done + PART_TOKENS, side="right")))
+            yield Part(self, lo, hi)
+            lo = hi
 
     def mass(self, unigram: np.ndarray, end: float) -> np.ndarray:
         """Unigram probability of each token; ``unigram``: of counts 0..K, then the share of one count."""
@@ -391,6 +402,30 @@ class Bucket:
         return p
 
 
+class Part:
+    """A range of a bucket's contexts: tokens, distinct bigrams and their training counts."""
+
+    def __init__(self, x: Bucket, lo: int, hi: int):
+        pick = np.flatnonzero((x.c >= lo) & (x.c < hi))
+        self.ctx, self.is_hot, self.hot_at = x.ctx[lo:hi], x.is_hot[lo:hi], x.hot_at[lo:hi]
+        self.c, self.doc = x.c[pick] - np.int32(lo), x.doc[pick]
+        self.pair, inverse = np.unique(self.c.astype(np.int64) * len(x.tok) + x.t[pick], return_inverse=True)
+        self.inverse = inverse.astype(np.int32)
+        self.r = np.bincount(self.inverse[x.train[self.doc]], minlength=len(self.pair))
+        self.pair_ctx = (self.pair // len(x.tok)).astype(np.int32)
+        self.pair_tok = (self.pair % len(x.tok)).astype(np.int32)
+
+    def histogram(self) -> np.ndarray:
+        return np.bincount(np.minimum(self.r, K + 2), minlength=K + 3)[1:K + 2]
+
+    def context_sums(self, mass: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By context: counts of counts 1..K and the sum of larger counts; unigram mass of the seen tokens."""
+        seen = self.r > 0
+        rows = np.zeros((len(self.ctx), K + 1))
+        np.add.at(rows, (self.pair_ctx[seen], np.minimum(self.r[seen], K + 1) - 1), np.where(self.r[seen] <= K, 1, self.r[seen]))
+        return rows, np.bincount(self.pair_ctx[seen], weights=mass[self.pair_tok[seen]], minlength=len(self.ctx))
+
+
 @dataclass
 class Model:
     n_tokens: int
@@ -453,20 +488,24 @@ def bucket_stats(plan: Plan):
                 if kind == "stat":
                     counts = dict(zip(np.frombuffer(b, np.uint64).tolist(), np.frombuffer(c, np.int64).tolist()))
                     total = plus(total, (np.frombuffer(a, np.int64), counts, *nothing(plan)[2:]))
-            x = Bucket(plan, messages)
-            if x.empty:
-                continue
-            hot = np.zeros((len(plan.hot), K + 1))
-            # the unigram mass of seen tokens, by their count: numbers of counts 0..K, the sum of larger ones, END
-            mass = np.zeros((len(plan.hot), K + 3))
-            pick = (x.r > 0) & x.is_hot[x.pair_ctx]
-            at, r, tok = x.hot_at[x.pair_ctx[pick]], x.r[pick], x.pair_tok[pick]
-            np.add.at(hot, (at, np.minimum(r, K + 1) - 1), np.where(r <= K, 1, r))
-            uni, end = x.uni[tok], x.tok[tok] == END
-            np.add.at(mass, (at, np.where(end, K + 2, np.minimum(uni, K + 1))), np.where(end | (uni <= K), 1, uni))
-            total = plus(total, (0, {}, x.histogram(), hot, mass))
+            x = Bucket(plan, [m for m in messages if m[0] != "stat"])
+            for p in x.parts():
+                total = plus(total, (0, {}, p.histogram(), *frequent(x, p)))
+            del x
+            trim()
         yield total
 
+    def frequent(x: Bucket, p: Part) -> tuple[np.ndarray, np.ndarray]:
+        hot = np.zeros((len(plan.hot), K + 1))
+        # the unigram mass of seen tokens, by their count: numbers of counts 0..K, the sum of larger ones, END
+        mass = np.zeros((len(plan.hot), K + 3))
+        pick = (p.r > 0) & p.is_hot[p.pair_ctx]
+        at, r, tok = p.hot_at[p.pair_ctx[pick]], p.r[pick], p.pair_tok[pick]
+        np.add.at(hot, (at, np.minimum(r, K + 1) - 1), np.where(r <= K, 1, r))
+        uni, end = x.uni[tok], x.tok[tok] == END
+        np.add.at(mass, (at, np.where(end, K + 2, np.minimum(uni, K + 1))), np.where(end | (uni <= K), 1, uni))
+        return hot, mass
+
     return run
 
 
@@ -495,7 +534,7 @@ def bucket_scores(plan: Plan, sent):
         m: Model = sent.value
         divisor_hot, weight_hot = backoff(m.hot_sums, m.hot_mass, m.hot_total, m.discount)
         for _, messages in grouped(rows):
-            x = Bucket(plan, messages)
+            x = Bucket(plan, [y for y in messages if y[0] != "stat"])
             for rk, place, pair, times in x.pairs:  # frequent pairs
                 at = lookup(plan.hot, plan.pair_words[:, 0])[1]
                 d = np.where(plan.pair_counts > K, 1.0, m.discount[np.minimum(plan.pair_counts, K)])
@@ -508,23 +547,24 @@ def bucket_scores(plan: Plan, sent):
                 yield rk.tobytes(), score.tobytes(), base.tobytes(), known.astype(np.int64).tobytes()
             if x.empty:
                 continue
-            sums, mass = x.context_sums(m.unigram, m.end)
-            r = np.arange(1, K + 1)
-            total = (sums[:, :K] * r).sum(axis=1) + sums[:, K]
-            total[x.is_hot] = m.hot_total[x.hot_at[x.is_hot]]
-            divisor, weight = backoff(sums, mass, total, m.discount)
-            divisor[x.is_hot], weight[x.is_hot] = divisor_hot[x.hot_at[x.is_hot]], weight_hot[x.hot_at[x.is_hot]]
-            p1 = x.mass(m.unigram, m.end)[x.pair_tok]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                d = m.discount[np.minimum(x.r, K)]
-                d = np.where(x.r > K, 1.0, d)
-                p = np.where(x.r > 0, d * x.r / np.maximum(divisor, 1)[x.pair_ctx], weight[x.pair_ctx] * p1)
-                lp = np.log10(p)
-            score = np.bincount(x.doc, weights=lp[x.inverse], minlength=len(x.rk))
-            word = np.where(x.ctx == START, 0.0, np.log10(total + 1))
-            base = np.bincount(x.doc, weights=word[x.c], minlength=len(x.rk))
-            known = np.bincount(x.doc, weights=((total > 0) & (x.ctx != START))[x.c], minlength=len(x.rk))
+            score, base, known = np.zeros(len(x.rk)), np.zeros(len(x.rk)), np.zeros(len(x.rk))
+            p1 = x.mass(m.unigram, m.end)
+            for p in x.parts():
+                sums, mass = p.context_sums(p1)
+                total = (sums[:, :K] * np.arange(1, K + 1)).sum(axis=1) + sums[:, K]
+                hot = p.hot_at[p.is_hot]
+                total[p.is_hot] = m.hot_total[hot]
+                divisor, weight = backoff(sums, mass, total, m.discount)
+                divisor[p.is_hot], weight[p.is_hot] = divisor_hot[hot], weight_hot[hot]
+                kept = np.where(p.r > K, 1.0, m.discount[np.minimum(p.r, K)]) * p.r / np.maximum(divisor, 1)[p.pair_ctx]
+                prob = np.where(p.r > 0, kept, weight[p.pair_ctx] * p1[p.pair_tok])
+                word = np.where(p.ctx == START, 0.0, np.log10(total + 1))
+                score += np.bincount(p.doc, weights=np.log10(prob)[p.inverse], minlength=len(x.rk))
+                base += np.bincount(p.doc, weights=word[p.c], minlength=len(x.rk))
+                known += np.bincount(p.doc, weights=((total > 0) & (p.ctx != START))[p.c], minlength=len(x.rk))
             yield x.rk.tobytes(), score.tobytes(), base.tobytes(), known.astype(np.int64).tobytes()
+            del x, p, prob, kept, score, base, known
+            trim()
 
     return run
 

@@ -34,9 +34,9 @@ from reelhouse.llm.words import word_lists
 
 WINDOW = 2048
 SHARD_ITEMS = 2048
-CACHE_WORDS = 500_000  # words of each of the two generations of a worker's cache
+CACHE_WORDS = 300_000  # words of each of the two generations of a worker's cache
 QUERY_TERMS = 16
-GATHER_BYTES = 24 * 1024 * 1024
+GATHER_BYTES = 16 * 1024 * 1024
 K1, B = 1.2, 0.75
 #: The vocabulary's pre-tokenizer pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"

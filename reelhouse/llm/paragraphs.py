@@ -185,14 +185,9 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     cells = cut(shared_cells(rows, band_keys(bands, rows_of_band), buckets))
     wanted = spark.sparkContext.broadcast(key_filter(cells.select(F.col("node").alias("key")).distinct()))
     found = cut(rows.mapInArrow(wanted_sets(wanted), "node long, id long, n long, arr array<long>"))
-    sets = cut(found.filter("arr is not null").groupBy("id").agg(F.first("n").alias("n"), F.first("arr").alias("arr")))
-    of_node = found.select("node", "id").distinct().join(sets.select("id", "n"), "id")
-    members = cut(cells.select("cell", "node").distinct().join(of_node, "node").select("cell", "id", "n").distinct())
+    members = cut(cells.select("cell", "node").join(found.select("node", "id").distinct(), "node").select("cell", "id").distinct())
     ids = cut(members.select("id").distinct())
-    shared = members.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1").select("cell")
-    members = members.join(shared, "cell")
-    sets = sets.join(members.select("id").distinct(), "id", "left_semi")
-    links = resolve(members, cut(sets), percent)
+    links = resolve(members, found.filter("arr is not null").select("id", "n", "arr"), percent)
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     repeated = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")

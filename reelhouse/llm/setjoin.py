@@ -3,13 +3,15 @@
 A cell is a group of sets that share a key (a prefix shingle or a MinHash band).
 Tasks send cell keys as packed arrays by hash bucket; only cells with two or
 more members become rows.  ``resolve`` then finds every link of Jaccard
-similarity >= t inside the cells, up to connectivity: in each round the smallest
-members of a cell are its pivots and meet the members that follow them in size
-order.  Members whose distances to the cell's first pivot differ by more than
-1 - t are no pair (triangle inequality of the Jaccard distance), nor are sizes
-too far apart; cells whose remaining members are connected already are done.
-The number of pivots doubles, so a cell ends after a logarithmic number of
-rounds, and a group of near copies after the first.
+similarity >= t inside the cells, up to connectivity.  Sets connected through
+cells form regions.  A region of up to ``REGION_SETS`` sets is one task's work,
+each set sent once; a larger one is split by its cells and resolved in
+distributed rounds (``rounds``).  Both work alike: the smallest sets are pivots,
+in turn, and meet the sets that follow them in size order.  Sets whose distances
+to the first pivot differ by more than 1 - t are no pair (triangle inequality of
+the Jaccard distance), nor are sizes too far apart; what is connected already is
+not compared.  In rounds the number of pivots doubles, so a cell ends after a
+logarithmic number of rounds, and a group of near copies after the first.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.llm.components import components
 from reelhouse.llm.util import cut
@@ -28,6 +30,8 @@ FLUSH_UNITS = 16_384
 LEAST_BUCKETS = 64
 MANY = np.uint32(1 << 31)
 FILTER_BITS = 1 << 26
+REGION_SETS = 256
+BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
 
 
 def node_ids(th: np.ndarray, unit: np.ndarray) -> np.ndarray:
@@ -39,8 +43,8 @@ def node_ids(th: np.ndarray, unit: np.ndarray) -> np.ndarray:
 UnitKeys = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]
 
 
-def send_cells(keys_of: Callable[[pa.RecordBatch], UnitKeys], n_buckets: int):
-    """Map side: packed cell keys by bucket.  Equal sets of a task send their keys once, marked."""
+def send_cells(keys_of: Callable[[pa.RecordBatch], UnitKeys], n_buckets: int, marks: bool):
+    """Map side: packed cell keys by bucket.  Equal sets of a task send their keys once, marked if ``marks``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[UnitKeys] = []
@@ -65,7 +69,7 @@ def send_cells(keys_of: Callable[[pa.RecordBatch], UnitKeys], n_buckets: int):
             bucket = (mix(key) % np.uint64(n_buckets)).astype(np.int64)
             # a key known to be shared needs no meeting: it goes anywhere
             bucket[known] = (mix(key[known] + th[owner[known]].astype(np.uint64)) % np.uint64(n_buckets)).astype(np.int64)
-            flags = np.where(many[owner] | known, MANY, np.uint32(0)) | unit[owner].astype(np.uint32)
+            flags = np.where(many[owner] & marks | known, MANY, np.uint32(0)) | unit[owner].astype(np.uint32)
             order = np.argsort(bucket, kind="stable")
             key, owner, flags, bucket = key[order], owner[order], flags[order], bucket[order]
             cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
@@ -92,7 +96,7 @@ def send_cells(keys_of: Callable[[pa.RecordBatch], UnitKeys], n_buckets: int):
 
 
 def meet_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Reduce side: (cell, node, th, unit) of keys with two members or a mark."""
+    """Reduce side: (cell, node, th, tag) of keys with two members or a mark; the tag is the unit number."""
     keys, ths, units = [], [], []
     for b in batches:
         for k, t, u in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
@@ -101,22 +105,27 @@ def meet_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     key, th, unit = np.concatenate(keys), np.concatenate(ths), np.concatenate(units)
     del keys, ths, units
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    same = sorted_key[1:] == sorted_key[:-1]
-    shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) | (unit[order] >= MANY)
-    pick = order[shared]
-    key, th, unit = key[pick].view(np.int64), th[pick], (unit[pick] & ~MANY)
+    order = np.lexsort((unit, th, key))
+    key, th, unit = key[order], th[order], unit[order]
+    same = key[1:] == key[:-1]
+    again = same & (th[1:] == th[:-1]) & ((unit[1:] ^ unit[:-1]) & ~MANY == 0)  # one member sent by several tasks
+    keep = np.concatenate(([True], ~again))
+    marked = unit >= MANY
+    marked[:-1] |= again
+    key, th, unit, marked = key[keep], th[keep], unit[keep], marked[keep]
+    same = key[1:] == key[:-1]
+    shared = np.concatenate((same, [False])) | np.concatenate(([False], same)) | marked
+    key, th, unit = key[shared].view(np.int64), th[shared], unit[shared] & ~MANY
     node = node_ids(th, unit)
     for at in range(0, len(key), 65_536):
         s = slice(at, at + 65_536)
-        yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(node[s]), pa.array(th[s])], names=["cell", "node", "th"])
+        yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(node[s]), pa.array(th[s]), pa.array(unit[s].astype(np.int32))], names=["cell", "node", "th", "tag"])
 
 
-def shared_cells(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], UnitKeys], n_buckets: int) -> DataFrame:
-    """(cell, node, th) of the cells with two members, or one that stands for several units."""
-    sent = docs.mapInArrow(send_cells(keys_of, n_buckets), "bucket int, keys binary, ths binary, units binary")
-    return sent.repartition(n_buckets, "bucket").mapInArrow(meet_cells, "cell long, node long, th long")
+def shared_cells(docs: DataFrame, keys_of: Callable[[pa.RecordBatch], UnitKeys], n_buckets: int, marks: bool = True) -> DataFrame:
+    """(cell, node, th, tag) of the cells with two members, or (``marks``) one that stands for several units."""
+    sent = docs.mapInArrow(send_cells(keys_of, n_buckets, marks), "bucket int, keys binary, ths binary, units binary")
+    return sent.repartition(n_buckets, "bucket").mapInArrow(meet_cells, "cell long, node long, th long, tag int")
 
 
 class KeyFilter:
@@ -166,24 +175,118 @@ def key_filter(keys: DataFrame) -> KeyFilter:
     return KeyFilter(bits.ravel())
 
 
+def overlaps(pairs: DataFrame, table: DataFrame) -> DataFrame:
+    """(a, b, na, nb, i) of pairs: sizes and the number of common elements of ``arr`` in ``table`` (id, n, arr)."""
+    heads = pairs.select("a").distinct()
+    left = table.join(bounded(heads), F.col("id") == F.col("a")).select("a", F.col("n").alias("na"), F.col("arr").alias("xa"))
+    right = table.join(bounded(pairs), F.col("id") == F.col("b")).select("a", "b", F.col("n").alias("nb"), F.col("arr").alias("xb"))
+    return right.join(left, "a").select("a", "b", "na", "nb", F.size(F.array_intersect("xa", "xb")).cast("long").alias("i"))
+
+
 def jaccard_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """pairs (a, b) with their distance d and whether they link; exact on whole sets."""
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("arr").alias("xa"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("arr").alias("xb"))
-    both = pairs.join(left, "a").join(right, "b").withColumn("i", F.size(F.array_intersect("xa", "xb")).cast("long"))
     union = F.col("na") + F.col("nb") - F.col("i")
-    return both.select("a", "b", (1 - F.col("i") / union).alias("d"), (100 * F.col("i") >= percent * union).alias("link"))
+    return overlaps(pairs, sets).select("a", "b", (1 - F.col("i") / union).alias("d"), (100 * F.col("i") >= percent * union).alias("link"))
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df`` marked for broadcast if its counted size allows it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def overlap(s: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of one sorted set with others."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(s, flat), len(s) - 1)
+    begin = np.cumsum([0] + [len(x) for x in others[:-1]])
+    return np.add.reduceat((s[at] == flat).astype(np.int64), begin)
+
+
+def links_of_region(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links that connect a region's sets (sorted by size), pivot by pivot."""
+    size = np.array([len(s) for s in sets])
+    group = np.arange(len(ids))
+    first = np.full(len(ids), np.nan)  # distance to the first pivot
+    eps, out = 1 - percent / 100 + 1e-9, []
+    for p in range(len(ids) - 1):
+        rest = np.arange(p + 1, len(ids))
+        meet = rest[(group[rest] != group[p]) & (size[p] * 100 >= size[rest] * percent)]
+        if p:
+            meet = meet[~(np.abs(first[meet] - first[p]) > eps)]
+        if not len(meet):
+            continue
+        both = overlap(sets[p], [sets[i] for i in meet])
+        union = size[p] + size[meet] - both
+        if not p:
+            first[meet] = 1 - both / union
+            first[0] = 0
+        for i in meet[100 * both >= percent * union].tolist():
+            if group[i] != group[p]:
+                out.append((ids[p], ids[i]))
+                group[group == group[i]] = group[p]
+    return out
+
+
+def resolve_regions(percent: int):
+    """Links of the regions of a partition, sorted by region, size and id."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, ids, sets, out = None, [], [], []
+
+        def close():
+            if len(ids) > 1:
+                out.extend(links_of_region(ids, sets, percent))
+            ids.clear(), sets.clear()
 
+        for b in batches:
+            regions, own, arrays = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)
+            for i, (region, set_id) in enumerate(zip(regions, own)):
+                if region != at:
+                    close()
+                    at = region
+                if not ids or ids[-1] != set_id:  # a set may come from several tasks
+                    ids.append(set_id)
+                    sets.append(np.sort(arrays[i].values.to_numpy().view(np.uint64)))
+        close()
+        a, z = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
+
+    return run
 
-def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
+
+def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80, outside: Callable[[Column], Column] | None = None) -> DataFrame:
     """All links (a, b) inside the cells, up to connectivity.
 
-    ``cells``: distinct (cell, id, n); ``sets``: id, n, arr, one row for each id.
+    ``cells``: (cell, id); ``sets``: id, n, arr, rows of an id may repeat.
+    ``outside``: if a set's cells are all its elements of a window of one global
+    order, the number of its elements outside the window, by its size; common
+    cells then bound a pair's overlap before whole sets are compared.
     """
+    hubs = cells.groupBy("cell").agg(F.min("id").alias("hub"))
+    star = cells.join(hubs, "cell").filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
+    region = cut(components(star))
+    sizes = region.groupBy("comp").agg(F.count("*").alias("m"))
+    small = region.join(sizes.filter(F.col("m") <= REGION_SETS), "comp").select("comp", "id")
+    large = cut(region.join(sizes.filter(F.col("m") > REGION_SETS), "comp").select("id"))
+    dealt = (sets.join(bounded(small), "id").repartition("comp").sortWithinPartitions("comp", "n", "id").select("comp", "id", "arr"))
+    links = cut(dealt.mapInArrow(resolve_regions(percent), "a long, b long"))
+    if large.isEmpty():
+        return links
+    some = bounded(large)
+    own = cut(sets.join(some, "id").groupBy("id").agg(F.first("n").alias("n"), F.first("arr").alias("arr")))
+    left = cells.join(some, "id").select("cell", "id").join(bounded(own.select("id", "n")), "id")
+    return links.union(rounds(left, own, percent, outside))
+
+
+def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[Column], Column] | None) -> DataFrame:
+    """Links inside cells of large regions: (cell, id, n), and one row of ``sets`` for each id."""
     eps = 1 - percent / 100 + 1e-9
     spark = cells.sparkSession
     links = spark.createDataFrame([], "a long, b long")
-    cells = cut(cells.withColumns({"d0": F.lit(None).cast("double"), "comp": F.col("id")}))
+    windows = None
+    if outside is not None:
+        windows = cut(cells.groupBy("id", "n").agg(F.collect_set("cell").alias("arr")))  # a set's own window
+    cells = cells.withColumns({"d0": F.lit(None).cast("double"), "comp": F.col("id")})
     k, first = 1, True
     while True:
         # a cell's members in (n, id) order; the first k are this round's pivots
@@ -200,7 +303,11 @@ def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
                .filter("(n > p.n or n = p.n and id > p.id) and comp <> p.comp")
                .filter(F.col("p.n") * 100 >= F.col("n") * percent)
                .filter(F.col("d0").isNull() | F.col("p.d0").isNull() | (F.abs(F.col("d0") - F.col("p.d0")) <= eps)))
-        pairs = met.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = cut(met.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct())
+        if windows is not None:
+            least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-9)
+            most = F.col("i") + F.greatest(outside(F.col("na")), outside(F.col("nb")))
+            pairs = cut(overlaps(pairs, windows).filter(most >= least).select("a", "b"))
         found = cut(jaccard_pairs(pairs, sets, percent))
         links = links.union(found.filter("link").select("a", "b"))
         last = piv.groupBy("cell").agg(F.max(F.struct("p.n", "p.id")).alias("last"), F.min("p").alias("p"))
@@ -214,5 +321,7 @@ def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80) -> DataFrame:
                 .select("cell", "id", "n", "d0", "comp"))
         many = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("cell")
         cells = cut(rest.join(many, "cell"))
+        if cells.isEmpty():
+            break
         first, k = False, 2 if first else 2 * k
     return links

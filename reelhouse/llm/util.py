@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import string
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -60,9 +62,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def trim() -> None:
+    """Give freed memory back to the system: Python workers outlive their tasks."""
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared folder."""
-    return df.checkpoint(eager=True)
+    """Cut lineage: a Parquet table in the session's shared folder, read back.
+
+    A table takes a fraction of a checkpoint's bytes, and its plan carries no
+    constraints on, which grow with every round of an iterative job.  It goes
+    when the application ends.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/cut-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list], fields: list[T.StructField],

@@ -15,6 +15,8 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
+pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back: a worker outlives its tasks
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SHINGLE = 5
 STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, SHINGLE + 1)]
