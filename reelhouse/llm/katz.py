@@ -144,7 +144,7 @@ def count_words(sent):
         for b in batches:
             held.append((b.column(0).cast(pa.large_string()), b.column(1).to_numpy(zero_copy_only=False)))
             n += b.column(0).nbytes
-            if n > 4 * FLUSH_TOKENS:
+            if n > 2 * FLUSH_TOKENS:
                 yield from flush()
                 trim()
         if held:
