@@ -8,7 +8,6 @@ Layers (each a plain Python function over DataFrames, lazily planned by Catalyst
   masking, access policy, quality rules)
 * ``reelhouse.plans``     the warehouse models: bronze, dimensions, fact, views,
   reports and the end-to-end pipeline
-* ``reelhouse.streaming`` intentionally empty (the workload is a daily batch)
 """
 
 __version__ = "0.1.0"

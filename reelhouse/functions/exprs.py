@@ -50,8 +50,8 @@ def surrogate_key(col: ColumnOrName, algo: str = "xxhash64") -> Column:
 
 
 def num(col: ColumnOrName) -> Column:
-    """Dirty text/number -> DOUBLE, unparsable -> NULL."""
-    return _c(col).try_cast("double")
+    """Dirty text/number -> DOUBLE, unparsable and NaN -> NULL."""
+    return F.nullif(_c(col).try_cast("double"), F.lit(float("nan")))
 
 
 def parse_date(col: ColumnOrName) -> Column:

@@ -1,9 +1,9 @@
 """Join helpers: size-checked broadcast and semi-join reduction.
 
 A side is broadcast only after its row count has been checked against a cap
-(``fits``: a ``limit(cap + 1).count()``; every task stops after cap + 1 rows,
-and on a written table the count reads Parquet row counts, no column data).  Beyond the cap the join stays a shuffle join,
-and AQE may still convert it at runtime from real shuffle sizes.
+(``fits``: a plain count, one number per task; on a written table it reads
+Parquet row counts, no column data).  Beyond the cap the join stays a shuffle
+join, and AQE may still convert it at runtime from real shuffle sizes.
 """
 
 from __future__ import annotations
@@ -16,42 +16,22 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
 def fits(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (one bounded action)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows (partial counts, no rows moved)."""
+    return df.count() <= max_rows
 
 
 def fits_all(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``fits`` for several frames in one job: a union of their bounded counts
+    """``fits`` for several frames in one job: a union of their counts
     (one small row per frame reaches the driver)."""
     counts = None
     for name, df in frames.items():
-        c = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("frame"), "n")
+        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("frame"), "n")
         counts = c if counts is None else counts.unionByName(c)
     if counts is None:
         return {}
     return {r["frame"]: r["n"] <= max_rows for r in counts.collect()}
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its size is checked to be under ``max_rows``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    on,
-    how: str = "left",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Fact-to-dimension join; the dimension is broadcast only if checked small.
-
-    For ``left``/``inner`` joins Spark builds the hash table on the right
-    (dimension) side, so the fact is streamed without a shuffle.
-    """
-    return fact.join(maybe_broadcast(dim, max_broadcast_rows), on, how)
-
-
 def reduce_then_left_join(
     keys: DataFrame,
     big: DataFrame,

@@ -26,9 +26,8 @@ from pyspark.sql import functions as F
 
 from reelhouse.session import ensure_checkpoint_dir
 
-# Upper bound on a hot-key list that split_by_keys broadcasts (find_hot_keys
-# returns at most 1 / share keys, i.e. 100 with the default share; the fact
-# unions two such lists, one per side of its crew join).
+# Upper bound on a hot-key list that split_by_keys broadcasts; a longer one
+# meets the rows in a shuffle join.
 MAX_HOT_KEYS = 10_000
 
 
@@ -116,19 +115,16 @@ def lag_delta(
 
 
 def bounded_keys(hot_keys: DataFrame, keys: Sequence[str], limit: int = MAX_HOT_KEYS) -> DataFrame:
-    """Distinct ``keys`` of ``hot_keys`` marked for broadcast, after checking
-    that at most ``limit`` of them exist (raises otherwise)."""
+    """Distinct ``keys`` of ``hot_keys``, marked for broadcast if at most ``limit`` of them exist."""
     hk = hot_keys.select(*keys).distinct()
-    if hk.limit(limit + 1).count() > limit:
-        raise ValueError(f"hot_keys holds more than {limit} keys; pass only the few heavy groups")
-    return F.broadcast(hk)
+    return F.broadcast(hk) if hk.count() <= limit else hk
 
 
 def split_by_keys(df: DataFrame, keys: Sequence[str], hot_keys: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(cold, hot)``: the rows whose ``keys`` are not / are among ``hot_keys``.
 
-    Both halves are broadcast joins against the size-checked key list, so the
-    split moves no data.  A NULL key matches a NULL hot key.
+    Both halves join the size-checked key list; broadcast, the split moves no
+    data.  A NULL key matches a NULL hot key.
     """
     hk = bounded_keys(hot_keys, keys)
     cond = [df[k].eqNullSafe(hk[k]) for k in keys]
@@ -171,13 +167,16 @@ def lag_spread(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[s
 def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
-    share: float = 0.01,
+    share: float | None = None,
     sample_fraction: float = 0.001,
     min_rows: int = 1_000_000,
     seed: int = 7,
 ) -> DataFrame | None:
     """Key values holding more than ``share`` of the rows, or ``None``.
 
+    Without a ``share`` it is that of one shuffle partition: a key with more
+    rows than an average partition is what a task would notice.
+
     One job over a Bernoulli sample of the key columns only (a pruned scan;
     nothing is persisted): a ``rollup`` counts the sampled rows per key and,
     in the same pass, in total.  Counts combine map-side, so a hot key costs
@@ -189,6 +188,8 @@ def find_hot_keys(
     so that ``min_rows * sample_fraction`` is a few hundred rows or more.
     """
     spark = df.sparkSession
+    if share is None:
+        share = 1 / max(100, int(spark.conf.get("spark.sql.shuffle.partitions")))
     total_level = (1 << len(keys)) - 1  # grouping_id of the grand-total row
     counts = (
         df.select(*keys).sample(fraction=sample_fraction, seed=seed)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from reelhouse.sources.adapter import BASICS_SQL, CREW_SQL, NAMES_SQL, TMDB_RAW_SQL, TMDB_SRC_SQL
 
 AS_OF = "2024-01-01"  # fixed validity date used by the registered queries
-TOP_YEAR = 2000  # release year asked by the top-films reports (dates span 2000-2001)
+TOP_YEAR = 2000  # release year asked by the top-films reports (dates span 1995-2007)
 DIRECTOR_MIN_RATING = 5.0
 # Genres shown by the dashboard-slice query (two genres present in the test data).
 SLICE_GENRES = ("PROMO", "STANDARD")
@@ -314,9 +314,11 @@ WHERE m.movie_runtime IS NOT NULL AND f.revenue IS NOT NULL GROUP BY 1"""
     q["q_snapshot"] = bronze + """SELECT imdb_id, title, CAST(vote_average AS DOUBLE) AS vote_avg,
        CASE WHEN vote_count = floor(vote_count) THEN CAST(vote_count AS INTEGER) END AS vote_count,
        TRY_CAST(release_date AS TIMESTAMP) AS release_date, CAST(revenue AS DOUBLE) AS revenue
-FROM (SELECT * FROM tmdb_src ORDER BY imdb_id NULLS LAST LIMIT 5000) s
+FROM tmdb_f
 WHERE imdb_id IS NOT NULL AND title IS NOT NULL AND vote_average IS NOT NULL AND vote_count IS NOT NULL
   AND release_date IS NOT NULL AND revenue IS NOT NULL"""
+    q["q_sample_first"] = bronze + """SELECT imdb_id, title, revenue FROM tmdb_src
+ORDER BY imdb_id NULLS LAST, title NULLS LAST, revenue NULLS LAST LIMIT 5000"""
     q["q_bronze_from_csv"] = q["q_fill_bronze"]
     q["q_crew_from_tsv_gz"] = q["q_crew_bronze"]
     q["q_title_basics_bronze"] = f"""WITH basics_src AS ({BASICS_SQL})
@@ -331,7 +333,9 @@ FROM tmdb_raw WHERE year(release_date) = {TOP_YEAR}"""
        vote_average, original_language, vote_count, runtime, genres, status, DATE '{AS_OF}' AS run_date
 FROM tmdb_f"""
     q["q_clustered_bronze"] = q["q_fill_bronze"]
-    q["q_append_columns"] = bronze + """SELECT imdb_id, title, CAST(release_date AS DATE) AS release_date,
+    q["q_append_columns"] = bronze + """SELECT *, CAST(NULL AS VARCHAR) AS status FROM tmdb_raw
+UNION ALL BY NAME
+SELECT imdb_id, title, CAST(release_date AS DATE) AS release_date,
        production_companies, CAST(budget AS BIGINT) AS budget, CAST(revenue AS BIGINT) AS revenue,
        CAST(vote_average AS FLOAT) AS vote_average, CAST(vote_count AS BIGINT) AS vote_count,
        CAST(runtime AS INTEGER) AS runtime, genres, original_language, status

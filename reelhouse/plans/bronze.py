@@ -23,6 +23,7 @@ from reelhouse.operators.clean import (
 from reelhouse.sources.files import sample_first
 
 FILM_TEXT = ["imdb_id", "title", "production_companies", "genres", "original_language"]
+# The columns the film table declares.
 FILM_LOAD_COLUMNS = [
     "imdb_id", "title", "release_date", "production_companies", "budget", "revenue",
     "vote_average", "original_language", "vote_count", "runtime", "genres",
@@ -49,9 +50,9 @@ def tmdb_raw(filtered: DataFrame, observation: Observation | None = None) -> Dat
         "vote_count": "bigint", "runtime": "int",
     }
     # Direct cast first (exact for 64-bit integers), then via DOUBLE for text
-    # such as '123.0'; anything else becomes NULL.
+    # such as '123.0'; anything else, NaN too, becomes NULL.
     df = df.withColumns({
-        c: F.coalesce(F.col(c).try_cast(t), num(c).try_cast(t))
+        c: num(c).try_cast(t) if t == "float" else F.coalesce(F.col(c).try_cast(t), num(c).try_cast(t))
         for c, t in numeric.items() if c in df.columns
     })
     # Text columns absent from the file are stored as '' like present ones.
@@ -80,15 +81,17 @@ def title_basics_raw(raw: DataFrame) -> DataFrame:
     return enforce(df, schemas.TITLE_BASICS_RAW)
 
 
-def films_snapshot(raw: DataFrame, n: int = 5000, order_by=("imdb_id",)) -> DataFrame:
-    """Lakehouse snapshot of the film file: first ``n`` rows, renamed and typed.
+def films_snapshot(films: DataFrame, n: int | None = None, order_by=("imdb_id",)) -> DataFrame:
+    """Lakehouse snapshot of the filtered film file, renamed and typed.
+
+    All rows, or the first ``n`` of ``order_by`` if asked for.
 
     Rows with any missing kept value are dropped; release dates become
     microsecond timestamps (unparsable -> NULL); vote counts that are not whole
     numbers become NULL instead of failing the load.
     """
-    head = sample_first(raw, n, list(order_by) if order_by else None)
-    df = head.withColumnsRenamed({"vote_average": "vote_avg", "id": "tmdb_id"})
+    rows = films if n is None else sample_first(films, n, list(order_by) if order_by else None)
+    df = rows.withColumnsRenamed({"vote_average": "vote_avg"})
     df = drop_incomplete(select_existing(df, [f.name for f in schemas.TMDB_SNAPSHOT.fields]))
     vc = num("vote_count")
     df = df.withColumns({

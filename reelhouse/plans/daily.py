@@ -14,7 +14,9 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from reelhouse import schemas
 from reelhouse.operators import quality
+from reelhouse.operators.clean import enforce
 from reelhouse.plans import bronze as B
 from reelhouse.plans import dims as D
 from reelhouse.plans.fact import fact_movie_performance
@@ -23,6 +25,13 @@ from reelhouse.sources import files, sinks
 from reelhouse.sources.catalog import Catalog
 
 
+# Key order of the rows inside each gold file (row-group skipping).
+GOLD_ORDER = {
+    "dim_movie": ["movie_id"], "dim_genre": ["genre_id"], "dim_director": ["director_id"],
+    "dim_production": ["production_id"], "dim_date": ["full_date"], "fact_movie_performance": ["imdb_id", "date_id"],
+}
+
+
 @dataclass
 class Bronze:
     tmdb_raw: DataFrame
@@ -92,16 +101,18 @@ def run_daily(
     as_of=None,
     raw_partitions: int | None = None,
     check: bool = True,
+    multi_line: bool = False,
 ) -> dict:
     """One full refresh of the warehouse under ``out_root`` (Parquet folders).
 
-    Returns row counts and the quality results.  Raises ``QualityError`` when
+    ``multi_line`` is for film files with line breaks inside quoted cells, which
+    cannot be split; give ``raw_partitions`` with it.  Returns row counts and the quality results.  Raises ``QualityError`` when
     ``check`` is set and a rule fails.
     """
     run_date = run_date or _dt.date.today().isoformat()
     root = out_root.rstrip("/")
     # Raw layer: keep today's copy of the film file (by run date).
-    films_raw = files.read_films_csv(spark, films_csv, partitions=raw_partitions)
+    films_raw = files.read_films_csv(spark, films_csv, multi_line=multi_line, partitions=raw_partitions)
     sinks.write_run(films_raw, f"{root}/raw/tmdb", run_date)
     films_raw = sinks.read_latest(spark, f"{root}/raw/tmdb").drop("run_date")
     crew_raw = files.read_tsv(spark, crew_tsv, ["tconst", "directors"], partitions=raw_partitions)
@@ -122,6 +133,7 @@ def run_daily(
     for name, df in frames.items():
         sinks.overwrite(df, f"{root}/bronze/{name}", sort_by=layout[name], max_rows_per_file=500_000,
                         observation=loaded if name == "tmdb_raw" else None)
+    sinks.write_snapshot(B.films_snapshot(B.films_filtered(films_raw)), f"{root}/lakehouse/tmdb_bronze", schemas.TMDB_SNAPSHOT)
     cat = Catalog(spark, root)
     read = cat.tables("bronze", frames)
     bronze = Bronze(read["tmdb_raw"], read["imdb_title_crew_raw"], read["imdb_name_basics_raw"],
@@ -129,10 +141,11 @@ def run_daily(
 
     dims = build_dims(bronze, as_of)
     for name, df in dims.items():
-        sinks.overwrite(df, f"{root}/gold/{name}")
+        sinks.overwrite(enforce(df, schemas.GOLD[name]), f"{root}/gold/{name}", sort_by=GOLD_ORDER[name])
     gold_dims = cat.tables("gold", dims)
     fact = fact_movie_performance(bronze.tmdb_raw, bronze.crew)
-    sinks.overwrite(fact, f"{root}/gold/fact_movie_performance")
+    sinks.overwrite(enforce(fact, schemas.FACT), f"{root}/gold/fact_movie_performance",
+                    sort_by=GOLD_ORDER["fact_movie_performance"])
     gold = Gold(fact=cat.ref("fact_movie_performance"), **gold_dims)
 
     views = {
@@ -144,7 +157,7 @@ def run_daily(
     for name, v in views.items():
         sinks.publish_view(v, name)
 
-    results = quality.run_suite(gold.tables(), fail=check)
+    results = quality.run_suite(gold.tables(), foreign_keys=quality.GOLD_FOREIGN_KEYS, fail=check)
     counts = {n: df.count() for n, df in read.items()}
     counts.update({n: df.count() for n, df in gold.tables().items()})
     return {"run_date": run_date, "tmdb_loaded": loaded.get.get("rows"), "rows": counts,

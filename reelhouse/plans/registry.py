@@ -31,7 +31,7 @@ from reelhouse.session import ensure_checkpoint_dir
 from reelhouse.sources.adapter import RawInputs, read_testdata
 from reelhouse.sources import sinks
 from reelhouse.sources.catalog import Catalog
-from reelhouse.sources.files import read_films_csv, read_snapshot, read_tsv
+from reelhouse.sources.files import read_films_csv, read_snapshot, read_tsv, sample_first
 
 AS_OF = _dt.date.fromisoformat(oracle.AS_OF)
 ROUND6 = ("movie_popularity", "popularity_change")
@@ -134,7 +134,9 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "dim_movie": w.dim_movie, "dim_genre": w.dim_genre, "dim_date": w.dim_date,
         "dim_production": w.dim_production, "fact_movie_performance": w.fact})
     q["q_fk_orphans"] = _fk_orphans
-    q["q_snapshot"] = lambda w: B.films_snapshot(w.raw.films_src, 5000, ("imdb_id",))
+    q["q_snapshot"] = lambda w: B.films_snapshot(B.films_filtered(w.raw.films_src))
+    q["q_sample_first"] = lambda w: sample_first(
+        w.raw.films_src.select("imdb_id", "title", "revenue"), 5000, ["imdb_id", "title", "revenue"])
     q["q_bronze_from_csv"] = _bronze_from_csv
     q["q_crew_from_tsv_gz"] = _crew_from_tsv_gz
     q["q_title_basics_bronze"] = lambda w: B.title_basics_raw(w.raw.basics_src)
@@ -175,7 +177,7 @@ def _crew_from_tsv_gz(w: Warehouse) -> DataFrame:
 def _snapshot_scan(w: Warehouse) -> DataFrame:
     """Snapshot written as a Parquet folder, then scanned as a table with the declared schema."""
     path = f"{_scratch(w.spark)}/tmdb_bronze"
-    sinks.write_snapshot(B.films_snapshot(w.raw.films_src, 5000, ("imdb_id",)), path, schemas.TMDB_SNAPSHOT)
+    sinks.write_snapshot(B.films_snapshot(B.films_filtered(w.raw.films_src)), path, schemas.TMDB_SNAPSHOT)
     return read_snapshot(w.spark, path, schemas.TMDB_SNAPSHOT)
 
 

@@ -2,9 +2,8 @@
 
 Both are five LEFT joins from the fact to its dimensions.  Dimension sides
 are projected to the key and the attribute the view needs before joining, so
-only those columns travel; small dimensions are broadcast after a size check
-(``fits_all``: one job for all five), large ones meet the fact in a shuffle
-join (AQE may still convert at runtime).
+only those columns travel.  A view is defined once and read later, so it holds
+no hints: AQE picks broadcast or shuffle joins from the sizes it meets.
 """
 
 from __future__ import annotations
@@ -12,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits_all
 from reelhouse.operators.masking import bucket_rule, first_word_rule, hash_rule, keep_prefix, mask
 
 MEASURES = [
@@ -22,7 +20,7 @@ MEASURES = [
 VIEW_COLUMNS = ["movie_title", "release_year", "director_name", "genre_name", "production_name", *MEASURES]
 
 
-def _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production, max_broadcast_rows):
+def _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production):
     f = fact.select("imdb_id", "date_id", "director_id", "genre_id", "production_id", *MEASURES)
     sides = {
         "imdb_id": dim_movie.select("imdb_id", "movie_title"),
@@ -31,17 +29,14 @@ def _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production, ma
         "genre_id": dim_genre.select("genre_id", "genre_name"),
         "production_id": dim_production.select("production_id", "production_name"),
     }
-    # all five size checks in one job; checked-small sides are broadcast
-    small = fits_all(sides, max_broadcast_rows)
     for key, dim in sides.items():
-        f = f.join(F.broadcast(dim) if small[key] else dim, key, "left")
+        f = f.join(dim, key, "left")
     return f.select(VIEW_COLUMNS)
 
 
-def view_full(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production,
-              max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def view_full(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production) -> DataFrame:
     """Readable star view: titles, year, names and all measures."""
-    return _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production, max_broadcast_rows)
+    return _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production)
 
 
 # The pseudonymisation of the limited view, as rules (column -> mask).
@@ -54,8 +49,8 @@ LIMITED_RULES = {
 
 
 def view_limited(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production,
-                 rules=None, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 rules=None) -> DataFrame:
     """Star view with the title hashed, the year masked to its century, only
     the director's first name shown and the rating generalised to a band."""
-    full = _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production, max_broadcast_rows)
+    full = _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production)
     return mask(full, LIMITED_RULES if rules is None else rules)

@@ -91,59 +91,59 @@ GOLD = {
 # Table and column descriptions (documentation kept with the data as
 # StructField metadata / table comments, see ``operators.quality.describe``).
 TABLE_COMMENTS = {
-    "dim_movie": "Movie dimension table",
-    "dim_genre": "Genre dimension table",
-    "dim_date": "Release date dimension table",
-    "dim_production": "Production company dimension table",
-    "fact_movie_performance": "Movie fact table",
-    "tmdb_raw": "Raw TMDB movie data",
-    "imdb_title_basics_raw": "IMDB title basics data",
-    "imdb_title_crew_raw": "IMDB crew data",
-    "imdb_name_basics_raw": "IMDB name/person data",
+    "dim_movie": "One row per trimmed film title",
+    "dim_genre": "One row per first-listed genre",
+    "dim_date": "One row per release day, with calendar attributes",
+    "dim_production": "One row per first-listed production company",
+    "fact_movie_performance": "One row per film row and crew row: keys, measures, changes within an id",
+    "tmdb_raw": "Film rows that passed the quality filter, typed",
+    "imdb_title_basics_raw": "Titles with start year and runtime, -1 where unknown",
+    "imdb_title_crew_raw": "Director lists by title id",
+    "imdb_name_basics_raw": "People by id",
 }
 COLUMN_COMMENTS = {
     "dim_movie": {
-        "movie_id": "Surrogate key for each movie",
-        "imdb_id": "Original IMDb or TMDB ID",
-        "movie_title": "Title of the movie",
-        "movie_runtime": "Runtime in minutes",
-        "language": "Original language of the movie",
+        "movie_id": "hash of the trimmed title",
+        "imdb_id": "smallest catalogue id carrying the title",
+        "movie_title": "trimmed title",
+        "movie_runtime": "minutes, from the row of that id",
+        "language": "language code, from the row of that id",
     },
-    "dim_genre": {"genre_id": "Surrogate key for each genre", "genre_name": "Name of the genre"},
+    "dim_genre": {"genre_id": "hash of the name", "genre_name": "first item of the genre list"},
     "dim_date": {
-        "date_id": "Surrogate key for each date",
-        "full_date": "Actual date",
-        "year": "Year",
-        "month": "Month number",
-        "day": "Day of month",
-        "week": "ISO week number",
-        "weekday": "Day of week name",
-        "season": "Season (Winter/Spring/Summer/Autumn)",
-        "is_weekend": "1 if weekend, 0 otherwise",
-        "holiday_name": "Name of holiday if applicable",
-        "is_holiday": "1 if holiday, 0 otherwise",
+        "date_id": "hash of the ISO date",
+        "full_date": "the day itself",
+        "year": "calendar year",
+        "month": "1 to 12",
+        "day": "1 to 31",
+        "week": "ISO week, 1 to 53",
+        "weekday": "three-letter English name",
+        "season": "by month, northern hemisphere",
+        "is_weekend": "1 on Saturday and Sunday, else 0",
+        "holiday_name": "tagged holiday, NULL on other days",
+        "is_holiday": "1 where holiday_name is set, else 0",
     },
     "dim_production": {
-        "production_id": "Surrogate key for each production company",
-        "production_name": "Name of the production company",
-        "valid_from": "Record valid from date",
-        "valid_to": "Record valid to date",
-        "is_current": "1 if current record, 0 if expired",
+        "production_id": "hash of the name",
+        "production_name": "first item of the company list",
+        "valid_from": "day of the build",
+        "valid_to": "NULL: every row is open",
+        "is_current": "TRUE in every row of a full refresh",
     },
     "fact_movie_performance": {
-        "movie_id": "FK to dim_movie",
-        "imdb_id": "Original IMDB id",
-        "director_id": "FK to dim_director",
-        "genre_id": "FK to dim_genre",
-        "production_id": "FK to dim_production",
-        "date_id": "FK to dim_date",
-        "vote_avg": "Average vote of the movie",
-        "vote_count": "Total vote count",
-        "revenue": "Revenue of the movie",
-        "budget": "Budget of the movie",
-        "movie_popularity": "Popularity metric",
-        "revenue_growth": "Year-over-year revenue growth",
-        "popularity_change": "Year-over-year change in popularity",
-        "vote_avg_change": "Year-over-year change in vote average",
+        "movie_id": "key into dim_movie",
+        "imdb_id": "catalogue id of the film row",
+        "director_id": "first listed director, key into dim_director",
+        "genre_id": "key into dim_genre",
+        "production_id": "key into dim_production",
+        "date_id": "key into dim_date",
+        "vote_avg": "rating as loaded",
+        "vote_count": "votes as loaded",
+        "revenue": "revenue as loaded",
+        "budget": "budget as loaded",
+        "movie_popularity": "rating times ln(1 + votes)",
+        "revenue_growth": "revenue minus that of the previous row of the same id",
+        "popularity_change": "popularity minus that of the previous row of the same id",
+        "vote_avg_change": "rating minus that of the previous row of the same id",
     },
 }

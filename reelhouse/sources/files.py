@@ -2,8 +2,8 @@
 
 Raw text is read as all-STRING columns (no schema inference pass over the
 data); typing happens in the bronze models with ``try_cast``.  gzip files and
-multi-line CSV cannot be split, so those reads are followed by a round-robin
-``repartition`` before any heavy work; the pipeline then writes Parquet once
+multi-line CSV cannot be split; such reads take ``partitions`` for a round-robin
+``repartition`` before any heavy work.  The daily run then writes Parquet once
 and reads Parquet from there on.
 """
 
@@ -23,13 +23,13 @@ def read_films_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
     """Film catalogue CSV: header row, double-quote quoting with doubled quotes.
 
-    ``multi_line`` handles newlines inside quoted cells but makes the file
-    unsplittable; pass ``False`` for files known to have none.  Only the
+    ``multi_line`` reads newlines inside quoted cells, which makes each file
+    unsplittable; without it large files are split over many tasks.  Only the
     ``columns`` that exist are kept (tolerant selection).
     """
     df = (

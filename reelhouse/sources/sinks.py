@@ -90,16 +90,18 @@ def write_tsv_gz(df: DataFrame, path: str) -> None:
        .option("compression", "gzip").csv(path))
 
 
-def write_snapshot(df: DataFrame, path: str, schema) -> DataFrame:
-    """Lakehouse snapshot: replace the folder with ``df`` cast to ``schema``.
+def write_snapshot(df: DataFrame, target: str, schema, fmt: str = "parquet", as_table: bool = False) -> DataFrame:
+    """Lakehouse snapshot: replace a folder, or a catalog table, with ``df`` cast to ``schema``.
 
-    Drop-create-append collapses into one overwrite of the folder (the table
-    format of the cluster's catalog can be chosen with ``fmt`` in ``overwrite``).
+    Drop-create-append collapses into one overwrite; ``fmt`` is any table
+    format that the cluster's session offers.
     """
     from reelhouse.operators.clean import enforce
 
-    overwrite(enforce(df, schema), path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    if as_table:
+        return replace_table(df.sparkSession, enforce(df, schema), target, fmt)
+    overwrite(enforce(df, schema), target, fmt)
+    return df.sparkSession.read.format(fmt).schema(schema).load(target)
 
 
 def comment_table(spark: SparkSession, name: str, comment: str) -> None:
@@ -141,10 +143,14 @@ def write_run(df: DataFrame, root: str, run_date: str, column: str = "run_date")
 
 
 def list_runs(spark: SparkSession, root: str, column: str = "run_date") -> list[str]:
-    """Run dates present under ``root`` (from the file listing, no data read)."""
+    """Run dates present under ``root`` (its directories; no data file is listed)."""
     pat = re.compile(rf"{re.escape(column)}=([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})")
-    files = spark.read.parquet(root).inputFiles()
-    return sorted({m.group(1) for f in files for m in [pat.search(f)] if m})
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    return sorted(m.group(1) for n in names for m in [pat.fullmatch(n)] if m)
 
 
 def read_latest(spark: SparkSession, root: str, column: str = "run_date") -> DataFrame:
@@ -152,22 +158,16 @@ def read_latest(spark: SparkSession, root: str, column: str = "run_date") -> Dat
     runs = list_runs(spark, root, column)
     if not runs:
         raise FileNotFoundError(f"no runs under {root}")
-    return spark.read.parquet(root).filter(F.col(column) == F.lit(runs[-1]).cast("date"))
+    folder = f"{root.rstrip('/')}/{column}={runs[-1]}"
+    return spark.read.option("basePath", root).parquet(folder).filter(F.col(column) == F.lit(runs[-1]).cast("date"))
 
 
 def append_new_columns(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Schema evolution: existing columns first, then columns only ``new`` has.
+    """Schema evolution: the rows of both, existing columns first, then those only ``new`` has.
 
-    Rows come from ``new``; columns it lacks are NULL.  Types of existing
-    columns win (ANSI cast), which is what appending columns to a table means.
+    Columns that a side lacks are NULL in its rows.  Types of existing columns
+    win (ANSI cast), which is what appending columns to a table means.
     """
-    out_cols = list(existing.columns) + [c for c in new.columns if c not in existing.columns]
     types = {f.name: f.dataType for f in existing.schema.fields}
-    exprs = []
-    for c in out_cols:
-        if c in new.columns:
-            e = F.col(c).cast(types[c]) if c in types else F.col(c)
-        else:
-            e = F.lit(None).cast(types[c])
-        exprs.append(e.alias(c))
-    return new.select(exprs)
+    typed = new.select([F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in new.columns])
+    return existing.unionByName(typed, allowMissingColumns=True)

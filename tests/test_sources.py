@@ -34,7 +34,7 @@ def test_csv_reader_filter_and_bronze(spark):
     p = os.path.join(d, "movies.csv")
     with open(p, "w") as fh:
         fh.write(CSV)
-    raw = files.read_films_csv(spark, p, columns=schemas.RAW_FILM_COLUMNS)
+    raw = files.read_films_csv(spark, p, columns=schemas.RAW_FILM_COLUMNS, multi_line=True)
     assert "extra" not in raw.columns and "production_companies" not in raw.columns
     rows = {r.imdb_id: r for r in raw.collect()}
     assert rows["tt1"].title == 'He said "hi", ok' and rows["tt2"].title == "Two\nlines"
@@ -94,6 +94,7 @@ def test_append_new_columns_and_enforce(spark):
     new = spark.createDataFrame([(2, "b", 3.5)], "id int, v string, w double")
     out = sinks.append_new_columns(old, new)
     assert out.columns == ["id", "v", "w"] and out.schema["id"].dataType.simpleString() == "bigint"
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a", None), (2, "b", 3.5)]
     e = enforce(spark.createDataFrame([("tt1",)], "tconst string"), schemas.TITLE_CREW_RAW)
     assert e.columns == ["tconst", "directors"] and e.first().directors is None
 
@@ -124,10 +125,10 @@ def test_csv_rewrite_roundtrip_and_catalog(spark):
     p = os.path.join(d, "movies.csv")
     with open(p, "w") as fh:
         fh.write(CSV)
-    raw = files.read_films_csv(spark, p, columns=schemas.RAW_FILM_COLUMNS)
+    raw = files.read_films_csv(spark, p, columns=schemas.RAW_FILM_COLUMNS, multi_line=True)
     kept = B.films_filtered(raw)
     sinks.write_csv(kept, f"{d}/filtered")  # new path, never over the input
-    again = files.read_films_csv(spark, f"{d}/filtered", columns=schemas.RAW_FILM_COLUMNS)
+    again = files.read_films_csv(spark, f"{d}/filtered", columns=schemas.RAW_FILM_COLUMNS, multi_line=True)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, kept.collect()))
     assert {r.title for r in again.collect()} >= {" Padded title ", "Two\nlines"}
     from reelhouse.sources.catalog import Catalog
@@ -169,3 +170,26 @@ def test_tsv_gz_writer_round_trip_through_bronze(spark):
     # and bronze stores both as '' (the dump format itself never has empty fields)
     got = {r.tconst: r.directors for r in B.title_crew_raw(back).collect()}
     assert got == {"tt1": '"q', "tt2": "Null", "tt3": "", "tt4": "", "tt5": "a, b", "tt6": " pad "}
+
+
+def test_nan_text_is_missing(spark):
+    rows = [(f"tt{i}", "T", "2001-01-01", "released", r, v, "5", "NaN")
+            for i, (r, v) in enumerate([("90", "7.5"), ("nan", "7.5"), ("90", "NaN"), ("NaN", "NaN")])]
+    raw = spark.createDataFrame(rows, "imdb_id string, title string, release_date string, status string, runtime string, "
+                                      "vote_average string, vote_count string, revenue string")
+    kept = B.tmdb_raw(B.films_filtered(raw)).collect()
+    assert [(r.imdb_id, r.vote_average, r.revenue) for r in kept] == [("tt0", 7.5, None)]
+    assert [r.vote_average for r in B.tmdb_raw(raw).orderBy("imdb_id").collect()] == [7.5, 7.5, None, None]
+
+
+def test_large_csv_is_split(spark):
+    d = _tmp()
+    with open(f"{d}/movies.csv", "w") as fh:
+        fh.write("imdb_id,title\n" + "".join(f"tt{i},A title of some length {i}\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        df = files.read_films_csv(spark, f"{d}/movies.csv")
+        assert df.rdd.getNumPartitions() > 4 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
