@@ -287,7 +287,7 @@ def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[C
     if outside is not None:
         windows = cut(cells.groupBy("id", "n").agg(F.collect_set("cell").alias("arr")))  # a set's own window
     cells = cells.withColumns({"d0": F.lit(None).cast("double"), "comp": F.col("id")})
-    k, first = 1, True
+    k, first, seen = 1, True, None
     while True:
         # a cell's members in (n, id) order; the first k are this round's pivots
         if k == 1:
@@ -303,7 +303,11 @@ def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[C
                .filter("(n > p.n or n = p.n and id > p.id) and comp <> p.comp")
                .filter(F.col("p.n") * 100 >= F.col("n") * percent)
                .filter(F.col("d0").isNull() | F.col("p.d0").isNull() | (F.abs(F.col("d0") - F.col("p.d0")) <= eps)))
-        pairs = cut(met.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct())
+        pairs = met.select(F.col("p.id").alias("a"), F.col("id").alias("b")).distinct()
+        if seen is not None:  # sets that share several cells meet once
+            pairs = pairs.join(bounded(seen), ["a", "b"], "left_anti")
+        pairs = cut(pairs)
+        seen = pairs if seen is None else seen.union(pairs)
         if windows is not None:
             least = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-9)
             most = F.col("i") + F.greatest(outside(F.col("na")), outside(F.col("nb")))
