@@ -2,12 +2,14 @@
 high sliding-window Shannon entropy per character class, with an allow list.
 
 Candidates of the entropy method are runs of token characters.  A window of
-``WINDOW`` characters slides over each run; its character counts change by one
+``WIDTHS`` characters slides over each run; its character counts change by one
 character in and one out per step, and its entropy follows from the sum of
 c*log2(c), kept along.  A window counts when all of its characters belong to the
 class, it mixes the class's kinds of characters and its entropy reaches the
-class's threshold.  Overlapping windows join to one span; a span that the allow
-list names, or that lies in a pattern's span, is suppressed.
+class's threshold.  Every class asks for a digit.  Overlapping windows join to
+one span; what a pattern's span covers of it is left out and the rest is
+reported.  A token that the allow list names (up to the length of a sample key or
+of its digest) is left out of the run, the parts around it are scanned.
 
 Edge cases: a null text counts as empty and has no spans; offsets are code
 points, end exclusive; texts are scanned whole; repeated rows give equal rows.
@@ -32,16 +34,26 @@ HEX = re.compile(r"[0-9a-f]{32,}")  # maximal runs, as [0-9a-f]+ finds them, of
 KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 24
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
 #: class -> (its characters, entropy threshold in bits, kinds that a window must mix)
 CLASSES = {
     "hex": (frozenset("0123456789abcdefABCDEF"), 3.0, ("09", "afAF")),
     "base64": (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"), 3.9,
                ("09", "az", "AZ")),
+    "lower": (frozenset("abcdefghijklmnopqrstuvwxyz0123456789"), 3.3, ("09", "az")),
+    "upper": (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 3.0, ("09", "AZ")),
 }
+WIDTHS = {"hex": WINDOW, "base64": WINDOW, "lower": 20, "upper": 16}
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % min(WIDTHS.values()))
+#: class -> its maximal runs that a window fits in
+STRETCHES = {name: re.compile("[%s]{%d,}" % (re.escape("".join(sorted(chars))), WIDTHS[name])) for name, (chars, _, _) in CLASSES.items()}
+DIGIT = re.compile("[0-9]")
 #: Strings that look random and are no secrets: UUIDs, labelled digests, documented sample keys.
 ALLOW = re.compile(r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$|^sha(1|256|384|512)-|EXAMPLE|^[0-9-]+$|0123456789|abcdefghij")
-C_LOG_C = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+SAMPLE = 40  # characters of the longest documented sample key and of a UUID, at most
+#: A digest and its label; what follows its last character is not part of it.
+DIGEST = re.compile(r"sha(?:1-[\w+/-]{0,27}|256-[\w+/-]{0,43}|384-[\w+/-]{0,64}|512-[\w+/-]{0,86})={0,2}", re.ASCII)
+TOKEN = re.compile("[^=]+")
+C_LOG_C = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]
 
 
 def kind_of(ch: str) -> int:
@@ -55,7 +67,7 @@ def kind_of(ch: str) -> int:
     return 5
 
 
-MIXES = {"hex": ((0,), (1, 3)), "base64": ((0,), (1, 2), (3, 4))}
+MIXES = {"hex": ((0,), (1, 3)), "base64": ((0,), (1, 2), (3, 4)), "lower": ((0,), (1, 2)), "upper": ((0,), (3, 4))}
 
 
 def entropy_windows(run: str, chars: frozenset, least: float, mixes: tuple, width: int = WINDOW) -> list[tuple[int, int]]:
@@ -94,24 +106,56 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of high entropy outside ``base``, allow-listed candidates left out."""
+def subtract(spans: list[tuple[int, int]], holes: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What ``holes`` (sorted by start) leave of ``spans``."""
     out = []
+    for a, b in spans:
+        for s, e in holes:
+            if s >= b:
+                break
+            if e > a:
+                if s > a:
+                    out.append((a, s))
+                a = e
+        if a < b:
+            out.append((a, b))
+    return out
+
+
+def allowed(run: str) -> list[tuple[int, int]]:
+    """Allow-listed tokens of a candidate run."""
+    if not ALLOW.search(run):
+        return []
+    m = DIGEST.match(run)
+    out = [m.span()] if m else []
+    at = out[0][1] if out else 0
+    return out + [m.span() for m in TOKEN.finditer(run, at) if m.end() - m.start() <= SAMPLE and ALLOW.search(m.group())]
+
+
+def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Spans of high entropy: what ``base`` and allow-listed tokens leave of them."""
+    found: list[tuple[int, int]] = []
     for m in CANDIDATE.finditer(text):
         run = m.group()
-        if run.isalpha() and (run.islower() or run[1:].islower()) or ALLOW.search(run):
+        if not DIGIT.search(run):
             continue
-        windows = sorted(w for name, (chars, least, _) in CLASSES.items()
-                         for w in entropy_windows(run, chars, least, MIXES[name]))
+        windows = []
+        for at, z in subtract([(0, len(run))], allowed(run)):
+            for name, (chars, least, _) in CLASSES.items():
+                for x in STRETCHES[name].finditer(run, at, z):
+                    if DIGIT.search(run, x.start(), x.end()):
+                        windows += [(x.start() + a, x.start() + b) for a, b in
+                                    entropy_windows(x.group(), chars, least, MIXES[name], WIDTHS[name])]
         end = -1
-        for a, b in windows:
+        for a, b in sorted(windows):
             if a <= end:
                 end = max(end, b)
-                out[-1] = (out[-1][0], 3, m.start() + end)
+                found[-1] = (found[-1][0], m.start() + end)
             else:
                 end = b
-                out.append((m.start() + a, 3, m.start() + b))
-    return [x for x in out if not any(s < x[2] and x[0] < e for s, _, e in base)]
+                found.append((m.start() + a, m.start() + b))
+    holes = sorted((s, e) for s, _, e in base)
+    return [(a, 3, b) for a, b in (subtract(found, holes) if holes else found)]
 
 
 def joined(spans) -> str:
