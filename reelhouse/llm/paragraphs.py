@@ -10,9 +10,10 @@ similarity of their shingle sets is verified, and connected components say
 which copies go: the smallest (doc_id, paragraph) of a component stays.
 
 Edge cases: null texts have no paragraphs; paragraphs of fewer than ``RADIUS``
-+ 1 words (short texts and the ends of texts) take no part; runs
-of neighbouring repeated paragraphs with fewer than ``run_words`` words together
-(stock lines) and copies inside one document only are not reported; a null doc_id sorts before all others; rows
++ 1 words (short texts and the ends of texts) take no part; a repeated paragraph is extended word by word into the
+text around it, as far as any other document's copy goes on alike, and matches of fewer than ``run_words`` words
+(stock lines) are not reported, unless neighbouring repeated paragraphs have as many together; nor are copies inside
+one document only; a null doc_id sorts before all others; rows
 repeated under one id count as one document; an empty table gives an empty
 result.  Offsets are code points, end exclusive.
 """
@@ -35,7 +36,7 @@ from reelhouse.llm.words import SHINGLE, WORD, mix, shingles, word_hashes
 RADIUS = 6
 PERCENT = 80
 RECALL = 0.995
-RUN_WORDS = 20  # neighbouring repeated paragraphs count from this many words on
+RUN_WORDS = 20  # an extended match, or neighbouring repeated paragraphs, count from this many words on
 TEXTS_PER_BUCKET = 4000
 SEEDS = [np.uint64(pow(0xD1342543DE82EF95, k, 1 << 64)) for k in range(1, 129)]
 
@@ -140,11 +141,11 @@ def wanted_sets(wanted):
     return run
 
 
-SPANS = "doc_id long, para long, start long, end long, n_words long, id long"
+SPANS = "doc_id long, para long, start long, end long, n_words long, id long, before binary, after binary"
 
 
-def spans_of(wanted):
-    """Code-point spans of the paragraphs whose sequence the filter lets through."""
+def spans_of(wanted, reach: int):
+    """Code-point spans of the paragraphs whose sequence the filter lets through, with ``reach`` words on either side (nearest first)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = wanted.value
@@ -164,9 +165,49 @@ def spans_of(wanted):
                     places, last = [m.span() for m in WORD.finditer(texts[t].as_py())], t
                 a = int(first[i] - begin[t])
                 z = a + int(length[i])
-                out.append((ids_of[t], int(number[i]), places[a][0], places[z - 1][1], z - a, int(ids[i])))
+                own = words[begin[t]:begin[t] + counts[t]]
+                out.append((ids_of[t], int(number[i]), places[a][0], places[z - 1][1], z - a, int(ids[i]),
+                            own[max(0, a - reach):a][::-1].tobytes(), own[z:z + reach].tobytes()))
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=[x.split(" ")[0] for x in SPANS.split(", ")])
+                cols = list(zip(*out))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:6]] + [pa.array(c, pa.binary()) for c in cols[6:]],
+                                                 names=[x.split(" ")[0] for x in SPANS.split(", ")])
+
+    return run
+
+
+def chain(packed: bytes) -> list[int]:
+    """Hash of the first 0, 1, 2 ... words of a packed context."""
+    out = [0]
+    for x in np.frombuffer(packed, np.uint64).tolist():
+        out.append(hash((out[-1], x)))
+    return out
+
+
+EXTENDED = "uid long, doc long, own boolean, key long"
+
+
+def extended_keys(run_words: int):
+    """Keys of the matches of ``run_words`` words that hold a paragraph.
+
+    A paragraph of n words needs run_words - n words more, i before it and the
+    rest after it.  Two copies share such a match if they share the key of one
+    i.  ``sizes`` are the short lengths in the component; ``own`` marks the keys
+    of the paragraph's own length.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for uid, doc, comp, n, fails, sizes, before, after in zip(*(c.to_pylist() for c in b.columns)):
+                left, right = chain(before), chain(after)
+                for size in sizes:
+                    d = run_words - size
+                    for i in range(max(0, d - len(right) + 1), min(d, len(left) - 1) + 1):
+                        out.append((uid, doc, fails and size == n, hash((comp, d, i, left[i], right[d - i]))))
+            cols = list(zip(*out)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()),
+                                              pa.array(cols[3], pa.int64())], names=["uid", "doc", "own", "key"])
 
     return run
 
@@ -191,7 +232,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     repeated = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(spans_of(repeated), SPANS)
+    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(spans_of(repeated, max(0, run_words - RADIUS - 1)), SPANS)
     spans = cut(spans.join(comp, "id").drop("id"))
     doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
     groups = (spans.groupBy("comp").agg(F.min(F.struct("doc_id", "para")).alias("stays"), F.count("*").alias("n_copies"),
@@ -200,8 +241,16 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     spans = spans.join(groups, "comp")
     by_doc = Window.partitionBy("doc_id")  # a document's own paragraphs
     run = F.col("para") - F.dense_rank().over(by_doc.orderBy("para"))
-    spans = spans.withColumn("__run", run).withColumn(
-        "__words", F.sum("n_words").over(Window.partitionBy("doc_id", "__run"))).filter(F.col("__words") >= run_words)
+    spans = cut(spans.withColumn("__run", run).withColumn(
+        "__words", F.sum("n_words").over(Window.partitionBy("doc_id", "__run")))
+        .withColumn("uid", F.xxhash64(doc, "para", "start", "end", "comp")).drop("__run"))
+    fails = F.col("__words") < run_words
+    sizes = spans.filter(fails).groupBy("comp").agg(F.collect_set("n_words").alias("sizes"))  # at most run_words values
+    keys = cut(spans.join(sizes, "comp").select("uid", doc.alias("doc"), "comp", "n_words", fails, "sizes", "before", "after")
+               .mapInArrow(extended_keys(run_words), EXTENDED))
+    met = keys.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi").select("key")
+    long = keys.filter("own").join(met, "key").select("uid").distinct().withColumn("__long", F.lit(True))
+    spans = spans.join(long, "uid", "left").filter(~fails | F.col("__long"))
     return spans.select(
         "doc_id", "para", "start", "end", "n_words", F.col("stays.doc_id").alias("component_id"), "n_copies",
         (~F.struct("doc_id", "para").eqNullSafe(F.col("stays"))).alias("removed"))
