@@ -1,11 +1,14 @@
 """Packing by lexical retrieval (operator 9).
 
 Every whole text is tokenised, closed with an end id and cut into full windows;
-what is left of each text (shorter than a window) becomes an item.  Items are
-dealt to shards by a hash of the id.  A shard builds a BM25 inverted index of
-its items' ids.  Each sequence starts from the longest unused item, its seed;
-the index returns the seed's unused neighbours by BM25 over the seed's
-heaviest terms, and they fill the window greedily, best first.  A gap that no
+what is left of each text (shorter than a window) becomes an item.  Document
+frequencies and the mean length are counted over all items.  Items are dealt to
+shards by content: in the order of their heaviest shared terms (BM25 weights),
+cut into ranges of about ``shard_items``, so items that share them lie together
+however many shards there are.  A shard builds a BM25 index of its items' ids
+with the corpus's statistics.  Each sequence starts from the shard's longest
+unused item, its seed; the index returns the seed's unused neighbours by BM25
+over all of the seed's terms, and they fill the window greedily, best first.  A gap that no
 neighbour fits takes the longest unused item that fits, then a cut piece of one.
 Only a shard's last window can stay short; it is split at powers of two, which
 need no padding.
@@ -20,6 +23,7 @@ places of their own.  An empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import zlib
 from array import array
@@ -30,12 +34,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from reelhouse.llm.util import cut
 from reelhouse.llm.words import word_lists
 
 WINDOW = 2048
 SHARD_ITEMS = 2048
 CACHE_WORDS = 300_000  # words of each of the two generations of a worker's cache
-QUERY_TERMS = 16
+ROUTE_TERMS = 16  # heaviest shared terms, by which items are ordered
+BOUND_SAMPLE = 20  # items of a shard, about, that choose the ranges' bounds
 GATHER_BYTES = 16 * 1024 * 1024
 K1, B = 1.2, 0.75
 #: The vocabulary's pre-tokenizer pattern (fixed value).
@@ -187,50 +193,136 @@ def cut_texts(path: str, end_id: int, window: int):
     return run
 
 
+class Corpus:
+    """Document frequency of every term, number and mean length of all items."""
+
+    def __init__(self, df: np.ndarray, n: int, tokens: int):
+        self.df, self.n, self.mean = df, n, max(tokens / max(n, 1), 1)
+
+    @classmethod
+    def of(cls, items: list[np.ndarray]) -> Corpus:
+        df = np.zeros(1 + max((int(x.max()) for x in items if len(x)), default=0), np.int64)
+        for x in items:
+            df[np.unique(x)] += 1
+        return cls(df, len(items), sum(map(len, items)))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, lengths) -> np.ndarray:
+        df = self.df[terms]
+        return np.log(1 + (self.n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / self.mean))
+
+    def route(self, ids: np.ndarray) -> bytes:
+        """The item's heaviest terms that another item holds too, heaviest first, four bytes each."""
+        terms, tf = np.unique(ids, return_counts=True)
+        keep = self.df[terms] > 1
+        terms, tf = terms[keep], tf[keep]
+        w = np.round(self.weights(terms, tf, len(ids)), 9)
+        if len(terms) > ROUTE_TERMS:  # ties of the last one stay
+            top = w >= np.partition(w, -ROUTE_TERMS)[-ROUTE_TERMS]
+            terms, w = terms[top], w[top]
+        return terms[np.lexsort((terms, -w))][:ROUTE_TERMS].astype(">u4").tobytes()
+
+
+def count_terms(kind: str, size: int):
+    """(term, items that hold it) of a task; -1: all items, -2: their tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, n, tokens = np.zeros(size, np.int64), 0, 0
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                ids = np.frombuffer(x, kind)
+                held = np.zeros(size, bool)
+                held[ids] = True
+                df += held
+                n, tokens = n + 1, tokens + len(ids)
+        terms = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, -2, *terms.tolist()], pa.int64()), pa.array([n, tokens, *df[terms].tolist()], pa.int64())],
+                                         names=["term", "n"])
+
+    return run
+
+
+def corpus_of(items: DataFrame, kind: str, size: int) -> Corpus:
+    """Statistics of the column ``ids``; the driver sees a number for each entry of the vocabulary."""
+    df, total = np.zeros(size, np.int64), {-1: 0, -2: 0}
+    for term, n in items.select("ids").mapInArrow(count_terms(kind, size), "term long, n long").groupBy("term").agg(F.sum("n")).collect():
+        if term < 0:
+            total[term] = n
+        else:
+            df[term] = n
+    return Corpus(df, total[-1], total[-2])
+
+
+ROUTED = PIECES + ", route binary, tie long, shard int"
+
+
+def route_items(sent, kind: str, shards: int, bounds, every: int = 1):
+    """Pieces with their route and shard; of ``every`` items one (by hash), full windows by hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        corpus, cuts = sent.value, bounds.value if bounds else []
+        for b in batches:
+            out = []
+            for row in zip(*(c.to_pylist() for c in b.columns)):
+                tie = hash((row[0] or 0, row[1], row[4], row[3] if row[5] is None else zlib.crc32(row[5])))
+                if row[5] is None:
+                    out.append((*row, b"", tie, tie % shards))
+                elif tie % every == 0:
+                    key = (corpus.route(np.frombuffer(row[5], kind)), tie)
+                    out.append((*row, *key, bisect.bisect_right(cuts, key)))
+            cols = list(zip(*out)) or [()] * 9
+            types = [pa.int64()] * 5 + [pa.binary(), pa.binary(), pa.int64(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names=[x.split(" ")[0] for x in ROUTED.split(", ")])
+
+    return run
+
+
 class Index:
-    """BM25 inverted index over one shard's items."""
+    """BM25 index over one shard's items, with the corpus's statistics."""
 
-    def __init__(self, items: list[np.ndarray]):
+    def __init__(self, items: list[np.ndarray], corpus: Corpus | None = None):
         self.n = len(items)
+        corpus = corpus or Corpus.of(items)
         lengths = np.array([len(x) for x in items])
         owner = np.repeat(np.arange(self.n, dtype=np.int64), lengths)
-        wide = np.int32 if (1 << 16) * self.n < 1 << 31 and items[0].dtype.itemsize == 2 else np.int64
-        key = np.concatenate(items).astype(wide) * wide(self.n) + owner.astype(wide)
-        key, tf = np.unique(key, return_counts=True)
-        term, self.item = key // self.n, key % self.n
-        self.terms, self.begin, df = np.unique(term, return_index=True, return_counts=True)
-        self.end = self.begin + df
-        idf = np.log(1 + (self.n - df + 0.5) / (df + 0.5))
-        scale = K1 * (1 - B + B * lengths / max(lengths.mean(), 1))
-        place = np.repeat(np.arange(len(df)), df)
-        self.weight = idf[place] * tf * (K1 + 1) / (tf + scale[self.item])
-        self.lists = np.argsort(self.item, kind="stable")  # postings by item
-        self.place = place
-        self.item_begin = np.searchsorted(self.item[self.lists], np.arange(self.n + 1))
+        key, tf = np.unique(np.concatenate(items).astype(np.int64) + (owner << 32), return_counts=True)
+        item, term = key >> 32, key & 0xFFFFFFFF
+        terms, place, df = np.unique(term, return_inverse=True, return_counts=True)
+        weight = corpus.weights(term, tf, lengths[item])
+        keep = df[place] > 1  # terms of one item find nothing
+        item, place, weight = item[keep], place[keep], weight[keep]
+        self.begin = np.searchsorted(item, np.arange(self.n + 1))
+        self.place, self.n_terms = place, len(terms)
+        self.live = (item, place, weight)
+        self.cut_live(np.ones(self.n, bool))
+
+    def cut_live(self, free: np.ndarray) -> None:
+        """Keep the postings of free items only."""
+        item, place, weight = self.live
+        keep = free[item]
+        self.live = item, place, weight = item[keep], place[keep], weight[keep]
+        self.first = np.flatnonzero(np.diff(item, prepend=-1))
+        self.owner, self.left = item[self.first], int(free.sum())
 
     def neighbours(self, seed: int, free: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Free items that share the seed's heaviest terms, best first, with their scores."""
-        own = self.lists[self.item_begin[seed]:self.item_begin[seed + 1]]
-        places = self.place[own]
-        shared = self.end[places] - self.begin[places] > 1
-        own, places = own[shared], places[shared]
-        if not len(own):
-            return np.zeros(0, np.int64), np.zeros(0)
-        if len(own) > QUERY_TERMS:
-            top = np.argpartition(-self.weight[own], QUERY_TERMS)[:QUERY_TERMS]
-            places = places[top]
-        rows = np.concatenate([np.arange(self.begin[p], self.end[p]) for p in places])
-        scores = np.bincount(self.item[rows], self.weight[rows], minlength=self.n)
+        """Free items that share terms with the seed, best first, with their scores over all of them."""
+        if free.sum() < 0.7 * self.left:
+            self.cut_live(free)
+        scores = np.zeros(self.n)
+        if len(self.first):
+            query = np.zeros(self.n_terms)
+            query[self.place[self.begin[seed]:self.begin[seed + 1]]] = 1
+            _, place, weight = self.live
+            scores[self.owner] = np.add.reduceat(weight * query[place], self.first)
         scores[~free] = 0
         found = np.flatnonzero(scores)
         order = np.argsort(-scores[found], kind="stable")
         return found[order], scores[found][order]
 
 
-def pack_shard(ids: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int, float]]:
+def pack_shard(ids: list[np.ndarray], window: int, corpus: Corpus | None = None) -> list[tuple[int, int, int, int, int, float]]:
     """(item, its ids before the piece, length, sequence, offset, BM25 score) of every piece."""
     n = len(ids)
-    index = Index(ids)
+    index = Index(ids, corpus)
     begin = np.zeros(n, np.int64)
     left = np.array([len(x) for x in ids], np.int64)
     free = left > 0
@@ -293,7 +385,7 @@ def split_last(pieces: list[tuple], window: int) -> list[tuple]:
     return out
 
 
-def pack_shards(kind: str, window: int, shard_items: int):
+def pack_shards(sent, kind: str, window: int, shard_items: int):
     """Pack a partition's pieces, ``shard_items`` items at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -310,7 +402,7 @@ def pack_shards(kind: str, window: int, shard_items: int):
             nonlocal sequence, items
             ids = [np.frombuffer(x[5], kind) for x in items]
             rows = []
-            for i, start, size, seq, at, score in pack_shard(ids, window):
+            for i, start, size, seq, at, score in pack_shard(ids, window, sent.value):
                 doc_id, first, _, _, total, _ = items[i]
                 rows.append((doc_id, first + start, size, crc(ids[i][start:start + size]), total, sequence + seq, at, score))
             sequence = max(r[5] for r in rows) + 1
@@ -338,9 +430,17 @@ def pack_shards(kind: str, window: int, shard_items: int):
 def pack(docs: DataFrame, path: str, end_id: int = 1, window: int = WINDOW, shard_items: int = SHARD_ITEMS,
          least_shards: int = 8) -> DataFrame:
     """Pieces of every row's ids in sequences of at most ``window``."""
-    shards = max(least_shards, -(-docs.count() // shard_items))
-    pieces = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut_texts(path, end_id, window), PIECES)
-    kind = str(tokenizer(path).kind.str)
-    dealt = (pieces.repartition(shards, "doc_id", "start", "doc_tokens", "ids_crc32")
-             .sortWithinPartitions("doc_id", "start", "doc_tokens"))
-    return dealt.mapInArrow(pack_shards(kind, window, shard_items), PACKED)
+    spark, t = docs.sparkSession, tokenizer(path)
+    kind, size = str(t.kind.str), max(t.t.get_vocab_size(), end_id + 1)
+    pieces = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut_texts(path, end_id, window), PIECES))
+    items = pieces.filter("ids is not null")
+    corpus = corpus_of(items, kind, size)
+    sent = spark.sparkContext.broadcast(corpus)
+    shards = max(least_shards, -(-corpus.n // shard_items))
+    # a bounded sample chooses where the order of routes is cut
+    sample = items.mapInArrow(route_items(sent, kind, shards, None, max(1, corpus.n // (BOUND_SAMPLE * shards))), ROUTED)
+    keys = sorted((bytes(r.route), r.tie) for r in sample.select("route", "tie").collect())
+    bounds = spark.sparkContext.broadcast([keys[len(keys) * k // shards] for k in range(1, shards)] if keys else [])
+    dealt = (pieces.mapInArrow(route_items(sent, kind, shards, bounds), ROUTED).repartitionById(shards, "shard")
+             .sortWithinPartitions("route", "tie", "doc_id", "start", "doc_tokens"))
+    return dealt.select(*[x.split(" ")[0] for x in PIECES.split(", ")]).mapInArrow(pack_shards(sent, kind, window, shard_items), PACKED)
