@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.llm import bpe, chat, exact_dedup, jaccard, katz, langid, packing, paragraphs, secrets, topk
+from reelhouse.llm import (bpe, chat, collocations, exact_dedup, jaccard, katz, langid, mainpage, packing, paragraphs, periodic,
+                           secrets, topk)
 from reelhouse.llm.util import id_bucket, prepare, read_table
 
 #: Vocabulary files; a parameter of the operators.
@@ -61,9 +62,21 @@ def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(prepare(spark), sf_dir, "documents"))
+
+
+def op12_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainpage.extract(read_table(prepare(spark), sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.with_repeats(read_table(prepare(spark), sf_dir, "documents")))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_substring_dedup, op2_exact_top_k, op3_chat_format, op4_exact_dedup, op5_lm_scores, op6_jaccard_join,
-             op7_bpe, op8_language_id, op9_packing, op10_secret_scans)
+             op7_bpe, op8_language_id, op9_packing, op10_secret_scans, op11_collocations, op12_html_extraction, op13_periodic_runs)
     return {f.__name__: f for f in found}
 
 
@@ -106,6 +119,32 @@ ORACLE = {
         SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
                least(d.doc_id, coalesce(c.least, d.doc_id)) AS component_id
         FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
+    "op11_collocations": f"""
+        WITH piece AS (
+            SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS x FROM documents),
+        w AS (SELECT lang, list_filter(regexp_split_to_array(x, '[\\x20\\x09]+'), lambda y: y <> '') AS ws FROM piece),
+        g AS (
+            SELECT lang, k, array_to_string(p, ' ') AS phrase, p, count(*) AS f
+            FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: ws[i:i + k - 1])) AS p
+                  FROM w, (SELECT unnest([1, 2, 3]) AS k))
+            GROUP BY lang, k, p),
+        t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE k = 1 GROUP BY lang),
+        u AS (SELECT * FROM g WHERE f >= 10),
+        c AS (
+            SELECT u.lang, u.k, u.p, u.phrase, u.f AS a, x.f AS l, y.f AS r,
+                   (1000000::HUGEINT * u.f * u.f) // (x.f::HUGEINT * y.f) AS score, x.k AS j
+            FROM u JOIN u x ON x.lang = u.lang AND x.k < u.k AND x.p = u.p[1:x.k]
+                   JOIN u y ON y.lang = u.lang AND y.k = u.k - x.k AND y.p = u.p[x.k + 1:]
+            WHERE u.k > 1 QUALIFY row_number() OVER (PARTITION BY u.lang, u.p ORDER BY score, x.k) = 1),
+        part AS (
+            SELECT lang, p, max(f) AS most
+            FROM (SELECT lang, p[1:2] AS p, f FROM u WHERE k = 3 UNION ALL SELECT lang, p[2:3], f FROM u WHERE k = 3)
+            GROUP BY lang, p)
+        SELECT c.lang, row_number() OVER (PARTITION BY c.lang ORDER BY c.score DESC, c.a DESC, c.phrase) AS rank,
+               c.phrase, c.a, c.l, c.r, t.n, CAST(c.score AS BIGINT) AS score
+        FROM c JOIN t USING (lang) LEFT JOIN part ON part.lang = c.lang AND part.p = c.p
+        WHERE c.k > 2 OR part.most IS NULL OR 100 * part.most < 50 * c.a
+        QUALIFY rank <= 2000""",
 }
 
 
