@@ -37,13 +37,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reelhouse.llm.setjoin import key_filter
-from reelhouse.llm.util import cut
+from reelhouse.llm.util import cut, trim
 from reelhouse.llm.words import hashes_of, mix
 from reelhouse.operators.windows import top_k_per_group, top_n
 
 LEAST, LONGEST, TOP = 10, 3, 2000
 COVER = 50  # percent of a phrase's occurrences inside one longer phrase that make it a part of that
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+SEND_ROWS = 1 << 16  # of one Arrow batch
 HEAD = 1 << 16  # ids with a rank
 SIDE = 256  # ids along a tile's side
 DENSE = 16  # a tile is counted directly from one pair for so many cells
@@ -118,12 +119,19 @@ def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return (mix(left.astype(np.uint64) * STEP + mix(right.astype(np.uint64))) & LOW).view(np.int64)
 
 
+def sent(columns: list, names: list[str]) -> Iterator[pa.RecordBatch]:
+    """A block's rows in small batches."""
+    whole = pa.RecordBatch.from_arrays(columns, names=names)
+    for at in range(0, len(whole), SEND_ROWS):
+        yield whole.slice(at, SEND_ROWS)
+
+
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for texts, langs in blocks(batches):
         number, _, sig, columns = coded(texts, langs)
         count = np.bincount(number, minlength=len(sig))
-        yield pa.RecordBatch.from_arrays([c.cast(pa.string()) for c in columns] + [pa.array(sig), pa.array(count, pa.int64())],
-                                         names=["lang", "word", "sig", "c"])
+        yield from sent([c.cast(pa.string()) for c in columns] + [pa.array(sig), pa.array(count, pa.int64())], ["lang", "word", "sig", "c"])
+    trim()
 
 
 class Head:
@@ -183,7 +191,7 @@ def pair_counts(left: np.ndarray, right: np.ndarray, of_left: Head, of_right: He
 
 
 def count_phrases(k: int, known: list, heads: list):
-    """(sig, left, right, c) of phrases of k words: ``known`` filters and ``heads`` rank phrases of 1 to k - 1 words."""
+    """(left, right, c) of phrases of k words: ``known`` filters and ``heads`` rank phrases of 1 to k - 1 words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, ranks = [x.value for x in known], [x.value for x in heads]
@@ -202,13 +210,19 @@ def count_phrases(k: int, known: list, heads: list):
                     ok = span
                     ok[span] = filters[n].has(sig_n[span])
                     left = sig_n
-            left, right, count = pair_counts(left[:room][span], right[span], ranks[-1], ranks[0])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (combine(left, right), left, right, count)],
-                                             names=["sig", "left", "right", "c"])
+            found = pair_counts(left[:room][span], right[span], ranks[-1], ranks[0])
+            yield from sent([pa.array(x) for x in found], ["left", "right", "c"])
+        trim()
 
     return run
 
 
+def with_sig(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        sig = combine(b.column(0).to_numpy(), b.column(1).to_numpy())
+        yield pa.RecordBatch.from_arrays([pa.array(sig), *b.columns], names=["sig", "left", "right", "f"])
+
+
 def ranked_head(units: DataFrame) -> Head:
     """The HEAD most frequent ids, a bounded list."""
     got = top_n(units.select("sig", "f"), [F.col("f").desc(), F.col("sig")], HEAD).select("sig").collect()
@@ -229,8 +243,9 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST) -
         units = levels[k - 1]
         known.append(sc.broadcast(key_filter(units.select(F.col("sig").alias("key")))))
         heads.append(sc.broadcast(ranked_head(units)))
-        counted = (rows.mapInArrow(count_phrases(k, known, heads), "sig long, left long, right long, c long")
-                   .groupBy("sig", "left", "right").agg(F.sum("c").alias("f")).filter(F.col("f") >= least))
+        counted = (rows.mapInArrow(count_phrases(k, known, heads), "left long, right long, c long")
+                   .groupBy("left", "right").agg(F.sum("c").alias("f")).filter(F.col("f") >= least)
+                   .mapInArrow(with_sig, "sig long, left long, right long, f long"))
         head = units.select(F.col("sig").alias("left"), F.col("words").alias("w"), "lang", F.col("phrase").alias("p"))
         tail = levels[1].select(F.col("sig").alias("right"), F.col("phrase").alias("q"))
         levels[k] = cut(counted.join(head, "left").join(tail, "right").select(
