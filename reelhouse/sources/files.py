@@ -1,10 +1,11 @@
 """Readers for the raw inputs and the lakehouse snapshot.
 
 Raw text is read as all-STRING columns (no schema inference pass over the
-data); typing happens in the bronze models with ``try_cast``.  gzip files and
-multi-line CSV cannot be split; such reads take ``partitions`` for a round-robin
-``repartition`` before any heavy work.  The daily run then writes Parquet once
-and reads Parquet from there on.
+data); typing happens in the bronze models with ``try_cast``.  CSV files are split
+also where quoted cells hold line breaks (``sources.records``).  gzip files cannot
+be split; such reads take ``partitions`` for a round-robin ``repartition`` before
+any heavy work.  The daily run then writes Parquet once and reads Parquet from
+there on.
 """
 
 from __future__ import annotations
@@ -17,29 +18,29 @@ from pyspark.sql import types as T
 
 from reelhouse.operators.clean import select_existing
 from reelhouse.operators.windows import top_n
+from reelhouse.sources.records import CSV_OPTIONS, read_csv_records
 
 
 def read_films_csv(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
     """Film catalogue CSV: header row, double-quote quoting with doubled quotes.
 
-    ``multi_line`` reads newlines inside quoted cells, which makes each file
-    unsplittable; without it large files are split over many tasks.  Only the
-    ``columns`` that exist are kept (tolerant selection).
+    Line breaks inside quoted cells are kept and large files are split over many
+    tasks (``records.read_csv_records``; a file that ends inside quotes raises).
+    ``multi_line=True`` parses each file in one task instead; ``False`` takes
+    every line for a record, which saves the pass that looks for line breaks
+    where a file is known to hold none.  Only the ``columns`` that exist are kept
+    (tolerant selection).
     """
-    df = (
-        spark.read.option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .csv(path)
-    )
+    if multi_line is None:
+        df = read_csv_records(spark, path)
+    else:
+        df = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", multi_line).csv(path)
     if columns is not None:
         df = select_existing(df, columns)
     if partitions:
