@@ -7,7 +7,9 @@ ranges, because the tiebreak columns are part of the key), checkpoints the
 ranged data to the reliable checkpoint folder so its boundaries can never move
 between the two passes (even if executors are lost), counts the rows of each
 range (one number per partition reaches the driver) and numbers rows as
-range offset + position inside the range.
+range offset + position inside the range.  ``file_row_id`` gives the same
+numbers from the sorted ranges written as a Parquet table: offsets from the
+files' footers, positions from the scan.
 
 ``lag_delta`` is ``x - lag(x)`` per group: a plain window for ordinary groups
 (``lag_window``) and, for the few groups ``find_hot_keys`` reports, a path
@@ -19,12 +21,14 @@ partial limits before every shuffle.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelhouse.session import ensure_checkpoint_dir
+from reelhouse.sources.scratch import settled
 
 # Upper bound on a hot-key list that split_by_keys broadcasts; a longer one
 # meets the rows in a shuffle join.
@@ -88,6 +92,48 @@ def dense_row_id(
         "__pid", "__pos", "__off")
 
 
+def file_row_id(
+    df: DataFrame,
+    order: Sequence,
+    name: str = "row_id",
+    partitions: int | None = None,
+    start: int = 1,
+) -> DataFrame:
+    """:func:`dense_row_id` off a written table: one Parquet write of the sorted ranges, no pass to count them.
+
+    The row counts come from the files' footers and a row's place in its file
+    from the scan, so the result reads like any table (by column, split by size);
+    ``dense_row_id`` keeps each range as one partition.  Ties are numbered in an
+    arbitrary order, fixed once the ranges are written; add a unique tiebreak
+    column for run-to-run determinism.  Columns of ``order`` given as names sort
+    ascending with NULLs last.
+
+    Rows tied on the whole ``order`` (copies) are broken by their scan
+    position, so even a group of copies holding a large share of the rows is
+    spread over several ranges instead of landing in one task.
+    """
+    spark = df.sparkSession
+    tie = "__scan_pos"
+    keys = [_asc(c) for c in order] + [F.col(tie).asc()]
+    src = df.withColumn(tie, F.monotonically_increasing_id())
+    ranged = src.repartitionByRange(partitions, *keys) if partitions else src.repartitionByRange(*keys)
+    fixed = settled(ranged.sortWithinPartitions(*keys).drop(tie))
+    # row counts come from the footers; a file's name holds its range's number, then its own
+    names = fixed.select(F.col("_metadata.file_name").alias("file")).groupBy("file").count().collect()
+    if not names:
+        return fixed.withColumn(name, F.lit(None).cast("bigint"))
+    offsets, acc = [], start
+    for r in sorted(names, key=lambda r: [int(x) for x in re.fullmatch(r"part-(\d+)-.*?-c(\d+)\D.*", r["file"]).groups()]):
+        offsets.append((r["file"], acc))
+        acc += r["count"]
+    # One (file, offset) row per range: bounded by the partition count, not by
+    # the data, so it is broadcast; the join keeps each row in place.
+    offs = spark.createDataFrame(offsets, "__file string, __off bigint")
+    located = fixed.withColumns({"__file": F.col("_metadata.file_name"), "__pos": F.col("_metadata.row_index")})
+    out = located.join(F.broadcast(offs), "__file", "inner")
+    return out.withColumn(name, F.col("__off") + F.col("__pos")).drop("__file", "__pos", "__off")
+
+
 def lag_delta(
     df: DataFrame,
     keys: Sequence[str],
@@ -102,11 +148,10 @@ def lag_delta(
     for a deterministic result.
 
     ``hot_keys`` (a small frame of key values, e.g. from
-    :func:`find_hot_keys`) routes those groups through the skew-safe path:
-    rows of a hot group are numbered with :func:`dense_row_id` (the group is
-    spread over many ranges) and joined to their predecessor on the unique row
-    number, so no single task receives a whole hot group.  Other groups use a
-    plain window, which reuses an existing hash partitioning on the keys.
+    :func:`find_hot_keys`) routes those groups through the skew-safe path
+    (:func:`lag_spread`), so no single task receives a whole hot group.  Other
+    groups use a plain window, which reuses an existing hash partitioning on the
+    keys.
     """
     if hot_keys is None:
         return lag_window(df, keys, order, cols)
@@ -137,31 +182,29 @@ def lag_window(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[s
     return df.withColumns({out: F.col(c) - F.lag(c, 1).over(w) for c, out in cols.items()})
 
 
-def lag_spread(df: DataFrame, keys: Sequence[str], order: Sequence, cols: dict[str, str]) -> DataFrame:
+def lag_spread(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: dict[str, str]) -> DataFrame:
     """Skew-safe form of :func:`lag_delta`, meant for a few very large groups.
 
-    Rows are numbered by :func:`dense_row_id` over (keys, order), which spreads
-    even one huge group over many ranges; each row then meets its predecessor
-    in a join on the unique row number (evenly spread), and the difference is
-    kept only when the predecessor belongs to the same group.
+    The rows are range-partitioned by (keys, order), which cuts even one huge
+    group into many segments, and written once with their segment's number.
+    Each segment takes the plain lag, with one row carried over in front: the
+    last row of the group's segment before it.  Those boundary rows are one per
+    group and segment.  No row meets another in a join.
     """
-    rid = "__rid"
-    numbered = dense_row_id(df, list(keys) + list(order), name=rid)
-    prev = numbered.select(
-        (F.col(rid) + 1).alias(rid),
-        *[F.col(k).alias(f"__pk_{i}") for i, k in enumerate(keys)],
-        *[F.col(c).alias(f"__pv_{j}") for j, c in enumerate(cols)],
-    )
-    joined = numbered.join(prev, rid, "left")
-    same = None
-    for i, k in enumerate(keys):
-        e = F.col(k).eqNullSafe(F.col(f"__pk_{i}"))
-        same = e if same is None else same & e
-    out = {
-        o: F.when(same, F.col(c) - F.col(f"__pv_{j}")) for j, (c, o) in enumerate(cols.items())
-    }
-    drop = [rid] + [f"__pk_{i}" for i in range(len(keys))] + [f"__pv_{j}" for j in range(len(cols))]
-    return joined.withColumns(out).drop(*drop)
+    tie, seg, carried = "__tie", "__segment", "__carried"
+    sort = [_asc(c) for c in order] + [F.col(tie).asc()]
+    src = df.withColumn(tie, F.monotonically_increasing_id())
+    ranged = src.repartitionByRange(*[_asc(k) for k in keys], *sort)
+    rows = settled(ranged.withColumn(seg, F.spark_partition_id()))
+    place = F.struct(*[x for c in order for x in (F.col(c).isNull(), F.col(c))], F.col(tie))  # NULLs last, as the order has them
+    lasts = rows.groupBy(*keys, seg).agg(F.max_by(F.struct(*cols), place).alias("__last"))
+    following = F.lead(seg).over(Window.partitionBy(*keys).orderBy(seg))
+    fronts = lasts.withColumn(seg, following).filter(F.col(seg).isNotNull())
+    fronts = fronts.select(*keys, seg, *[F.col("__last")[c].alias(c) for c in cols], F.lit(True).alias(carried))
+    both = rows.withColumn(carried, F.lit(False)).unionByName(fronts, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, seg).orderBy(F.col(carried).desc(), *sort)
+    changed = both.withColumns({o: F.col(c) - F.lag(c, 1).over(w) for c, o in cols.items()})
+    return changed.filter(~F.col(carried)).drop(tie, seg, carried)
 
 
 def find_hot_keys(

@@ -8,7 +8,7 @@ Direct plan (default)
     genre, company and date joins: the only join left is the one to the crew
     table (both sides large: one shuffle on imdb_id).  The lag window reuses
     that hash partitioning, and ``fact_id`` is numbered by the distributed
-    ``dense_row_id`` instead of a single-task window.  Ids that hold a large
+    ``file_row_id`` instead of a single-task window.  Ids that hold a large
     share of the films or of the crew rows are split off both inputs *before*
     that join; they take a broadcast join (or an inner join that AQE can split
     on either side) and the spread lag path (``_join_crew``).
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from reelhouse.functions.exprs import first_item, popularity, surrogate_key
 from reelhouse.operators.joins import DEFAULT_BROADCAST_ROWS, fits, fits_all
-from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_spread, lag_window, split_by_keys
+from reelhouse.operators.windows import file_row_id, find_hot_keys, lag_spread, lag_window, split_by_keys
 from reelhouse.plans.dims import KEY_ALGO
 
 # Fixed orderings (ascending, NULLs last).  The first columns are the model's;
@@ -82,7 +82,7 @@ def _resolve_hot_keys(films: DataFrame, directors: DataFrame, hot_keys):
 def _finish(metrics: DataFrame, key_algo: str, id_partitions: int | None) -> DataFrame:
     """Row ids and the final column list (shared by both plans)."""
     order = FACT_ID_ORDER + [F.col(c).asc_nulls_first() for c in FACT_ID_LAST]
-    numbered = dense_row_id(metrics, order, name="fact_id", partitions=id_partitions)
+    numbered = file_row_id(metrics, order, name="fact_id", partitions=id_partitions)
     return numbered.withColumn("movie_id", surrogate_key(F.trim("title"), key_algo)).select(FACT_COLUMNS)
 
 

@@ -131,3 +131,40 @@ def test_fits_all_in_one_job(spark):
 def test_find_hot_keys_on_empty_input(spark):
     empty = spark.range(0).select(F.col("id").cast("string").alias("k"))
     assert find_hot_keys(empty, ["k"], share=0.1, sample_fraction=1.0, min_rows=1) is None
+
+
+def test_lag_spread_carries_one_row_over_each_cut(spark):
+    from reelhouse.operators.windows import lag_spread, lag_window
+
+    rows = [(i % 5 if i % 3 else 7, None if i % 11 == 0 else i % 40, i % 2, float(i * i % 97), i) for i in range(4000)]
+    rows += [(9, 1, 1, float(i), 5000 + i) for i in range(500)] + [(None, 3, 0, 1.0, 9000), (None, 1, 1, 2.0, 9001)]
+    df = spark.createDataFrame(rows, "k int, t int, u int, v double, id int").repartition(6)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # many segments
+    try:
+        got = lag_spread(df, ["k"], ["t", "u", "id"], {"v": "dv", "id": "di"})
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan
+        want = lag_window(df, ["k"], ["t", "u", "id"], {"v": "dv", "id": "di"})
+        assert got.columns == want.columns
+        key = lambda r: r.id
+        assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_row_ids_come_from_the_written_files(spark):
+    from reelhouse.operators.windows import file_row_id
+
+    df = spark.range(5000).select((F.col("id") * 7919 % 5003).alias("a"), (F.col("id") % 3).alias("b"))
+    out = file_row_id(df.repartition(9), ["b", "a"], name="rid", partitions=6)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.replace("BroadcastExchange", "") and plan.count("FileScan parquet") == 1
+    rows = sorted(out.collect(), key=lambda r: r.rid)
+    assert [(r.b, r.a) for r in rows] == sorted((r.b, r.a) for r in rows) and [r.rid for r in rows] == list(range(1, 5001))
+    assert file_row_id(df.limit(0), ["a"], name="rid").count() == 0
+    five = file_row_id(df, ["a", "b"], name="rid", start=5).agg(F.min("rid"), F.max("rid")).first()
+    assert tuple(five) == (5, 5004)
+    copies = spark.range(3000).select(F.lit(7).cast("bigint").alias("k")).unionByName(spark.range(6000).select((F.col("id") + 100).alias("k")))
+    out = file_row_id(copies, ["k"], name="rid", partitions=6)
+    assert {r.rid for r in out.filter("k = 7").collect()} == set(range(1, 3001)) and len(out.inputFiles()) == 6
