@@ -1,12 +1,18 @@
 """Data-quality rules over tables: not-null, unique, foreign key, suite runner.
 
-Each rule returns a small frame ``(table, column, rule, failures)``:
+Each rule gives a row ``(table, column, rule, failures)``:
 
-* not-null: all columns of a table in ONE aggregation pass (``count_if``)
-* unique: values (non-NULL) occurring more than once, counted with a
-  grouped aggregation (map-side partial counts, so hot values are cheap)
-* foreign key: child rows whose (non-NULL) value is missing from the parent:
-  per-key child counts meet the distinct parent keys in a left-anti join
+* not-null: rows whose column is NULL
+* unique: values (non-NULL) occurring more than once
+* foreign key: child rows whose (non-NULL) value is missing from the parent
+
+``table_rules`` checks all not-null and unique rules of a table in one scan: the
+unique columns are grouping sets of one aggregation (an ``Expand``, one row per
+column and value after the map-side combine), and the not-null counts ride
+along.  ``reference_rules`` does the same for all references of a child table:
+its values are counted by (rule, value) in one scan and one exchange, and meet the
+parents' distinct keys in one left-anti join.  A value repeated in a large share
+of the rows crosses an exchange as one row per task.
 
 ``run_suite`` unions the results and raises when any rule fails (if asked).
 """
@@ -15,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -77,6 +83,49 @@ def foreign_key(child: DataFrame, col: str, parent: DataFrame, pcol: str, table:
     )
 
 
+def _rows(totals: DataFrame, table: str, rules: Sequence[tuple[str, str]]) -> DataFrame:
+    """One row of numbers ``r0, r1, ...`` as one result row per rule (column, rule)."""
+    structs = [F.struct(F.lit(table).alias("table"), F.lit(c).alias("column"), F.lit(rule).alias("rule"),
+                        F.coalesce(F.col(f"r{i}"), F.lit(0)).cast("bigint").alias("failures")) for i, (c, rule) in enumerate(rules)]
+    return totals.select(F.inline(F.array(*structs)))
+
+
+def table_rules(df: DataFrame, table: str = "", not_null: Sequence[str] = (), unique: Sequence[str] = ()) -> DataFrame:
+    """All not-null and unique rules of one table in one scan of it."""
+    rules = [(c, "not_null") for c in not_null] + [(c, "unique") for c in unique]
+    if not unique:
+        totals = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"r{i}") for i, c in enumerate(not_null)])
+        return _rows(totals, table, rules)
+    keys = [F.col(c).alias(f"u{j}") for j, c in enumerate(unique)]
+    nulls = [F.col(c).isNull().alias(f"n{i}") for i, c in enumerate(not_null)]
+    src = df.select(*keys, *nulls)
+    sets = [[F.col(f"u{j}")] for j in range(len(unique))]
+    groups = src.groupingSets(sets, *[F.col(f"u{j}") for j in range(len(unique))]).agg(
+        F.grouping_id().alias("which"), F.count(F.lit(1)).alias("copies"),
+        *[F.count_if(F.col(f"n{i}")).alias(f"n{i}") for i in range(len(not_null))])
+    # the bits of a grouping id name the columns that are not grouped by, the first column's the highest
+    top = len(unique) - 1
+    ids = [(1 << len(unique)) - 1 - (1 << (top - j)) for j in range(len(unique))]
+    totals = groups.agg(
+        *[F.sum(F.when(F.col("which") == ids[0], F.col(f"n{i}"))).alias(f"r{i}") for i in range(len(not_null))],
+        *[F.count_if((F.col("which") == ids[j]) & F.col(f"u{j}").isNotNull() & (F.col("copies") > 1)).alias(f"r{len(not_null) + j}")
+          for j in range(len(unique))])
+    return _rows(totals, table, rules)
+
+
+def reference_rules(child: DataFrame, table: str, references: Sequence[tuple[str, str, str, DataFrame]]) -> DataFrame:
+    """All references (column, parent table, parent column, parent) of one child table in one scan of it."""
+    def tagged(i: int, c: str) -> Column:
+        return F.struct(F.lit(i).alias("rule"), F.col(c).cast("string").alias("key"))
+
+    values = child.select(F.inline(F.array(*[tagged(i, c) for i, (c, *_) in enumerate(references)])))
+    counted = values.filter(F.col("key").isNotNull()).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n"))
+    keys = _union(p.select(F.lit(i).alias("rule"), F.col(pc).cast("string").alias("key")) for i, (_, _, pc, p) in enumerate(references))
+    orphans = counted.join(keys.distinct(), ["rule", "key"], "left_anti")
+    totals = orphans.agg(*[F.sum(F.when(F.col("rule") == i, F.col("n"))).alias(f"r{i}") for i in range(len(references))])
+    return _rows(totals, table, [(c, f"references {pt}.{pc}") for c, pt, pc, _ in references])
+
+
 def _union(frames: Iterable[DataFrame]) -> DataFrame:
     out = None
     for f in frames:
@@ -96,18 +145,13 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def suite(tables: dict[str, DataFrame], tests=GOLD_TESTS, foreign_keys=()) -> DataFrame:
     """All rules as one result frame (lazy; one small row per rule)."""
-    frames = []
-    for name, rules in tests.items():
-        if name not in tables:
-            continue
-        df = tables[name]
-        if rules.get("not_null"):
-            frames.append(not_null(df, rules["not_null"], name))
-        for c in rules.get("unique", []):
-            frames.append(unique(df, c, name))
+    frames = [table_rules(tables[name], name, rules.get("not_null", ()), rules.get("unique", ()))
+              for name, rules in tests.items() if name in tables and (rules.get("not_null") or rules.get("unique"))]
+    references: dict[str, list] = {}
     for child, col, parent, pcol in foreign_keys:
         if child in tables and parent in tables:
-            frames.append(foreign_key(tables[child], col, tables[parent], pcol, child, parent))
+            references.setdefault(child, []).append((col, parent, pcol, tables[parent]))
+    frames += [reference_rules(tables[child], child, found) for child, found in references.items()]
     return _union(frames)
 
 
