@@ -8,7 +8,8 @@ Computed columns carry the same names and types as the Spark results.
 
 from __future__ import annotations
 
-from reelhouse.sources.adapter import BASICS_SQL, CREW_SQL, NAMES_SQL, TMDB_RAW_SQL, TMDB_SRC_SQL
+from reelhouse.schemas import COLUMN_COMMENTS
+from reelhouse.sources.adapter import BASICS_SQL, CREW_SQL, LINE_BREAKS, NAMES_SQL, TMDB_RAW_SQL, TMDB_SRC_SQL
 
 AS_OF = "2024-01-01"  # fixed validity date used by the registered queries
 TOP_YEAR = 2000  # release year asked by the top-films reports (dates span 1995-2007)
@@ -348,4 +349,30 @@ UNION ALL SELECT 'imdb_title_crew_raw', count(*) FROM crew_raw
 UNION ALL SELECT 'imdb_name_basics_raw', count(*) FROM names_raw
 UNION ALL SELECT 'imdb_title_basics_raw', count(*) FROM basics_src WHERE tconst IS NOT NULL"""
     q["q_view_by_name"] = q["q_view_full"]
+    q["q_csv_line_breaks"] = bronze + f"""SELECT * REPLACE ({", ".join(f"{x} AS {c}" for c, x in LINE_BREAKS.items())})
+FROM tmdb_raw"""
+    q["q_rejects"] = f"""WITH tmdb_src AS ({TMDB_SRC_SQL})
+SELECT imdb_id, title, reason FROM (
+  SELECT imdb_id, title, CASE WHEN imdb_id IS NULL THEN 'no id' WHEN title IS NULL THEN 'no title'
+         WHEN TRY_CAST(release_date AS DATE) IS NULL THEN 'no release date'
+         WHEN extract(year FROM TRY_CAST(release_date AS DATE)) < 2000 THEN 'too early'
+         WHEN lower(coalesce(status, '')) <> 'released' THEN 'status'
+         WHEN coalesce(runtime, 0) <= 40 THEN 'too short'
+         WHEN isnan(vote_average) OR coalesce(vote_average, 0) <= 0 THEN 'no rating'
+         WHEN coalesce(vote_count, 0) <= 0 THEN 'no votes' END AS reason
+  FROM tmdb_src) s WHERE reason IS NOT NULL"""
+    q["q_replace_table"] = bronze + "SELECT * REPLACE (revenue - budget AS revenue) FROM tmdb_raw"
+    q["q_release_switch"] = bronze + """SELECT 'films' AS tbl, 1 AS version, imdb_id AS id FROM tmdb_f
+UNION ALL SELECT 'crew', 1, tconst FROM crew_src
+UNION ALL SELECT 'films', 2, imdb_id FROM tmdb_raw WHERE vote_count > 3
+UNION ALL SELECT 'crew', 2, tconst FROM crew_raw WHERE directors <> ''"""
+    q["q_view_stored"] = q["q_view_limited"]
+    q["q_describe"] = dims + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS tbl, '{c}' AS column_name, '{text}' AS description, count({c}) AS filled FROM {t}"
+        for t in ("dim_movie", "dim_genre", "dim_date", "dim_production") for c, text in COLUMN_COMMENTS[t].items())
+    q["q_ref_scan"] = q["q_dim_director"]
+    q["q_lag_segments"] = """SELECT *, quantity - lag(quantity) OVER w AS quantity_change, cents - lag(cents) OVER w AS cents_change
+FROM (SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS quantity,
+             CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem) s
+WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, quantity, cents)"""
     return q

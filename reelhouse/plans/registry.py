@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 import uuid
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,20 +18,22 @@ from pyspark.sql import functions as F
 from reelhouse import oracle
 from reelhouse.functions.exprs import bucketize, popularity, surrogate_key
 from reelhouse.operators import quality
+from reelhouse.operators.clean import reject_reason
 from reelhouse.operators.policy import REFERENCE_POLICY, project_for_role
-from reelhouse.operators.windows import dense_row_id, find_hot_keys, lag_delta
+from reelhouse.operators.windows import file_row_id, find_hot_keys, lag_delta, lag_spread
 from reelhouse.plans import bronze as B
 from reelhouse.plans import dims as D
 from reelhouse.plans import reports as R
 from reelhouse.plans.daily import Bronze, build_bronze
 from reelhouse.plans.fact import fact_literal, fact_movie_performance
-from reelhouse.plans.views import view_full, view_limited
+from reelhouse.plans.views import view_full, view_limited, view_sql
 from reelhouse import schemas
 from reelhouse.session import ensure_checkpoint_dir
-from reelhouse.sources.adapter import RawInputs, read_testdata
+from reelhouse.sources.adapter import LINE_BREAKS, RawInputs, read_testdata
 from reelhouse.sources import sinks
 from reelhouse.sources.catalog import Catalog
 from reelhouse.sources.files import read_films_csv, read_snapshot, read_tsv, sample_first
+from reelhouse.sources.releases import Releases
 
 AS_OF = _dt.date.fromisoformat(oracle.AS_OF)
 ROUND6 = ("movie_popularity", "popularity_change")
@@ -115,7 +117,7 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
         dim_genre=w.dim_genre, dim_production=w.dim_production, dim_date=w.dim_date))
     q["q_fact_literal"] = lambda w: _round(fact_literal(
         w.bronze.tmdb_raw, w.bronze.crew, w.dim_genre, w.dim_production, w.dim_date))
-    q["q_row_number"] = lambda w: dense_row_id(
+    q["q_row_number"] = lambda w: file_row_id(
         read_testdata(w.spark, w.sf_dir, "lineitem").select("l_orderkey", "l_linenumber"),
         ["l_orderkey", "l_linenumber"], name="row_id")
     q["q_lag_by_director_year"] = _lag_by_director
@@ -151,6 +153,15 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
         "imdb_title_crew_raw": w.bronze.crew, "imdb_name_basics_raw": w.bronze.names,
         "imdb_title_basics_raw": B.title_basics_raw(w.raw.basics_src)})
     q["q_view_by_name"] = _view_by_name
+    q["q_csv_line_breaks"] = _csv_line_breaks
+    q["q_rejects"] = lambda w: w.raw.films_src.select("imdb_id", "title", reject_reason(w.raw.films_src).alias("reason")).filter(
+        F.col("reason").isNotNull())
+    q["q_replace_table"] = _replace_table
+    q["q_release_switch"] = _release_switch
+    q["q_view_stored"] = _view_stored
+    q["q_describe"] = _describe
+    q["q_ref_scan"] = _ref_scan
+    q["q_lag_segments"] = _lag_segments
     return q
 
 
@@ -167,6 +178,77 @@ def _bronze_from_csv(w: Warehouse) -> DataFrame:
     return B.tmdb_raw(B.films_filtered(raw))
 
 
+def _csv_line_breaks(w: Warehouse) -> DataFrame:
+    """Film rows whose titles and companies hold quoted line breaks, written as CSV, read back in splits, loaded to bronze."""
+    path = f"{_scratch(w.spark)}/movies"
+    broken = w.raw.films_src.withColumns({c: F.expr(x) for c, x in LINE_BREAKS.items()})
+    sinks.write_csv(broken, path)
+    return B.tmdb_raw(B.films_filtered(read_films_csv(w.spark, path, columns=schemas.RAW_FILM_COLUMNS)))
+
+
+def _replace_table(w: Warehouse) -> DataFrame:
+    """The film table stored in the catalog, then replaced by rows computed from itself."""
+    name = f"default.films_{uuid.uuid4().hex[:12]}"
+    sinks.replace_table(w.spark, w.bronze.tmdb_raw, name)
+    old = w.spark.table(name)
+    return sinks.replace_table(w.spark, old.withColumn("revenue", F.col("revenue") - F.col("budget")), name, sort_by=["imdb_id"])
+
+
+def _release_switch(w: Warehouse) -> DataFrame:
+    """Films and crew released together, then both replaced by one switch; rows of both versions, marked."""
+    layer = Releases(w.spark, _scratch(w.spark))
+    layer.publish(layer.stage("films", B.films_filtered(w.raw.films_src)), layer.stage("crew", w.raw.crew_src))
+    layer.publish(layer.stage("films", w.bronze.tmdb_raw.filter("vote_count > 3"), sort_by=["imdb_id"]),
+                  layer.stage("crew", w.bronze.crew.filter("directors <> ''")))
+    rows = [layer.table(t, n).select(F.lit(t).alias("tbl"), F.lit(n).alias("version"), F.col(k).alias("id"))
+            for n in (1, 2) for t, k in (("films", "imdb_id"), ("crew", "tconst"))]
+    return reduce(DataFrame.union, rows)
+
+
+def _view_stored(w: Warehouse) -> DataFrame:
+    """Gold tables written once, the limited view stored as SQL text over them and read by name in another session."""
+    root = _scratch(w.spark)
+    tables = dict(zip(("fact_movie_performance", "dim_movie", "dim_date", "dim_director", "dim_genre", "dim_production"), w.star()))
+    for name, df in tables.items():
+        sinks.overwrite(df, f"{root}/{name}")
+    name = f"default.limited_{uuid.uuid4().hex[:12]}"
+    sinks.create_view(w.spark, name, view_sql("analytical_view_limited", {t: f"parquet.`{root}/{t}`" for t in tables}))
+    return _round(w.spark.newSession().table(name))
+
+
+def _describe(w: Warehouse) -> DataFrame:
+    """Column descriptions read back from the catalog, with the number of filled values of each described column."""
+    frames = []
+    for table in ("dim_movie", "dim_genre", "dim_date", "dim_production"):
+        name = f"default.{table}_{uuid.uuid4().hex[:12]}"
+        described = quality.describe(getattr(w, table), schemas.COLUMN_COMMENTS[table])
+        df = sinks.replace_table(w.spark, described, name, comment=schemas.TABLE_COMMENTS[table])
+        stored = {c.name: c.description for c in w.spark.catalog.listColumns(name) if c.description}
+        counts = df.agg(*[F.count(c).alias(c) for c in stored])
+        frames.append(counts.select(F.inline(F.array(*[
+            F.struct(F.lit(table).alias("tbl"), F.lit(c).alias("column_name"), F.lit(text).alias("description"), F.col(c).alias("filled"))
+            for c, text in stored.items()]))))
+    return reduce(DataFrame.union, frames)
+
+
+def _ref_scan(w: Warehouse) -> DataFrame:
+    """Directors built from stored bronze tables by name, stored as a model and read by ``ref``."""
+    cat = Catalog(w.spark, _scratch(w.spark))
+    sinks.overwrite(w.bronze.crew, cat.path("bronze", "imdb_title_crew_raw"))
+    sinks.overwrite(w.bronze.names, cat.path("bronze", "imdb_name_basics_raw"))
+    crew, names = (cat.source("bronze", t) for t in ("imdb_title_crew_raw", "imdb_name_basics_raw"))
+    sinks.overwrite(D.dim_director(crew, names, AS_OF), cat.path("gold", "dim_director"), sort_by=["director_id"])
+    return cat.ref("dim_director")
+
+
+def _lag_segments(w: Warehouse) -> DataFrame:
+    """Quantity and price change between consecutive lines of a supplier, by segments of every group."""
+    lines = read_testdata(w.spark, w.sf_dir, "lineitem").select(
+        "l_suppkey", "l_orderkey", "l_linenumber", F.col("l_quantity").cast("long").alias("quantity"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"))
+    return lag_spread(lines, ["l_suppkey"], ["l_orderkey", "l_linenumber", "quantity", "cents"], {"quantity": "quantity_change", "cents": "cents_change"})
+
+
 def _crew_from_tsv_gz(w: Warehouse) -> DataFrame:
     """Crew rows written as gzip TSV (\\N for NULL), read back by the TSV reader, loaded to bronze."""
     path = f"{_scratch(w.spark)}/title.crew"

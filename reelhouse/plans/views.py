@@ -54,3 +54,32 @@ def view_limited(fact, dim_movie, dim_date, dim_director, dim_genre, dim_product
     the director's first name shown and the rating generalised to a band."""
     full = _star(fact, dim_movie, dim_date, dim_director, dim_genre, dim_production)
     return mask(full, LIMITED_RULES if rules is None else rules)
+
+
+# The two views as SQL text over stored tables (``{fact}`` and the dimensions are
+# relation names), for views that live in the catalog.
+STAR_SQL = """SELECT {columns}
+FROM {fact_movie_performance} f
+LEFT JOIN {dim_movie} m ON f.imdb_id = m.imdb_id
+LEFT JOIN {dim_date} dt ON f.date_id = dt.date_id
+LEFT JOIN {dim_director} d ON f.director_id = d.director_id
+LEFT JOIN {dim_genre} g ON f.genre_id = g.genre_id
+LEFT JOIN {dim_production} p ON f.production_id = p.production_id"""
+FULL_SQL = {
+    "movie_title": "m.movie_title", "release_year": "dt.year", "director_name": "d.director_name",
+    "genre_name": "g.genre_name", "production_name": "p.production_name", **{c: f"f.{c}" for c in MEASURES},
+}
+LIMITED_SQL = FULL_SQL | {
+    "movie_title": "CAST(conv(substr(md5(m.movie_title), 1, 15), 16, 10) AS BIGINT)",
+    "release_year": "concat(substr(CAST(dt.year AS STRING), 1, 2), '**')",
+    "director_name": "concat(split_part(d.director_name, ' ', 1), ' ', '*****')",
+    "vote_avg": "CASE WHEN f.vote_avg IS NULL OR isnan(f.vote_avg) THEN 'UNKNOWN' WHEN f.vote_avg < 6.0D THEN 'LOW' "
+                "WHEN f.vote_avg < 8.0D THEN 'MID' ELSE 'HIGH' END",
+}
+STORED_VIEWS = {"analytical_view_full": FULL_SQL, "analytical_view_limited": LIMITED_SQL}
+
+
+def view_sql(name: str, relations: dict[str, str]) -> str:
+    """SQL text of a view over the given relations (table name -> what FROM reads)."""
+    columns = ",\n       ".join(f"{x} AS {c}" for c, x in STORED_VIEWS[name].items())
+    return STAR_SQL.format(columns=columns, **relations)

@@ -66,6 +66,15 @@ WHERE imdb_id IS NOT NULL AND title IS NOT NULL AND rd IS NOT NULL AND extract(y
   AND NOT isnan(TRY_CAST(vote_average AS DOUBLE)) AND coalesce(TRY_CAST(vote_average AS DOUBLE), 0) > 0 AND coalesce(TRY_CAST(vote_count AS DOUBLE), 0) > 0
 """
 
+# Raw film columns with line breaks, quotes and separators inside, as SQL of the
+# plain columns: cells that a CSV file has to quote over several lines.
+LINE_BREAKS = {
+    "title": """CASE WHEN length(title) % 3 = 0 THEN concat(chr(10), title, ', "cut', chr(10), chr(10), '2"')
+        WHEN length(title) % 3 = 1 THEN concat('"', title, chr(10)) ELSE title END""",
+    "production_companies": """CASE WHEN length(production_companies) % 5 = 0 AND production_companies <> ''
+        THEN concat(production_companies, chr(10), '"",', chr(10)) ELSE production_companies END""",
+}
+
 # Title -> directors dump (one row per order).
 CREW_SQL = """
 SELECT concat('tt', lpad(CAST(o_orderkey AS STRING), 9, '0')) AS tconst,

@@ -1,7 +1,8 @@
 """Table writers and table management.
 
 All writes are idempotent full refreshes (``mode("overwrite")``): a rerun of a
-day replaces that day's tables.  Layout options mirror what a column store's
+day replaces that day's tables.  ``replace_table`` writes the new rows aside and
+then switches the catalog to them; ``sources.releases`` does so for folders.  Layout options mirror what a column store's
 table definition gives: a sort key (Parquet min/max skipping), a partition
 column (directory pruning) and a row cap per file (bounded file size).
 """
@@ -9,6 +10,7 @@ column (directory pruning) and a row cap per file (bounded file size).
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -106,8 +108,7 @@ def write_snapshot(df: DataFrame, target: str, schema, fmt: str = "parquet", as_
 
 def comment_table(spark: SparkSession, name: str, comment: str) -> None:
     """Store a table description in the catalog (``COMMENT ON TABLE``)."""
-    text = comment.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
+    spark.sql(f"COMMENT ON TABLE {name} IS '{_quoted(comment)}'")
 
 
 def create_namespace(spark: SparkSession, name: str) -> None:
@@ -115,17 +116,76 @@ def create_namespace(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
 
 
-def replace_table(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet", **layout) -> DataFrame:
-    """Drop-and-create-as-select of a catalog table; returns the table."""
-    db = name.split(".")[0] if "." in name else None
-    if db:
-        create_namespace(spark, db)
-    overwrite(df, name, fmt=fmt, as_table=True, **layout)
+def replace_table(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet", comment: str | None = None,
+                  **layout) -> DataFrame:
+    """Replace a catalog table by ``df`` (which may read it) and return it.
+
+    The rows go to a new folder under the namespace's location first.  If the
+    table has the same columns already, one catalog change then points it to that
+    folder: a job that dies before leaves the old table readable.  If columns
+    differ, the table is dropped and created over the finished folder (a job that
+    dies in between leaves no table, a rerun creates it).  The folder before the
+    current one stays for queries that still read it, older ones go.  Column
+    descriptions (``quality.describe``) and ``comment`` are kept in the catalog.
+    """
+    db = name.split(".")[0] if "." in name else spark.catalog.currentDatabase()
+    table = name.split(".")[-1]
+    create_namespace(spark, db)
+    root = f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}-versions"
+    folder = f"{root}/{uuid.uuid4().hex}"
+    overwrite(df, folder, fmt=fmt, **layout)
+    full = f"`{db}`.`{table}`"
+    exists = spark.catalog.tableExists(f"{db}.{table}")
+    if exists and not layout.get("partition_by") and _described(spark.table(full).schema) == _described(df.schema):
+        before = _location(spark, full)
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{folder}'")
+    else:
+        before = _location(spark, full) if exists else None
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        columns = ", ".join(f"`{n}` {t}" + (f" COMMENT '{_quoted(c)}'" if c else "") for n, t, c in _described(df.schema))
+        parts = ", ".join(f"`{c}`" for c in layout.get("partition_by") or ())
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING {fmt} " + (f"PARTITIONED BY ({parts}) " if parts else "") + f"LOCATION '{folder}'")
+        if parts:
+            spark.catalog.recoverPartitions(f"{db}.{table}")
+    if comment is not None:
+        comment_table(spark, full, comment)
+    spark.catalog.refreshTable(f"{db}.{table}")
+    _drop_folders(spark, root, {folder.rsplit("/", 1)[-1], (before or "").rstrip("/").rsplit("/", 1)[-1]})
+    return spark.table(name)
+
+
+def _described(schema) -> list[tuple]:
+    return [(f.name, f.dataType.simpleString(), (f.metadata or {}).get("comment")) for f in schema.fields]
+
+
+def _location(spark: SparkSession, name: str) -> str | None:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else None
+
+
+def _drop_folders(spark: SparkSession, root: str, keep: set[str]) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for entry in fs.listStatus(path):
+        if entry.getPath().getName() not in keep:
+            fs.delete(entry.getPath(), True)
+
+
+def create_view(spark: SparkSession, name: str, query: str, comment: str | None = None) -> DataFrame:
+    """Durable view: its SQL text is stored in the catalog, any later session reads it by name."""
+    if "." in name:
+        create_namespace(spark, name.split(".")[0].strip("`"))
+    note = f" COMMENT '{_quoted(comment)}'" if comment else ""
+    spark.sql(f"CREATE OR REPLACE VIEW {name}{note} AS {query}")
     return spark.table(name)
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def publish_view(df: DataFrame, name: str) -> DataFrame:
-    """Register a lazy view (no data written); the frame is returned unchanged."""
+    """Register a lazy view of this session (no data written); the frame is returned unchanged."""
     df.createOrReplaceTempView(name)
     return df
 
