@@ -18,8 +18,9 @@ It only steers where sets meet; any order gives the same result.
 
 Edge cases: null and blank texts have the empty set and link with nothing; fewer
 words than a shingle give one shingle of the whole sequence; equal sets link;
-repeated rows are members of the same set; null ids are ignored as component
-names unless a component has no other.
+repeated rows are members of the same set; rows of one id may have different texts,
+each belongs to its own text's component; null ids are ignored as component names
+unless a component has no other.
 """
 
 from __future__ import annotations
@@ -130,7 +131,7 @@ def meeting(cells: DataFrame, percent: int) -> DataFrame:
     cells = cells.select("cell", F.col("th").alias("id"), F.col("tag").alias("n"))
     least = 1 + F.floor(F.ceil(F.col("n") * percent / 100) / 20)
     enough = cells.groupBy("id", "n").agg(F.count("*").alias("k")).filter(F.col("k") >= least).select("id")
-    return cut(cells.join(enough, "id").select("cell", "id"))
+    return cut(cells.join(enough, "id").select("cell", "id", "n"))
 
 
 def outside(n: Column, percent: int) -> Column:
@@ -138,8 +139,22 @@ def outside(n: Column, percent: int) -> Column:
     return F.greatest(F.ceil(n * percent / 100) - 1 - F.floor(n / 20), F.lit(0))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row; links are 100 * |x & y| >= percent * |x | y|."""
+def meeting_rule(common, percent: int):
+    """What tasks need to meet sets by their windows: a set's window, and elements outside of it by size."""
+
+    def left_out(n: np.ndarray) -> np.ndarray:
+        return np.maximum(-(-percent * n // 100) - 1 - n // 20, 0)
+
+    return lambda: (lambda s: window(s, common.value, percent)[0], left_out)
+
+
+def text_key() -> Column:
+    """Identity of a row's id and text: rows of one id may differ in their texts."""
+    return F.xxhash64("doc_id", "th")
+
+
+def grouped(docs: DataFrame, percent: int) -> DataFrame:
+    """doc_id, th (text hash), n (shingles) and comp (identity of the component, null without shingles) of every row."""
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
@@ -149,25 +164,33 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     common = spark.sparkContext.broadcast(common_shingles(rows, n_docs))
     buckets = max(LEAST_BUCKETS, n_docs // ROWS_PER_BUCKET)
     cells = meeting(shared_cells(rows, region_keys(common, percent), buckets, marks=False), percent)
-    # one row speaks for all copies of a set: that of the smallest doc_id (text hash where there is none)
-    key = F.coalesce("doc_id", "th").alias("key")
-    known = members.filter("sid is not null").groupBy(F.col("sid").alias("id")).agg(F.min(key).alias("key"))
+    # one row speaks for all copies of a set
+    known = members.filter("sid is not null").groupBy(F.col("sid").alias("id")).agg(F.min(text_key()).alias("key"))
     met = cut(known.join(cells.select("id").distinct(), "id").select("key"))
     wanted = spark.sparkContext.broadcast(key_filter(met))
-    sets = ids.select("text", key).mapInArrow(whole_sets(wanted), "id long, n long, arr array<long>")
-    links = resolve(cells, sets, percent, lambda n: outside(n, percent))
+    sets = ids.select("text", text_key().alias("key")).mapInArrow(whole_sets(wanted), "id long, n long, arr array<long>")
+    links = resolve(cells, sets, percent, lambda n: outside(n, percent), meeting_rule(common, percent))
     comp = components(links).withColumnRenamed("id", "sid")
-    # smallest doc_id of each set, then of each component of sets
-    of_set = members.filter("sid is not null").groupBy("sid").agg(F.min("doc_id").alias("least"))
-    of_set = of_set.join(comp, "sid", "left").withColumn("comp", F.coalesce("comp", "sid"))
-    of_comp = of_set.groupBy("comp").agg(F.min("least").alias("component_id"))
-    named = of_set.join(of_comp, "comp").select("sid", "component_id")
-    return (members.join(named, "sid", "left")
+    return members.join(comp, "sid", "left").select("doc_id", "th", "n", F.coalesce("comp", "sid").alias("comp"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row; links are 100 * |x & y| >= percent * |x | y|."""
+    rows = cut(grouped(docs, percent))
+    least = rows.filter("comp is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return (rows.join(least, "comp", "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with one row of each component: that of the smallest doc_id (all columns kept)."""
-    comp = jaccard_components(docs, percent).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = comp.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti").select(*docs.columns)
+    """``docs`` with one row of each component: that of the smallest doc_id (null ids last), then of the smallest text hash.
+
+    Rows are told apart by id and text; rows equal in both stay or go together.
+    """
+    rows = cut(grouped(docs, percent).filter("comp is not null"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "th")
+    first = rows.groupBy("comp").agg(F.min(place).alias("first"))
+    gone = rows.join(first, "comp").filter(~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))))
+    gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("th").alias("__gone_text")).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone["__gone_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == gone["__gone_text"])
+    return docs.join(gone, same, "left_anti").select(*docs.columns)

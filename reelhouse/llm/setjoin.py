@@ -4,8 +4,9 @@ A cell is a group of sets that share a key (a prefix shingle or a MinHash band).
 Tasks send cell keys as packed arrays by hash bucket; only cells with two or
 more members become rows.  ``resolve`` then finds every link of Jaccard
 similarity >= t inside the cells, up to connectivity.  Sets connected through
-cells form regions.  A region of up to ``REGION_SETS`` sets is one task's work,
-each set sent once; a larger one is split by its cells and resolved in
+cells form regions.  A region of up to ``REGION_SETS`` sets (``REGION_SHINGLES``
+shingles where sets meet by windows) is one task's work, each set sent once; a
+larger one is split by its cells and resolved in
 distributed rounds (``rounds``).  Both work alike: the smallest sets are pivots,
 in turn, and meet the sets that follow them in size order.  Sets whose distances
 to the first pivot differ by more than 1 - t are no pair (triangle inequality of
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.llm.components import components
-from reelhouse.llm.util import cut
+from reelhouse.llm.util import cut, trim
 from reelhouse.llm.words import mix
 
 FLUSH_UNITS = 16_384
@@ -31,6 +32,7 @@ LEAST_BUCKETS = 64
 MANY = np.uint32(1 << 31)
 FILTER_BITS = 1 << 26
 REGION_SETS = 256
+REGION_SHINGLES = 16_000_000  # of a region whose sets meet by their windows: 128 MB in its task
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
 
 
@@ -227,14 +229,61 @@ def links_of_region(ids: list[int], sets: list[np.ndarray], percent: int) -> lis
     return out
 
 
-def resolve_regions(percent: int):
-    """Links of the regions of a partition, sorted by region, size and id."""
+def links_by_windows(ids: list[int], sets: list[np.ndarray], percent: int, window_of: Callable[[np.ndarray], np.ndarray],
+                     left_out: Callable[[np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
+    """``links_of_region`` where a pair can only link if the sets' windows share enough elements.
+
+    An inverted index over the windows gives each pivot the sets it meets and the
+    number of elements their windows share; with what the windows leave out that
+    bounds the pair's overlap, and only pairs within the bound compare whole sets.
+    """
+    size = np.array([len(s) for s in sets])
+    windows = [window_of(s) for s in sets]
+    flat = np.concatenate(windows)
+    owner = np.repeat(np.arange(len(sets)), [len(w) for w in windows])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+    stop = np.append(begin[1:], len(flat))
+    keys = flat[begin]
+    group, groups, outside = np.arange(len(ids)), len(ids), left_out(size)
+    first = np.full(len(ids), np.nan)  # distance to the first pivot, where it was measured
+    eps, out = 1 - percent / 100 + 1e-9, []
+    for p in range(len(ids) - 1):
+        if groups == 1:
+            break
+        at = np.searchsorted(keys, windows[p])
+        shared = np.bincount(np.concatenate([owner[begin[i]:stop[i]] for i in at.tolist()]), minlength=len(ids))
+        meet = p + 1 + np.flatnonzero(shared[p + 1:])
+        meet = meet[(group[meet] != group[p]) & (size[p] * 100 >= size[meet] * percent)]
+        least = -(-percent * (size[p] + size[meet]) // (100 + percent))
+        meet = meet[shared[meet] + np.maximum(outside[p], outside[meet]) >= least]
+        meet = meet[~(np.abs(first[meet] - first[p]) > eps)]
+        if not len(meet):
+            continue
+        both = overlap(sets[p], [sets[i] for i in meet])
+        union = size[p] + size[meet] - both
+        if not p:
+            first[meet] = 1 - both / union
+            first[0] = 0
+        for i in meet[100 * both >= percent * union].tolist():
+            if group[i] != group[p]:
+                out.append((ids[p], ids[i]))
+                group[group == group[i]] = group[p]
+                groups -= 1
+    return out
+
+
+def resolve_regions(percent: int, meeting=None):
+    """Links of the regions of a partition, sorted by region, size and id; ``meeting``: a broadcast (window_of, left_out)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, ids, sets, out = None, [], [], []
 
         def close():
-            if len(ids) > 1:
+            if len(ids) > 1 and meeting is not None:
+                out.extend(links_by_windows(ids, sets, percent, *meeting()))
+            elif len(ids) > 1:
                 out.extend(links_of_region(ids, sets, percent))
             ids.clear(), sets.clear()
 
@@ -248,38 +297,62 @@ def resolve_regions(percent: int):
                     ids.append(set_id)
                     sets.append(np.sort(arrays[i].values.to_numpy().view(np.uint64)))
         close()
+        trim()
         a, z = zip(*out) if out else ((), ())
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80, outside: Callable[[Column], Column] | None = None) -> DataFrame:
-    """All links (a, b) inside the cells, up to connectivity.
-
-    ``cells``: (cell, id); ``sets``: id, n, arr, rows of an id may repeat.
-    ``outside``: if a set's cells are all its elements of a window of one global
-    order, the number of its elements outside the window, by its size; common
-    cells then bound a pair's overlap before whole sets are compared.
-    """
+def split_regions(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Ids of the small regions with their region (comp, id), and ids of the large ones."""
     hubs = cells.groupBy("cell").agg(F.min("id").alias("hub"))
     star = cells.join(hubs, "cell").filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     region = cut(components(star))
-    sizes = region.groupBy("comp").agg(F.count("*").alias("m"))
-    small = region.join(sizes.filter(F.col("m") <= REGION_SETS), "comp").select("comp", "id")
-    large = cut(region.join(sizes.filter(F.col("m") > REGION_SETS), "comp").select("id"))
-    dealt = (sets.join(bounded(small), "id").repartition("comp").sortWithinPartitions("comp", "n", "id").select("comp", "id", "arr"))
-    links = cut(dealt.mapInArrow(resolve_regions(percent), "a long, b long"))
+    if "n" in cells.columns:
+        sizes = region.join(cells.groupBy("id").agg(F.min("n").alias("n")), "id").groupBy("comp").agg(F.sum("n").alias("m"))
+        fits = F.col("m") <= REGION_SHINGLES
+    else:
+        sizes, fits = region.groupBy("comp").agg(F.count("*").alias("m")), F.col("m") <= REGION_SETS
+    sizes = cut(sizes.withColumn("small", fits).select("comp", "small"))
+    return (region.join(sizes.filter("small"), "comp").select("comp", "id"),
+            region.join(sizes.filter("not small"), "comp").select("id"))
+
+
+def links_in_tasks(small: DataFrame, sets: DataFrame, percent: int, meeting) -> DataFrame:
+    """Links of the small regions, one task's work each."""
+    dealt = sets.join(bounded(small), "id").repartition("comp").sortWithinPartitions("comp", "n", "id").select("comp", "id", "arr")
+    return cut(dealt.mapInArrow(resolve_regions(percent, meeting), "a long, b long"))
+
+
+def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80, outside: Callable[[Column], Column] | None = None,
+            meeting=None) -> DataFrame:
+    """All links (a, b) inside the cells, up to connectivity.
+
+    ``cells``: (cell, id) or (cell, id, n); ``sets``: id, n, arr, rows of an id may
+    repeat.  ``outside``: if a set's cells are all its elements of a window of one
+    global order, the number of its elements outside the window, by its size;
+    common cells then bound a pair's overlap before whole sets are compared.
+    ``meeting`` gives tasks the same rule, as functions of a set's array and of
+    sizes; then ``cells`` must hold n.
+    """
+    small, large = split_regions(cells)
+    links = links_in_tasks(small, sets, percent, meeting)
+    large = cut(large)
     if large.isEmpty():
         return links
     some = bounded(large)
     own = cut(sets.join(some, "id").groupBy("id").agg(F.first("n").alias("n"), F.first("arr").alias("arr")))
     left = cells.join(some, "id").select("cell", "id").join(bounded(own.select("id", "n")), "id")
-    return links.union(rounds(left, own, percent, outside))
+    return links.union(rounds(left, own, percent, outside, meeting))
 
 
-def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[Column], Column] | None) -> DataFrame:
-    """Links inside cells of large regions: (cell, id, n), and one row of ``sets`` for each id."""
+def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[Column], Column] | None, meeting=None) -> DataFrame:
+    """Links inside cells of large regions: (cell, id, n), and one row of ``sets`` for each id.
+
+    With ``meeting``, what a round leaves is cut into regions again, and those
+    that became small are resolved in tasks.
+    """
     eps = 1 - percent / 100 + 1e-9
     spark = cells.sparkSession
     links = spark.createDataFrame([], "a long, b long")
@@ -325,6 +398,10 @@ def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[C
                 .select("cell", "id", "n", "d0", "comp"))
         many = rest.groupBy("cell").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("cell")
         cells = cut(rest.join(many, "cell"))
+        if meeting is not None:
+            small, large = split_regions(cells)
+            links = cut(links.union(links_in_tasks(small, sets, percent, meeting)))
+            cells = cut(cells.join(bounded(cut(large)), "id"))
         if cells.isEmpty():
             break
         first, k = False, 2 if first else 2 * k
