@@ -32,7 +32,7 @@ LEAST_BUCKETS = 64
 MANY = np.uint32(1 << 31)
 FILTER_BITS = 1 << 26
 REGION_SETS = 256
-REGION_SHINGLES = 16_000_000  # of a region whose sets meet by their windows: 128 MB in its task
+REGION_SHINGLES = 1 << 25  # of a region whose sets meet by their windows: 256 MB in its task
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
 
 
@@ -239,10 +239,12 @@ def links_by_windows(ids: list[int], sets: list[np.ndarray], percent: int, windo
     """
     size = np.array([len(s) for s in sets])
     windows = [window_of(s) for s in sets]
-    flat = np.concatenate(windows)
-    owner = np.repeat(np.arange(len(sets)), [len(w) for w in windows])
-    order = np.argsort(flat, kind="stable")
-    flat, owner = flat[order], owner[order]
+    own = np.cumsum([0] + [len(w) for w in windows])
+    mine = np.concatenate(windows)
+    del windows
+    order = np.argsort(mine, kind="stable")
+    flat, owner = mine[order], np.repeat(np.arange(len(sets), dtype=np.int32), np.diff(own))[order]
+    del order
     begin = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
     stop = np.append(begin[1:], len(flat))
     keys = flat[begin]
@@ -252,7 +254,7 @@ def links_by_windows(ids: list[int], sets: list[np.ndarray], percent: int, windo
     for p in range(len(ids) - 1):
         if groups == 1:
             break
-        at = np.searchsorted(keys, windows[p])
+        at = np.searchsorted(keys, mine[own[p]:own[p + 1]])
         shared = np.bincount(np.concatenate([owner[begin[i]:stop[i]] for i in at.tolist()]), minlength=len(ids))
         meet = p + 1 + np.flatnonzero(shared[p + 1:])
         meet = meet[(group[meet] != group[p]) & (size[p] * 100 >= size[meet] * percent)]
