@@ -86,13 +86,17 @@ def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     inside = kind == 0
     start = inside.copy()
     start[1:] &= ~inside[:-1]
-    begin = ends[:-1][ends[:-1] < ends[1:]]
+    stop = inside.copy()
+    stop[:-1] &= ~inside[1:]
+    filled = ends[:-1] < ends[1:]
+    begin, last = ends[:-1][filled], ends[1:][filled] - 1
     start[begin] |= inside[begin]
+    stop[last] |= inside[last]
     at = np.flatnonzero(start)
-    offsets = np.append(np.cumsum(inside, dtype=np.int64)[at] - 1, np.count_nonzero(inside))
+    offsets = np.concatenate(([0], np.cumsum(np.flatnonzero(stop) + 1 - at)))
     words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[inside])])
     owner = np.searchsorted(ends, at, "right") - 1
-    piece = np.cumsum(kind == 2, dtype=np.int64)[at]
+    piece = np.searchsorted(np.flatnonzero(kind == 2), at)
     follows = np.zeros(len(at), bool)
     follows[:-1] = (owner[1:] == owner[:-1]) & (piece[1:] == piece[:-1])
     return words, owner, follows
@@ -175,9 +179,9 @@ def tile_counts(a: np.ndarray, b: np.ndarray, side: int = SIDE, dense: int = DEN
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
-def pair_counts(left: np.ndarray, right: np.ndarray, of_left: Head, of_right: Head) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs of ids and their counts."""
-    a, b = of_left.rank(left), of_right.rank(right)
+def pair_counts(left: np.ndarray, right: np.ndarray, a: np.ndarray, b: np.ndarray, of_left: Head,
+                of_right: Head) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of ids (ranks ``a`` and ``b``, or -1) and their counts."""
     ranked = (a >= 0) & (b >= 0)
     a, b, count = tile_counts(a[ranked], b[ranked])
     left, right = left[~ranked], right[~ranked]
@@ -210,7 +214,9 @@ def count_phrases(k: int, known: list, heads: list):
                     ok = span
                     ok[span] = filters[n].has(sig_n[span])
                     left = sig_n
-            found = pair_counts(left[:room][span], right[span], ranks[-1], ranks[0])
+            left, right, rank = left[:room][span], right[span], ranks[0].rank(sig)[number]
+            of_left = rank[:room][span] if k == 2 else ranks[-1].rank(left)
+            found = pair_counts(left, right, of_left, rank[k - 1:][span], ranks[-1], ranks[0])
             yield from sent([pa.array(x) for x in found], ["left", "right", "c"])
         trim()
 
