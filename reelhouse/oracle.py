@@ -366,6 +366,7 @@ SELECT imdb_id, title, reason FROM (
 UNION ALL SELECT 'crew', 1, tconst FROM crew_src
 UNION ALL SELECT 'films', 2, imdb_id FROM tmdb_raw WHERE vote_count > 3
 UNION ALL SELECT 'crew', 2, tconst FROM crew_raw WHERE directors <> ''"""
+    q["q_append_stored"] = q["q_append_columns"]
     q["q_view_stored"] = q["q_view_limited"]
     q["q_describe"] = dims + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS tbl, '{c}' AS column_name, '{text}' AS description, count({c}) AS filled FROM {t}"

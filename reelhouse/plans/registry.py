@@ -158,6 +158,7 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
         F.col("reason").isNotNull())
     q["q_replace_table"] = _replace_table
     q["q_release_switch"] = _release_switch
+    q["q_append_stored"] = _append_stored
     q["q_view_stored"] = _view_stored
     q["q_describe"] = _describe
     q["q_ref_scan"] = _ref_scan
@@ -205,6 +206,13 @@ def _release_switch(w: Warehouse) -> DataFrame:
     return reduce(DataFrame.union, rows)
 
 
+def _append_stored(w: Warehouse) -> DataFrame:
+    """Bronze films stored, then the raw rows with one column more appended to the stored table, read as one."""
+    layer = Releases(w.spark, _scratch(w.spark))
+    layer.replace("films", w.bronze.tmdb_raw, sort_by=["imdb_id"])
+    return layer.append("films", B.films_filtered(w.raw.films_src))
+
+
 def _view_stored(w: Warehouse) -> DataFrame:
     """Gold tables written once, the limited view stored as SQL text over them and read by name in another session."""
     root = _scratch(w.spark)
