@@ -376,4 +376,8 @@ UNION ALL SELECT 'crew', 2, tconst FROM crew_raw WHERE directors <> ''"""
 FROM (SELECT l_suppkey, l_orderkey, l_linenumber, CAST(l_quantity AS BIGINT) AS quantity,
              CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem) s
 WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, quantity, cents)"""
+    q["q_any_heavy"] = """SELECT t.l_orderkey, m.flags AS heavy, t.n AS rows
+FROM (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) t
+LEFT JOIN (SELECT l_orderkey, l_returnflag || l_linestatus AS flags, count(*) AS c FROM lineitem GROUP BY 1, 2) m
+  ON m.l_orderkey = t.l_orderkey AND 2 * m.c > t.n"""
     return q

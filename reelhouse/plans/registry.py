@@ -19,6 +19,7 @@ from reelhouse import oracle
 from reelhouse.functions.exprs import bucketize, popularity, surrogate_key
 from reelhouse.operators import quality
 from reelhouse.operators.clean import reject_reason
+from reelhouse.operators.heavy import any_heavy
 from reelhouse.operators.policy import REFERENCE_POLICY, project_for_role
 from reelhouse.operators.windows import file_row_id, find_hot_keys, lag_delta, lag_spread
 from reelhouse.plans import bronze as B
@@ -163,6 +164,8 @@ def _queries() -> dict[str, Callable[[Warehouse], DataFrame]]:
     q["q_describe"] = _describe
     q["q_ref_scan"] = _ref_scan
     q["q_lag_segments"] = _lag_segments
+    q["q_any_heavy"] = lambda w: any_heavy(
+        read_testdata(w.spark, w.sf_dir, "lineitem").withColumn("flags", F.concat("l_returnflag", "l_linestatus")), ["l_orderkey"], "flags")
     return q
 
 
