@@ -9,11 +9,16 @@ similarity asked for); paragraphs that collide in a band meet, exact Jaccard
 similarity of their shingle sets is verified, and connected components say
 which copies go: the smallest (doc_id, paragraph) of a component stays.
 
+A repeated paragraph whose neighbour in the text does not repeat is extended into
+that neighbour, word by word, as far as some other document's copy goes on alike;
+the row's span is the extended one.  ``cut_start`` and ``cut_end`` bound what goes:
+the paragraph, unless it is the one that stays, and of the extension the words that
+a document with a smaller id holds as well, so that one copy of every word stays.
+
 Edge cases: null texts have no paragraphs; paragraphs of fewer than ``RADIUS``
-+ 1 words (short texts and the ends of texts) take no part; a repeated paragraph is extended word by word into the
-text around it, as far as any other document's copy goes on alike, and matches of fewer than ``run_words`` words
-(stock lines) are not reported, unless neighbouring repeated paragraphs have as many together; nor are copies inside
-one document only; a null doc_id sorts before all others; rows
++ 1 words (short texts and the ends of texts) are only reached by extension; runs of neighbouring
+repeated paragraphs that have fewer than ``run_words`` words with their extensions (stock lines) are not
+reported; nor are copies inside one document only; a null doc_id sorts before all others; rows
 repeated under one id count as one document; an empty table gives an empty
 result.  Offsets are code points, end exclusive.
 """
@@ -25,18 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.llm.components import components
 from reelhouse.llm.jaccard import text_rows
-from reelhouse.llm.setjoin import LEAST_BUCKETS, key_filter, node_ids, resolve, shared_cells
-from reelhouse.llm.util import cut
+from reelhouse.llm.setjoin import LEAST_BUCKETS, bounded, key_filter, node_ids, resolve, shared_cells
+from reelhouse.llm.util import cut, drop_tables
 from reelhouse.llm.words import SHINGLE, WORD, mix, shingles, word_hashes
 
 RADIUS = 6
 PERCENT = 80
 RECALL = 0.995
-RUN_WORDS = 20  # an extended match, or neighbouring repeated paragraphs, count from this many words on
+MARGIN = RADIUS + 2  # a boundary depends on this many words after it, at most
+RUN_WORDS = 20  # neighbouring repeated paragraphs count from this many words on, extensions included
 TEXTS_PER_BUCKET = 4000
 SEEDS = [np.uint64(pow(0xD1342543DE82EF95, k, 1 << 64)) for k in range(1, 129)]
 
@@ -141,11 +147,17 @@ def wanted_sets(wanted):
     return run
 
 
-SPANS = "doc_id long, para long, start long, end long, n_words long, id long, before binary, after binary"
+SPANS = "doc_id long, th long, para long, start long, end long, first long, n_words long, id long"
+
+
+def batch_of(columns: list, schema: str) -> pa.RecordBatch:
+    """Rows of ``schema``'s columns: long, or arrays as they come."""
+    cols = [c if isinstance(c, pa.Array) else pa.array(c, pa.int64()) for c in columns]
+    return pa.RecordBatch.from_arrays(cols, names=[x.split(" ")[0] for x in schema.split(", ")])
 
 
-def spans_of(wanted, reach: int):
-    """Code-point spans of the paragraphs whose sequence the filter lets through, with ``reach`` words on either side (nearest first)."""
+def spans_of(wanted):
+    """Code-point spans and word numbers of the paragraphs whose sequence the filter lets through."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = wanted.value
@@ -158,66 +170,145 @@ def spans_of(wanted, reach: int):
                 continue
             ids = sequence_ids(*shingle_slices(words, first, length))
             begin = np.cumsum(counts) - counts
-            ids_of, texts, last, places, out = b.column(0).to_pylist(), b.column(1), -1, [], []
+            ids_of, ths, texts, last, places, out = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1), -1, [], []
             for i in np.flatnonzero(f.has(ids)).tolist():
                 t = int(text[i])
                 if t != last:
                     places, last = [m.span() for m in WORD.finditer(texts[t].as_py())], t
                 a = int(first[i] - begin[t])
                 z = a + int(length[i])
-                own = words[begin[t]:begin[t] + counts[t]]
-                out.append((ids_of[t], int(number[i]), places[a][0], places[z - 1][1], z - a, int(ids[i]),
-                            own[max(0, a - reach):a][::-1].tobytes(), own[z:z + reach].tobytes()))
+                out.append((ids_of[t], ths[t], int(number[i]), places[a][0], places[z - 1][1], a, z - a, int(ids[i])))
             if out:
-                cols = list(zip(*out))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols[:6]] + [pa.array(c, pa.binary()) for c in cols[6:]],
-                                                 names=[x.split(" ")[0] for x in SPANS.split(", ")])
+                yield batch_of(list(zip(*out)), SPANS)
 
     return run
 
 
-def chain(packed: bytes) -> list[int]:
-    """Hash of the first 0, 1, 2 ... words of a packed context."""
-    out = [0]
-    for x in np.frombuffer(packed, np.uint64).tolist():
-        out.append(hash((out[-1], x)))
+def side_keys(node: np.ndarray, side: int) -> np.ndarray:
+    """Signed 64-bit identity of one side (0 left, 1 right) of a paragraph."""
+    return mix(node.view(np.uint64) * np.uint64(2) + np.uint64(side)).view(np.int64)
+
+
+def contexts(words: np.ndarray, at: np.ndarray, sizes: np.ndarray, step: int) -> np.ndarray:
+    """Hash of the first 1, 2 ... ``sizes`` words from ``at`` on in the direction ``step``, for all in a row."""
+    begin = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.uint64)
+    h = np.zeros(len(at), np.uint64)
+    for k in range(int(sizes.max(initial=0))):
+        live = np.flatnonzero(sizes > k)
+        h[live] = mix(h[live] * np.uint64(0x9E3779B97F4A7C15) + words[at[live] + step * k])
+        out[begin[live] + k] = h[live]
     return out
 
 
-EXTENDED = "uid long, doc long, own boolean, key long"
+#: where the extension by 1, 2 ... words begins (left) or ends (right), and the hash of its words
+CONTEXTS = "key long, places array<long>, chain array<long>"
 
 
-def extended_keys(run_words: int):
-    """Keys of the matches of ``run_words`` words that hold a paragraph.
+def contexts_of(wanted):
+    """Contexts of the paragraph sides that the filter lets through.
 
-    A paragraph of n words needs run_words - n words more, i before it and the
-    rest after it.  Two copies share such a match if they share the key of one
-    i.  ``sizes`` are the short lengths in the component; ``own`` marks the keys
-    of the paragraph's own length.
+    A context goes to the end of the neighbouring paragraph and ``MARGIN`` words
+    on: a longer common extension would hold a whole common paragraph.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        f = wanted.value
         for b in batches:
-            out = []
-            for uid, doc, comp, n, fails, sizes, before, after in zip(*(c.to_pylist() for c in b.columns)):
-                left, right = chain(before), chain(after)
-                for size in sizes:
-                    d = run_words - size
-                    for i in range(max(0, d - len(right) + 1), min(d, len(left) - 1) + 1):
-                        out.append((uid, doc, fails and size == n, hash((comp, d, i, left[i], right[d - i]))))
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.bool_()),
-                                              pa.array(cols[3], pa.int64())], names=["uid", "doc", "own", "key"])
+            words, counts = word_hashes(b.column(0))
+            if not len(words):
+                continue
+            text, number, first, length = paragraphs(words, counts)
+            if not len(text):
+                continue
+            node = node_ids(b.column(1).to_numpy()[text], number)
+            begin = (np.cumsum(counts) - counts)[text]
+            stop, end = begin + counts[text], first + length
+            next_to = (text[1:] == text[:-1]) & (number[1:] == number[:-1] + 1)
+            low, high = begin.copy(), stop.copy()
+            low[1:][next_to] = np.maximum(begin[1:], first[:-1] - MARGIN)[next_to]
+            high[:-1][next_to] = np.minimum(stop[:-1], end[1:] + MARGIN)[next_to]
+            places_of = {}
+            for side, (at, sizes, step) in enumerate(((first - 1, first - low, -1), (end, high - end, 1))):
+                key = side_keys(node, side)
+                pick = np.flatnonzero(f.has(key) & (sizes > 0))
+                if not len(pick):
+                    continue
+                chain = contexts(words, at[pick], sizes[pick], step)
+                places = []
+                for i in pick.tolist():
+                    t = int(text[i])
+                    if t not in places_of:
+                        places_of[t] = np.array([m.span() for m in WORD.finditer(b.column(0)[t].as_py())])
+                    a = int(at[i] - begin[i])
+                    places.append(places_of[t][a:a + int(sizes[i]), 1] if side else places_of[t][a - int(sizes[i]) + 1:a + 1, 0][::-1])
+                offsets = np.concatenate(([0], np.cumsum(sizes[pick]))).astype(np.int32)
+                yield batch_of([key[pick], pa.ListArray.from_arrays(offsets, np.concatenate(places).astype(np.int64)),
+                                pa.ListArray.from_arrays(offsets, chain.view(np.int64))], CONTEXTS)
 
     return run
 
 
+def with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first columns th, para, side as the side's key, and the others as they are."""
+    for b in batches:
+        th, para, side = (b.column(i).to_numpy() for i in range(3))
+        node = node_ids(th, para)
+        key = np.where(side == 1, side_keys(node, 1), side_keys(node, 0))
+        yield pa.RecordBatch.from_arrays([pa.array(key), *b.columns[3:]], names=["key", *b.schema.names[3:]])
+
+
+def extensions(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """How far the runs of repeated paragraphs reach into the text around them, by text and run.
+
+    ``left``, ``right``: words and place (d, place) of the longest extension that
+    another document shares; ``left_lo``, ``right_lo``: of the longest that a
+    smaller id than the smallest holder (``lo0``, ``lo1``) of the text shares.
+
+    ``spans``: th, run, para, doc, comp, to_left, to_right (the neighbouring
+    paragraphs, if they repeat).  A run's first paragraph is open to the left, its last one to the right.  An open side meets
+    the other open sides of its component, and of the closed ones two for each
+    neighbour (of the smallest and the largest document): closed sides with one
+    neighbour go on alike.
+    """
+    spark = rows.sparkSession
+    sides = spans.select("comp", "doc", "th", "run", "para", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("to_left").alias("near")),
+        F.struct(F.lit(1).alias("side"), F.col("to_right").alias("near")))).alias("s")).select(
+            "comp", "doc", "th", "run", "para", "s.side", "s.near")
+    open_ = sides.filter("near is null").groupBy("comp", "side", "th", "run", "para").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    met = open_.select("comp", "side").distinct()
+    unit = F.struct("doc", "th", "run", "para")
+    closed = (sides.filter("near is not null").groupBy("comp", "side", "near").agg(F.min(unit).alias("x"), F.max(unit).alias("y"))
+              .join(met, ["comp", "side"], "left_semi")
+              .select("comp", "side", F.explode(F.array("x", "y")).alias("u"))
+              .groupBy("comp", "side", "u.th", "u.run", "u.para").agg(F.min("u.doc").alias("lo"), F.max("u.doc").alias("hi")))
+    units = open_.withColumn("open", F.lit(True)).unionByName(closed.withColumn("open", F.lit(False)))
+    units = units.select("th", "para", "side", F.col("th").alias("text"), "run", "side", "comp", "lo", "hi", "open")
+    units = cut(units.mapInArrow(with_keys, "key long, text long, run long, side int, comp long, lo long, hi long, open boolean"))
+    wanted = spark.sparkContext.broadcast(key_filter(units.select("key").distinct()))
+    found = rows.mapInArrow(contexts_of(wanted), CONTEXTS).dropDuplicates(["key"])  # equal texts have equal contexts
+    steps = cut(units.join(found, "key").select(
+        "text", "run", "side", "comp", "lo", "hi", "open", F.posexplode(F.arrays_zip("places", "chain")).alias("d", "x")).select(
+            "text", "run", "side", "lo", "hi", "open", (F.col("d") + 1).alias("d"), F.col("x.places").alias("place"),
+            F.xxhash64("comp", "side", "d", "x.chain").alias("step")))
+    shared = (steps.groupBy("step").agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.bool_or("open").alias("met"))
+              .filter("least <> most and met").select("step", "least"))
+    at = F.struct("d", "place")
+    met = steps.filter("open").join(shared, "step")
+    pick = [F.max(F.when(F.col("side") == side, x)).alias(name) for side, name, x in (
+        (0, "left", at), (1, "right", at), (0, "left_lo", F.when(F.col("least") < F.col("lo"), at)),
+        (1, "right_lo", F.when(F.col("least") < F.col("lo"), at)), (0, "lo0", F.col("lo")), (1, "lo1", F.col("lo")))]
+    return met.groupBy(F.col("text").alias("th"), "run").agg(*pick)
+
+
 def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float = RECALL,
                         run_words: int = RUN_WORDS) -> DataFrame:
     """Every paragraph that repeats in another document.
 
-    doc_id, para (its number), start, end, n_words, component_id (smallest
-    doc_id that holds it), n_copies, removed (all but the component's first).
+    doc_id, para (its number), start, end and n_words (of the extended match),
+    component_id (smallest doc_id that holds it), n_copies, removed (all but the
+    component's first), cut_start, cut_end (what goes, if it is removed).
     """
     spark = docs.sparkSession
     bands, rows_of_band = tune_bands(percent / 100, recall)
@@ -230,35 +321,52 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     ids = cut(members.select("id").distinct())
     links = resolve(members, found.filter("arr is not null").select("id", "n", "arr"), percent)
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
+    comp = cut(comp)
+    drop_tables(cells, members)
     repeated = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
-    text = F.coalesce(F.col("text"), F.lit("")).alias("text")
-    spans = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).mapInArrow(spans_of(repeated, max(0, run_words - RADIUS - 1)), SPANS)
-    spans = cut(spans.join(comp, "id").drop("id"))
+    text = F.coalesce(F.col("text"), F.lit(""))
     doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    groups = (spans.groupBy("comp").agg(F.min(F.struct("doc_id", "para")).alias("stays"), F.count("*").alias("n_copies"),
-                                        F.min(doc).alias("lo"), F.max(doc).alias("hi"))
-              .filter("lo <> hi").drop("lo", "hi"))
-    spans = spans.join(groups, "comp")
-    by_doc = Window.partitionBy("doc_id")  # a document's own paragraphs
-    run = F.col("para") - F.dense_rank().over(by_doc.orderBy("para"))
-    spans = cut(spans.withColumn("__run", run).withColumn(
-        "__words", F.sum("n_words").over(Window.partitionBy("doc_id", "__run")))
-        .withColumn("uid", F.xxhash64(doc, "para", "start", "end", "comp")).drop("__run"))
-    fails = F.col("__words") < run_words
-    sizes = spans.filter(fails).groupBy("comp").agg(F.collect_set("n_words").alias("sizes"))  # at most run_words values
-    keys = cut(spans.join(sizes, "comp").select("uid", doc.alias("doc"), "comp", "n_words", fails, "sizes", "before", "after")
-               .mapInArrow(extended_keys(run_words), EXTENDED))
-    met = keys.groupBy("key").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).filter("lo <> hi").select("key")
-    long = keys.filter("own").join(met, "key").select("uid").distinct().withColumn("__long", F.lit(True))
-    spans = spans.join(long, "uid", "left").filter(~fails | F.col("__long"))
-    return spans.select(
-        "doc_id", "para", "start", "end", "n_words", F.col("stays.doc_id").alias("component_id"), "n_copies",
-        (~F.struct("doc_id", "para").eqNullSafe(F.col("stays"))).alias("removed"))
+    spans = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
+                .mapInArrow(spans_of(repeated), SPANS).withColumn("doc", doc))
+    by_id = spans.groupBy("id").agg(F.min(F.struct("doc", "th", "para")).alias("stays"), F.count("*").alias("n_copies"),
+                                    F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    groups = (by_id.join(comp, "id").groupBy("comp").agg(F.min("stays").alias("stays"), F.sum("n_copies").alias("n_copies"),
+                                                         F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter("lo <> hi"))
+    known = cut(comp.join(groups, "comp").select("id", "comp", "stays", "n_copies"))
+    by_text = Window.partitionBy("th", "doc")  # a document's own paragraphs
+    order = by_text.orderBy("para")
+    near = {name: F.min("id").over(order.rangeBetween(k, k)) for name, k in (("to_left", -1), ("to_right", 1))}
+    in_run = Window.partitionBy("th", "doc", "__run")
+    whole = spans
+    spans = cut(whole.join(bounded(known), "id").withColumns(near).withColumn("__run", F.col("para") - F.dense_rank().over(order))
+                .withColumns({"run": F.min("para").over(in_run),
+                              "words": F.max(F.col("first") + F.col("n_words")).over(in_run) - F.min("first").over(in_run)})
+                .drop("__run", "id", "first"))
+    drop_tables(whole, found, known)
+    reach = cut(extensions(rows, spans))
+    out = spans.join(reach, ["th", "run"], "left")
+    words = F.col("words") + sum(F.coalesce(F.col(f"{x}.d"), F.lit(0)) for x in ("left", "right"))
+    removed = ~F.struct("doc", "th", "para").eqNullSafe(F.col("stays"))
+
+    def end_of(own: str, side: str, lo: str, closed: str) -> tuple[Column, Column]:
+        """Where a row's match ends, and where what goes of it ends."""
+        gone = F.when(F.col("doc") > F.col(lo), F.col(f"{side}.place")).otherwise(F.col(f"{side}_lo.place"))
+        far, gone = (F.when(F.col(closed).isNull(), x) for x in (F.col(f"{side}.place"), gone))
+        return F.coalesce(far, own), F.when(removed, F.coalesce(gone, own))
+
+    start, cut_start = end_of("start", "left", "lo0", "to_left")
+    end, cut_end = end_of("end", "right", "lo1", "to_right")
+    more = sum(F.when(F.col(closed).isNull(), F.coalesce(F.col(f"{side}.d"), F.lit(0))).otherwise(0)
+               for side, closed in (("left", "to_left"), ("right", "to_right")))
+    smallest = F.when(F.col("stays.doc") != -(1 << 63), F.col("stays.doc"))
+    return out.filter(words >= run_words).select(
+        "doc_id", "para", start.alias("start"), end.alias("end"), (F.col("n_words") + more).alias("n_words"),
+        smallest.alias("component_id"), "n_copies", removed.alias("removed"), cut_start.alias("cut_start"), cut_end.alias("cut_end"))
 
 
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """``docs`` (unique ids) without the removed spans."""
-    cuts = (spans.filter("removed").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__cuts"))
+    cuts = (spans.filter("removed").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct(F.col("cut_start").alias("start"), F.col("cut_end").alias("end")))).alias("__cuts"))
             .withColumnRenamed("doc_id", "__id"))  # a document's own spans: bounded by its text
 
     def upto(acc, c):

@@ -82,7 +82,16 @@ def cut(df: DataFrame) -> DataFrame:
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def drop_tables(*frames: DataFrame) -> None:
+    """Delete the tables of ``cut`` frames that nothing reads any more (what came of them is cut itself)."""
+    for df in frames:
+        at = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(df._cut_path)
+        at.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], list], fields: list[T.StructField],
