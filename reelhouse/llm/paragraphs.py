@@ -147,6 +147,11 @@ def wanted_sets(wanted):
     return run
 
 
+def whole_sets_meet():
+    """A region's sets meet by all of their shingles: (window of a set, number of its shingles outside)."""
+    return (lambda s: s), np.zeros_like
+
+
 SPANS = "doc_id long, th long, para long, start long, end long, first long, n_words long, id long"
 
 
@@ -317,9 +322,11 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     cells = cut(shared_cells(rows, band_keys(bands, rows_of_band), buckets))
     wanted = spark.sparkContext.broadcast(key_filter(cells.select(F.col("node").alias("key")).distinct()))
     found = cut(rows.mapInArrow(wanted_sets(wanted), "node long, id long, n long, arr array<long>"))
-    members = cut(cells.select("cell", "node").join(found.select("node", "id").distinct(), "node").select("cell", "id").distinct())
+    sets = found.filter("arr is not null").select("id", "n", "arr")
+    members = cells.select("cell", "node").join(found.select("node", "id").distinct(), "node").select("cell", "id").distinct()
+    members = cut(members.join(sets.select("id", "n").distinct(), "id"))
     ids = cut(members.select("id").distinct())
-    links = resolve(members, found.filter("arr is not null").select("id", "n", "arr"), percent)
+    links = resolve(members, sets, percent, meeting=whole_sets_meet)
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     comp = cut(comp)
     drop_tables(cells, members)
