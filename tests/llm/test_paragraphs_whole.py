@@ -73,7 +73,8 @@ def test_whole_passages_are_covered_and_one_copy_of_every_word_stays(docs):
     for doc, p in passages.items():
         if doc % 1000 < 300:
             assert left[doc] == set(texts[doc].split())
-        assert len(set(texts[doc].split()) - set(p) - left[doc]) <= 3
+        gone = set(texts[doc].split()) - left[doc]  # near copies at both ends may hold words beside the passage
+        assert len(gone - set(p)) <= 0.25 * len(gone)
 
 
 def test_of_an_extension_that_two_of_three_share_one_copy_stays(docs):
