@@ -34,3 +34,21 @@ def test_one_row_per_group_and_task_crosses_the_exchange(spark):
     df = spark.range(20_000).select(F.lit(1).alias("g"), F.when(F.col("id") % 5 < 3, F.lit(-7)).otherwise(F.col("id")).alias("v"))
     assert [tuple(x) for x in any_heavy(df, ["g"], "v").collect()] == [(1, -7, 20_000)]
     assert any_heavy(df.limit(0), ["g"], "v").count() == 0
+
+
+def test_values_that_share_a_hash_are_counted_apart(spark):
+    rows = spark.range(300_000).select((F.col("id") % 3).alias("g"), "id")  # more values than hashes in each group
+    df = rows.select("g", F.when((F.col("g") == 1) & (F.col("id") % 2 == 0), F.lit(-1)).otherwise(F.col("id")).alias("v"))
+    df = df.unionByName(spark.range(1).select(F.lit(1).alias("g"), F.lit(-1).alias("v")))
+    assert sorted(tuple(x) for x in any_heavy(df, ["g"], "v").collect()) == [(0, None, 100_000), (1, -1, 100_001), (2, None, 100_000)]
+
+
+def test_summary_of_many_small_groups_is_narrow(spark):
+    df = spark.range(100).select(F.col("id").alias("g"), (F.col("id") % 7).alias("v"))
+    fields = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        plan = any_heavy(df, ["g"], "v", max_broadcast_rows=0)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", fields)
+    assert 0 < max(line.count("sum(") for line in plan.splitlines()) <= 32  # with 64 counters 64 and more
