@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
@@ -46,6 +47,10 @@ GATHER_BYTES = 16 * 1024 * 1024
 K1, B = 1.2, 0.75
 #: The vocabulary's pre-tokenizer pattern (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The same over lower-cased words of printable Latin characters, and such words (below U+0250, where nothing
+#: composes and letters fold one by one, but for the dotted capital I).
+LATIN_PATTERN = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{L}\p{N}]+)"
+LATIN_WORD = r"^[\x{21}-\x{7e}\x{a1}-\x{12f}\x{131}-\x{24f}]+$"
 
 
 class Cache:
@@ -112,6 +117,64 @@ class WordTokenizer:
             self.parts.put(s, ids)
         return ids
 
+    def ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        found = list(map(self.parts.young.get, parts))
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = self.part(parts[i])
+        return found
+
+    def ids_of_words(self, words: list[bytes]) -> list[bytes]:
+        found = list(map(self.words.get, words))
+        for i, ids in enumerate(found):
+            if ids is None:
+                found[i] = self.word(words[i])
+                self.words.put(words[i], found[i])
+        return found
+
+    def spell(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, place of each word's first, their number) of distinct words.
+
+        Latin words are lower-cased and cut into pre-tokens together, each distinct pre-token is encoded
+        once; the other words are encoded one by one.
+        """
+        plain = pc.match_substring_regex(words, LATIN_WORD).to_numpy(zero_copy_only=False)
+        plain = plain & ~pc.match_substring(words, "<|").to_numpy(zero_copy_only=False) if self.direct else np.zeros(len(words), bool)
+        low = pc.utf8_lower(words.filter(pa.array(plain)))
+        stems = pc.utf8_rtrim(low, ".,")
+        marks = pc.subtract(pc.binary_length(low), pc.binary_length(stems)).to_numpy(zero_copy_only=False)
+        easy = pc.utf8_is_alpha(stems).to_numpy(zero_copy_only=False) & (marks < 2)  # letters, perhaps one mark behind them
+        marked = marks[easy] == 1
+        lists = pc.ascii_split_whitespace(pc.replace_substring_regex(low.filter(pa.array(~easy)), LATIN_PATTERN, r"\1 "))
+        n_rest = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+        keep = np.ones(int(n_rest.sum()), bool)
+        keep[np.cumsum(n_rest) - 1] = False  # each word ends with a separator, behind which is nothing
+        ends_of = pc.utf8_slice_codeunits(low.filter(pa.array(easy)).filter(pa.array(marked)), -1)
+        enc = pa.concat_arrays([stems.filter(pa.array(easy)), ends_of, lists.flatten()]).dictionary_encode()
+        got = enc.indices.to_numpy(zero_copy_only=False)
+        n = np.concatenate((1 + marked, n_rest - 1))  # pre-tokens of the easy words, then of the rest
+        codes = np.empty(int(n.sum()), np.int64)
+        first = np.cumsum(1 + marked) - 1 - marked
+        codes[first], codes[first[marked] + 1] = got[:len(marked)], got[len(marked):len(marked) + len(ends_of)]
+        codes[len(marked) + len(ends_of):] = got[len(marked) + len(ends_of):][keep]
+        of = np.flatnonzero(plain)
+        of = np.concatenate((of[easy], of[~easy]))
+        parts = self.ids_of_parts(enc.dictionary.to_pylist())
+        others = self.ids_of_words(words.filter(pa.array(~plain)).cast(pa.large_binary()).to_pylist())
+        del low, stems, lists, enc, got, keep
+        width = self.kind.itemsize
+        sizes = np.fromiter(map(len, parts), np.int64, len(parts)) // width
+        length = sizes[codes]
+        ends = np.cumsum(length)
+        place = np.repeat((np.cumsum(sizes) - sizes)[codes] - (ends - length), length) + np.arange(int(ends[-1]) if len(ends) else 0)
+        table = np.concatenate((np.frombuffer(b"".join(parts), self.kind)[place], np.frombuffer(b"".join(others), self.kind)))
+        size, begin = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        size[of] = np.diff(np.append(0, ends)[np.append(0, np.cumsum(n))])
+        begin[of] = np.cumsum(size[of]) - size[of]
+        size[~plain] = np.fromiter(map(len, others), np.int64, len(others)) // width
+        begin[~plain] = len(place) + np.cumsum(size[~plain]) - size[~plain]
+        return table, begin.astype(np.int32), size.astype(np.int32)
+
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of whole texts; each distinct word of the batch is looked up once."""
         flat, counts = word_lists(texts, lower=False)
@@ -119,18 +182,8 @@ class WordTokenizer:
             return [np.zeros(0, self.kind)] * len(texts)
         enc = flat.dictionary_encode()
         codes = enc.indices.to_numpy(zero_copy_only=False)
-        distinct = enc.dictionary.cast(pa.large_binary()).to_pylist()
-        found = list(map(self.words.young.get, distinct))
-        for i, ids in enumerate(found):
-            if ids is None:
-                w = distinct[i]
-                ids = found[i] = self.words.old.get(w) or self.word(w)
-                self.words.put(w, ids)
-        del distinct
-        size = np.fromiter(map(len, found), np.int32, len(found)) // self.kind.itemsize
-        begin = np.cumsum(size, dtype=np.int32) - size
-        table = np.frombuffer(b"".join(found), self.kind)
-        del found, flat, enc
+        table, begin, size = self.spell(enc.dictionary)
+        del flat, enc
         out, at = [], 0
         for block in np.array_split(counts, max(1, len(codes) // 200_000)):
             words = codes[at:at + int(block.sum())]
@@ -198,6 +251,7 @@ class Corpus:
 
     def __init__(self, df: np.ndarray, n: int, tokens: int):
         self.df, self.n, self.mean = df, n, max(tokens / max(n, 1), 1)
+        self.idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
 
     @classmethod
     def of(cls, items: list[np.ndarray]) -> Corpus:
@@ -207,8 +261,7 @@ class Corpus:
         return cls(df, len(items), sum(map(len, items)))
 
     def weights(self, terms: np.ndarray, tf: np.ndarray, lengths) -> np.ndarray:
-        df = self.df[terms]
-        return np.log(1 + (self.n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / self.mean))
+        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths / self.mean))
 
     def route(self, ids: np.ndarray) -> bytes:
         """The item's heaviest terms that another item holds too, heaviest first, four bytes each."""
@@ -293,6 +346,7 @@ class Index:
         self.begin = np.searchsorted(item, np.arange(self.n + 1))
         self.place, self.n_terms = place, len(terms)
         self.live = (item, place, weight)
+        self.room = np.empty(len(place))
         self.cut_live(np.ones(self.n, bool))
 
     def cut_live(self, free: np.ndarray) -> None:
@@ -312,7 +366,8 @@ class Index:
             query = np.zeros(self.n_terms)
             query[self.place[self.begin[seed]:self.begin[seed + 1]]] = 1
             _, place, weight = self.live
-            scores[self.owner] = np.add.reduceat(weight * query[place], self.first)
+            met = np.take(query, place, out=self.room[:len(place)], mode="clip")
+            scores[self.owner] = np.add.reduceat(np.multiply(weight, met, out=met), self.first)
         scores[~free] = 0
         found = np.flatnonzero(scores)
         order = np.argsort(-scores[found], kind="stable")
@@ -344,20 +399,23 @@ def pack_shard(ids: list[np.ndarray], window: int, corpus: Corpus | None = None)
             break
         seed = int(order[pos])
         at = place(seed, int(min(left[seed], window)), 0, 0.0)
-        found, scores = index.neighbours(seed, free) if at < window else ((), ())
-        for i, s in zip(found, scores):
-            if left[i] <= window - at and free[i]:
-                at = place(int(i), int(left[i]), at, float(s))
-                if at == window:
-                    break
+        found, scores = index.neighbours(seed, free) if at < window else (np.zeros(0, np.int64), np.zeros(0))
+        sizes, next_one = left[found], 0  # neighbours are free; each is met once, best first
+        while at < window and next_one < len(sizes):
+            fitting = sizes[next_one:] <= window - at
+            step = int(fitting.argmax())
+            if not fitting[step]:
+                break
+            k = next_one + step
+            at, next_one = place(int(found[k]), int(sizes[k]), at, float(scores[k])), k + 1
         while at < window:
             fits = np.flatnonzero(free & (left <= window - at))
             if len(fits):
                 i = int(fits[np.argmax(left[fits])])
                 at = place(i, int(left[i]), at, 0.0)
                 continue
-            near = [i for i in found if free[i]][:1] or list(np.flatnonzero(free)[:1])
-            if not near:
+            near = found[free[found]][:1] if free[found].any() else np.flatnonzero(free)[:1]
+            if not len(near):
                 break
             at = place(int(near[0]), window - at, at, 0.0)
         sequence += 1
