@@ -43,7 +43,9 @@ BUCKET_BYTES = 28_000_000  # of text: about 4 million tokens
 SAMPLE_DOCS = 2000
 MAX_HOT = 1024
 FLUSH_TOKENS = 1_800_000
+FLUSH_TEXT = 2_000_000  # bytes of text whose words are counted at a time: a worker's arrays take many times as much
 FLUSH_DOCS = 60_000
+BLOCK = 200_000
 PART_TOKENS = 500_000
 
 
@@ -90,10 +92,14 @@ def bigrams(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def bucket_of(plan: Plan, before: np.ndarray, token: np.ndarray) -> np.ndarray:
-    h = mix(before)
-    spread = lookup(plan.hot, before)[0]
-    h[spread] = pair_key(before[spread], token[spread])
-    return (h % np.uint64(plan.n_buckets)).astype(np.int64)
+    out = np.empty(len(before), np.int32)
+    for at in range(0, len(before), BLOCK):  # in blocks: the steps between take several times the result's memory
+        s = slice(at, at + BLOCK)
+        h = mix(before[s])
+        spread = lookup(plan.hot, before[s])[0]
+        h[spread] = pair_key(before[s][spread], token[s][spread])
+        out[s] = h % np.uint64(plan.n_buckets)
+    return out
 
 
 # --- unigrams -------------------------------------------------------------------------------------------------
@@ -120,13 +126,16 @@ def count_words(sent):
             if not len(flat):
                 return
             enc = flat.dictionary_encode()
+            del texts, flat
             codes = enc.indices.to_numpy(zero_copy_only=False)
             hashes = hashes_of(enc.dictionary)
             doc, before, token = bigrams(hashes[codes], counts)
             word = token != END
-            asked = codes.astype(np.int64) * plan.n_buckets + bucket_of(plan, before[word], token[word])
             c = np.bincount(codes, weights=train[doc[word]], minlength=len(hashes)).astype(np.int64)
-            del flat, codes, doc, before, token, word
+            del doc
+            before, token = before[word], token[word]
+            asked = codes.astype(np.int64) * plan.n_buckets + bucket_of(plan, before, token)
+            del before, token, word, codes
             asked = np.unique(asked)
             code, place = asked // plan.n_buckets, asked % plan.n_buckets
             group = code * (plan.n_buckets // 32 + 1) + place // 32
@@ -144,7 +153,7 @@ def count_words(sent):
         for b in batches:
             held.append((b.column(0).cast(pa.large_string()), b.column(1).to_numpy(zero_copy_only=False)))
             n += b.column(0).nbytes
-            if n > 2 * FLUSH_TOKENS:
+            if n > FLUSH_TEXT:
                 yield from flush()
                 trim()
         if held:
@@ -298,7 +307,13 @@ def send_tokens(sent):
             rk = np.concatenate([h[0] for h in held])
             train = np.concatenate([h[1] for h in held])
             doc = np.concatenate([h[2] + np.int32(b) for h, b in zip(held, base)])
-            before, token = (np.concatenate([h[i] for h in held]) for i in (3, 4))
+            del base
+            for h in held:
+                h[2] = None
+            before = np.concatenate([h[3] for h in held])
+            for h in held:
+                h[3] = None
+            token = np.concatenate([h[4] for h in held])
             held, n, docs = [], 0, 0
             if len(plan.pair_keys):
                 frequent, at = lookup(plan.pair_keys, pair_key(before, token))
@@ -309,24 +324,28 @@ def send_tokens(sent):
                     yield message([(b, "pairs", rk[used].tobytes(), small(place), small(key % len(plan.pair_keys)), small(times), b"")])
                     doc, before, token = doc[~frequent], before[~frequent], token[~frequent]
             bucket = bucket_of(plan, before, token)
-            order = np.lexsort((before, bucket))
-            doc, before, token, bucket = doc[order], before[order], token[order], bucket[order]
-            cuts = np.searchsorted(bucket, np.arange(plan.n_buckets + 1))
-            for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):
+            order = np.argsort(bucket, kind="stable").astype(np.int32)
+            cuts = np.searchsorted(bucket, np.arange(plan.n_buckets + 1), sorter=order)
+            del bucket
+            for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:])):  # a bucket's tokens are ordered by themselves: no copy of all
                 if j > i:
-                    first = np.flatnonzero(np.concatenate(([True], before[i + 1:j] != before[i:j - 1])))
-                    run_of = pack_sorted(before[i:j][first]) + small(np.diff(np.append(first, j - i)))
+                    own = order[i:j]
+                    own = own[np.argsort(before[own], kind="stable")]
+                    context = before[own]
+                    first = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+                    run_of = pack_sorted(context[first]) + small(np.diff(np.append(first, j - i)))
                     head = len(first).to_bytes(4, "little")
-                    tokens, code = np.unique(token[i:j], return_inverse=True)
-                    used, place = np.unique(doc[i:j], return_inverse=True)
+                    tokens, code = np.unique(token[own], return_inverse=True)
+                    used, place = np.unique(doc[own], return_inverse=True)
                     yield message([(b, "tokens", head + run_of, pack_sorted(tokens), small(code),
                                     rk[used].tobytes() + np.packbits(train[used]).tobytes(), small(place))])
 
         for b in batches:
             words, counts = word_hashes(b.column(0))
             doc, before, token = bigrams(words, counts)
-            held.append((b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False), doc, before, token))
-            n, docs = n + len(token), docs + len(counts)
+            held.append([b.column(1).to_numpy(), b.column(2).to_numpy(zero_copy_only=False), doc, before, token])
+            del words, doc, before, token, b
+            n, docs = n + len(held[-1][4]), docs + len(counts)
             if n > FLUSH_TOKENS or docs > FLUSH_DOCS:
                 yield from flush()
                 trim()
