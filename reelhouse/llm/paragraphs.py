@@ -36,7 +36,7 @@ from reelhouse.llm.components import components
 from reelhouse.llm.jaccard import text_rows
 from reelhouse.llm.setjoin import LEAST_BUCKETS, bounded, key_filter, node_ids, resolve, shared_cells
 from reelhouse.llm.util import cut, drop_tables
-from reelhouse.llm.words import SHINGLE, WORD, mix, shingles, word_hashes
+from reelhouse.llm.words import SHINGLE, mix, shingles, word_hashes, word_spans
 
 RADIUS = 6
 PERCENT = 80
@@ -57,18 +57,19 @@ def paragraphs(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.nd
     n = len(words)
     owner = np.repeat(np.arange(len(counts)), counts)
     begin = np.cumsum(counts) - counts
-    none = np.full(n + (len(counts) + 1) * RADIUS, np.iinfo(np.uint64).max)
+    padded = np.full(n + (len(counts) + 1) * RADIUS, np.iinfo(np.uint64).max)  # RADIUS places around each text
     gram = np.zeros(n, np.uint64)
     for k in range(3):
         gram[:n - k or None] += words[k:] * SEEDS[k]
     gram = mix(gram) >> np.uint64(1)
     place = np.arange(n) + (owner + 1) * RADIUS
     inside = np.arange(n) + 2 < (begin + counts)[owner]
-    none[place[inside]] = gram[inside]
-    own = none[place]
-    edge = inside.copy()
-    for d in range(1, RADIUS + 1):
-        edge &= (own < none[place - d]) & (own <= none[np.minimum(place + d, len(none) - 1)])
+    padded[place[inside]] = gram[inside]
+    least = padded  # of the RADIUS places from each on
+    for d in range(1, RADIUS):
+        least = np.minimum(least[:-1], padded[d:])
+    own = padded[RADIUS:-RADIUS]
+    edge = ((own < least[:len(own)]) & (own <= least[RADIUS + 1:]))[place - RADIUS]
     edge[begin[counts > 0]] = True
     first = np.flatnonzero(edge)
     text = owner[first]
@@ -108,6 +109,8 @@ def bands_of(s: np.ndarray, begin: np.ndarray, bands: int, rows: int) -> np.ndar
 
 
 def band_keys(bands: int, rows: int):
+    """Band keys of a batch's paragraphs; a cell's member is a word sequence, wherever it stands."""
+
     def keys_of(b: pa.RecordBatch):
         words, counts = word_hashes(b.column(0))
         none = np.zeros(0, np.int64)
@@ -116,35 +119,25 @@ def band_keys(bands: int, rows: int):
             return none, none, none, none.astype(np.uint64), none, None
         s, begin = shingle_slices(words, first, length)
         keys = bands_of(s, begin, bands, rows)
-        return b.column(1).to_numpy()[text], number, sequence_ids(s, begin), keys.ravel(), np.repeat(np.arange(len(text)), bands), None
+        ids = sequence_ids(s, begin)
+        return ids, np.zeros(len(ids), np.int64), ids, keys.ravel(), np.repeat(np.arange(len(ids)), bands), None
 
     return keys_of
 
 
-def wanted_sets(wanted):
-    """(node, id, n, arr) of the paragraphs whose node the filter lets through; ``arr`` once for each id of a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f, done = wanted.value, set()
-        for b in batches:
-            words, counts = word_hashes(b.column(0))
-            if not len(words):
-                continue
-            text, number, first, length = paragraphs(words, counts)
-            node = node_ids(b.column(1).to_numpy()[text], number)
-            pick = np.flatnonzero(f.has(node)) if len(node) else []
-            if not len(pick):
-                continue
-            s, begin = shingle_slices(words, first[pick], length[pick])
-            ids = sequence_ids(s, begin)
-            sets = []
-            for i, x in zip(ids.tolist(), np.split(s, begin[1:])):
-                sets.append(None if i in done else np.unique(x).view(np.int64))
-                done.add(i)
-            yield pa.RecordBatch.from_arrays([pa.array(node[pick]), pa.array(ids), pa.array([None if x is None else len(x) for x in sets], pa.int64()),
-                                              pa.array(sets, pa.list_(pa.int64()))], names=["node", "id", "n", "arr"])
-
-    return run
+def distinct_in(s: np.ndarray, begin: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Number of distinct shingles of each ``new`` paragraph, and the shingles (null: of the others)."""
+    sizes = np.diff(np.append(begin, len(s)))
+    owner = np.repeat(np.arange(len(begin)), sizes)
+    mine = new[owner]
+    s, owner = s[mine], owner[mine]
+    order = np.lexsort((s, owner))
+    s, owner = s[order], owner[order]
+    first = np.ones(len(s), bool)
+    first[1:] = (s[1:] != s[:-1]) | (owner[1:] != owner[:-1])
+    n = np.bincount(owner[first], minlength=len(begin))
+    offsets = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
+    return n, pa.ListArray.from_arrays(pa.array(offsets), pa.array(s[first].view(np.int64)), mask=pa.array(~new))
 
 
 def whole_sets_meet():
@@ -152,7 +145,7 @@ def whole_sets_meet():
     return (lambda s: s), np.zeros_like
 
 
-SPANS = "doc_id long, th long, para long, start long, end long, first long, n_words long, id long"
+SPANS = "doc_id long, th long, para long, start long, end long, first long, n_words long, id long, n long, arr array<long>"
 
 
 def batch_of(columns: list, schema: str) -> pa.RecordBatch:
@@ -162,10 +155,13 @@ def batch_of(columns: list, schema: str) -> pa.RecordBatch:
 
 
 def spans_of(wanted):
-    """Code-point spans and word numbers of the paragraphs whose sequence the filter lets through."""
+    """Code-point spans and word numbers of the paragraphs whose sequence the filter lets through.
+
+    ``arr``, its distinct shingles, and their number ``n`` come once for each sequence of a task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = wanted.value
+        f, done = wanted.value, set()
         for b in batches:
             words, counts = word_hashes(b.column(1))
             if not len(words):
@@ -173,18 +169,24 @@ def spans_of(wanted):
             text, number, first, length = paragraphs(words, counts)
             if not len(text):
                 continue
-            ids = sequence_ids(*shingle_slices(words, first, length))
-            begin = np.cumsum(counts) - counts
-            ids_of, ths, texts, last, places, out = b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(1), -1, [], []
-            for i in np.flatnonzero(f.has(ids)).tolist():
-                t = int(text[i])
-                if t != last:
-                    places, last = [m.span() for m in WORD.finditer(texts[t].as_py())], t
-                a = int(first[i] - begin[t])
-                z = a + int(length[i])
-                out.append((ids_of[t], ths[t], int(number[i]), places[a][0], places[z - 1][1], a, z - a, int(ids[i])))
-            if out:
-                yield batch_of(list(zip(*out)), SPANS)
+            s, at = shingle_slices(words, first, length)
+            ids = sequence_ids(s, at)
+            pick = f.has(ids)
+            if not pick.any():
+                continue
+            new = np.zeros(len(ids), bool)
+            new[np.unique(ids, return_index=True)[1]] = True
+            new &= pick
+            new[new] = [i not in done for i in ids[new].tolist()]
+            done.update(ids[new].tolist())
+            n, arr = distinct_in(s, at, new)
+            pick = np.flatnonzero(pick)
+            n, arr, text, number, first, length, ids = pa.array(n, mask=~new).take(pa.array(pick)), arr.take(pa.array(pick)), *(
+                x[pick] for x in (text, number, first, length, ids))
+            start, end = word_spans(b.column(1))
+            begin = (np.cumsum(counts) - counts)[text]
+            yield batch_of([b.column(0).take(pa.array(text)), b.column(2).take(pa.array(text)), number, start[first],
+                            end[first + length - 1], first - begin, length, ids, n, arr], SPANS)
 
     return run
 
@@ -199,8 +201,9 @@ def contexts(words: np.ndarray, at: np.ndarray, sizes: np.ndarray, step: int) ->
     begin = np.cumsum(sizes) - sizes
     out = np.zeros(int(sizes.sum()), np.uint64)
     h = np.zeros(len(at), np.uint64)
+    live = np.arange(len(at))
     for k in range(int(sizes.max(initial=0))):
-        live = np.flatnonzero(sizes > k)
+        live = live[sizes[live] > k]
         h[live] = mix(h[live] * np.uint64(0x9E3779B97F4A7C15) + words[at[live] + step * k])
         out[begin[live] + k] = h[live]
     return out
@@ -233,23 +236,19 @@ def contexts_of(wanted):
             low, high = begin.copy(), stop.copy()
             low[1:][next_to] = np.maximum(begin[1:], first[:-1] - MARGIN)[next_to]
             high[:-1][next_to] = np.minimum(stop[:-1], end[1:] + MARGIN)[next_to]
-            places_of = {}
+            spans = None
             for side, (at, sizes, step) in enumerate(((first - 1, first - low, -1), (end, high - end, 1))):
                 key = side_keys(node, side)
                 pick = np.flatnonzero(f.has(key) & (sizes > 0))
                 if not len(pick):
                     continue
-                chain = contexts(words, at[pick], sizes[pick], step)
-                places = []
-                for i in pick.tolist():
-                    t = int(text[i])
-                    if t not in places_of:
-                        places_of[t] = np.array([m.span() for m in WORD.finditer(b.column(0)[t].as_py())])
-                    a = int(at[i] - begin[i])
-                    places.append(places_of[t][a:a + int(sizes[i]), 1] if side else places_of[t][a - int(sizes[i]) + 1:a + 1, 0][::-1])
-                offsets = np.concatenate(([0], np.cumsum(sizes[pick]))).astype(np.int32)
-                yield batch_of([key[pick], pa.ListArray.from_arrays(offsets, np.concatenate(places).astype(np.int64)),
-                                pa.ListArray.from_arrays(offsets, chain.view(np.int64))], CONTEXTS)
+                at, sizes = at[pick], sizes[pick]
+                spans = spans or word_spans(b.column(0))
+                offsets = np.concatenate(([0], np.cumsum(sizes)))
+                word = np.repeat(at - step * offsets[:-1], sizes) + step * np.arange(offsets[-1])
+                offsets = offsets.astype(np.int32)
+                yield batch_of([key[pick], pa.ListArray.from_arrays(offsets, spans[side][word]),
+                                pa.ListArray.from_arrays(offsets, contexts(words, at, sizes, step).view(np.int64))], CONTEXTS)
 
     return run
 
@@ -320,21 +319,19 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     rows = text_rows(docs)
     buckets = max(LEAST_BUCKETS, docs.count() // TEXTS_PER_BUCKET)
     cells = cut(shared_cells(rows, band_keys(bands, rows_of_band), buckets))
-    wanted = spark.sparkContext.broadcast(key_filter(cells.select(F.col("node").alias("key")).distinct()))
-    found = cut(rows.mapInArrow(wanted_sets(wanted), "node long, id long, n long, arr array<long>"))
+    ids = cut(cells.select(F.col("th").alias("id")).distinct())
+    repeated = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
+                .mapInArrow(spans_of(repeated), SPANS))
     sets = found.filter("arr is not null").select("id", "n", "arr")
-    members = cells.select("cell", "node").join(found.select("node", "id").distinct(), "node").select("cell", "id").distinct()
-    members = cut(members.join(sets.select("id", "n").distinct(), "id"))
-    ids = cut(members.select("id").distinct())
+    members = cut(cells.select("cell", F.col("th").alias("id")).join(sets.select("id", "n").distinct(), "id"))
     links = resolve(members, sets, percent, meeting=whole_sets_meet)
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     comp = cut(comp)
     drop_tables(cells, members)
-    repeated = spark.sparkContext.broadcast(key_filter(ids.select(F.col("id").alias("key"))))
-    text = F.coalesce(F.col("text"), F.lit(""))
     doc = F.coalesce("doc_id", F.lit(-(1 << 63)))
-    spans = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("th"))
-                .mapInArrow(spans_of(repeated), SPANS).withColumn("doc", doc))
+    spans = found.drop("n", "arr").withColumn("doc", doc)
     by_id = spans.groupBy("id").agg(F.min(F.struct("doc", "th", "para")).alias("stays"), F.count("*").alias("n_copies"),
                                     F.min("doc").alias("lo"), F.max("doc").alias("hi"))
     groups = (by_id.join(comp, "id").groupBy("comp").agg(F.min("stays").alias("stays"), F.sum("n_copies").alias("n_copies"),
@@ -344,12 +341,11 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     order = by_text.orderBy("para")
     near = {name: F.min("id").over(order.rangeBetween(k, k)) for name, k in (("to_left", -1), ("to_right", 1))}
     in_run = Window.partitionBy("th", "doc", "__run")
-    whole = spans
-    spans = cut(whole.join(bounded(known), "id").withColumns(near).withColumn("__run", F.col("para") - F.dense_rank().over(order))
+    spans = cut(spans.join(bounded(known), "id").withColumns(near).withColumn("__run", F.col("para") - F.dense_rank().over(order))
                 .withColumns({"run": F.min("para").over(in_run),
                               "words": F.max(F.col("first") + F.col("n_words")).over(in_run) - F.min("first").over(in_run)})
                 .drop("__run", "id", "first"))
-    drop_tables(whole, found, known)
+    drop_tables(found, known)
     reach = cut(extensions(rows, spans))
     out = spans.join(reach, ["th", "run"], "left")
     words = F.col("words") + sum(F.coalesce(F.col(f"{x}.d"), F.lit(0)) for x in ("left", "right"))

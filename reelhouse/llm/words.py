@@ -18,17 +18,20 @@ import pyarrow.compute as pc
 pa.set_memory_pool(pa.system_memory_pool())  # gives freed memory back: a worker outlives its tasks
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
+WHITE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 SHINGLE = 5
+WORDS_AT_ONCE = 1 << 17
 STEPS = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(1, SHINGLE + 1)]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit mixing function (three shift-multiply rounds)."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def word_lists(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarray]:
@@ -44,6 +47,26 @@ def word_lists(texts: pa.Array, lower: bool = True) -> tuple[pa.Array, np.ndarra
     return flat, np.bincount(owner, minlength=len(texts)).astype(np.int64)
 
 
+def word_spans(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where every word of a batch begins and ends in its text, in code points; the words of ``word_lists``."""
+    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    _, offsets, data = texts.buffers()
+    at = np.frombuffer(offsets, np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(data or b"", np.uint8)[at[0]:at[-1]]
+    at = at - at[0]
+    inside = ~WHITE[data]
+    first = np.zeros(len(data) + 1, bool)  # of a text; a word ends there too
+    first[at] = True
+    begin, end = inside.copy(), inside.copy()
+    begin[1:] &= first[1:-1] | ~inside[:-1]
+    end[:-1] &= first[1:-1] | ~inside[1:]
+    begin, end = np.flatnonzero(begin), np.flatnonzero(end) + 1
+    point = np.zeros(len(data) + 1, np.int32 if len(data) < 1 << 31 else np.int64)  # code points before each byte
+    np.cumsum(data & 0xC0 != 0x80, out=point[1:])
+    base = point[at[np.searchsorted(at, begin, "right") - 1]]
+    return (point[begin] - base).astype(np.int64), (point[end] - base).astype(np.int64)
+
+
 def hashes_of(values: pa.Array) -> np.ndarray:
     """64-bit hash of each string (the same in every process)."""
     return pd.util.hash_array(values.to_numpy(zero_copy_only=False).astype(object), categorize=False)
@@ -54,8 +77,11 @@ def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     flat, counts = word_lists(texts)
     if not len(flat):
         return np.zeros(0, np.uint64), counts
-    enc = flat.dictionary_encode()
-    return hashes_of(enc.dictionary)[enc.indices.to_numpy(zero_copy_only=False)], counts
+    out = np.empty(len(flat), np.uint64)
+    for at in range(0, len(flat), WORDS_AT_ONCE):  # a dictionary that stays in the processor's cache
+        enc = flat.slice(at, WORDS_AT_ONCE).dictionary_encode()
+        out[at:at + WORDS_AT_ONCE] = hashes_of(enc.dictionary)[enc.indices.to_numpy(zero_copy_only=False)]
+    return out, counts
 
 
 def shingles(words: np.ndarray) -> np.ndarray:
