@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.llm.components import components
 from reelhouse.llm.jaccard import text_rows
-from reelhouse.llm.setjoin import LEAST_BUCKETS, bounded, key_filter, node_ids, resolve, shared_cells
+from reelhouse.llm.setjoin import LEAST_BUCKETS, WHOLE_SETS, bounded, key_filter, node_ids, resolve, shared_cells
 from reelhouse.llm.util import cut, drop_tables
 from reelhouse.llm.words import SHINGLE, mix, shingles, word_hashes, word_spans
 
@@ -140,11 +140,6 @@ def distinct_in(s: np.ndarray, begin: np.ndarray, new: np.ndarray) -> tuple[np.n
     return n, pa.ListArray.from_arrays(pa.array(offsets), pa.array(s[first].view(np.int64)), mask=pa.array(~new))
 
 
-def whole_sets_meet():
-    """A region's sets meet by all of their shingles: (window of a set, number of its shingles outside)."""
-    return (lambda s: s), np.zeros_like
-
-
 SPANS = "doc_id long, th long, para long, start long, end long, first long, n_words long, id long, n long, arr array<long>"
 
 
@@ -326,7 +321,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
                 .mapInArrow(spans_of(repeated), SPANS))
     sets = found.filter("arr is not null").select("id", "n", "arr")
     members = cut(cells.select("cell", F.col("th").alias("id")).join(sets.select("id", "n").distinct(), "id"))
-    links = resolve(members, sets, percent, meeting=whole_sets_meet)
+    links = resolve(members, sets, percent, meeting=WHOLE_SETS)
     comp = ids.join(components(links), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
     comp = cut(comp)
     drop_tables(cells, members)

@@ -7,7 +7,9 @@ similarity >= t inside the cells, up to connectivity.  Sets connected through
 cells form regions.  A region of up to ``REGION_SETS`` sets (``REGION_SHINGLES``
 shingles where sets meet by windows) is one task's work, each set sent once; a
 larger one is split by its cells and resolved in
-distributed rounds (``rounds``).  Both work alike: the smallest sets are pivots,
+distributed rounds (``rounds``).  Sets that meet by all of their shingles
+(``WHOLE_SETS``) have an index of their rarest ones in a task, and a larger region
+is first cut into those of these shingles' cells.  The others work alike: the smallest sets are pivots,
 in turn, and meet the sets that follow them in size order.  Sets whose distances
 to the first pivot differ by more than 1 - t are no pair (triangle inequality of
 the Jaccard distance), nor are sizes too far apart; what is connected already is
@@ -33,6 +35,9 @@ MANY = np.uint32(1 << 31)
 FILTER_BITS = 1 << 26
 REGION_SETS = 256
 REGION_SHINGLES = 1 << 25  # of a region whose sets meet by their windows: 256 MB in its task
+TASK_SHINGLES = 1 << 20  # regions that meet by whole sets are resolved together, this many shingles at once
+QUERIES = 1 << 20  # shingles looked up at once
+WHOLE_SETS = "whole sets"  # as ``meeting``: sets meet by all of their shingles
 BROADCAST_ROWS = 1_000_000  # rows of a few numbers each
 
 
@@ -276,6 +281,150 @@ def links_by_windows(ids: list[int], sets: list[np.ndarray], percent: int, windo
     return out
 
 
+def distinct_sets(region: np.ndarray, ids: np.ndarray, size: np.ndarray, flat: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The same without a row's repeats after it: a set may come from several tasks."""
+    keep = np.ones(len(ids), bool)
+    keep[1:] = (region[1:] != region[:-1]) | (ids[1:] != ids[:-1])
+    return (region, ids, size, flat) if keep.all() else (region[keep], ids[keep], size[keep], flat[np.repeat(keep, size)])
+
+
+def unite(group: np.ndarray, members: dict[int, list[int]], x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Joins the groups of linked sets, the smaller to the larger; the numbers of the links that did."""
+    used = []
+    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+        a, b = int(group[i]), int(group[j])
+        if a == b:
+            continue
+        of_a, of_b = members.pop(a, None) or [a], members.pop(b, None) or [b]
+        if len(of_a) < len(of_b):
+            a, of_a, of_b = b, of_b, of_a
+        group[of_b] = a
+        of_a += of_b
+        members[a] = of_a
+        used.append(k)
+    return used
+
+
+def links_by_prefixes(region: np.ndarray, size: np.ndarray, flat: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (positions of both sets) that connect the sets inside each region; whole sets in a row, by region and size.
+
+    Two sets of similarity t share one of the |x| - ceil(t |x|) + 1 shingles of each
+    that are the rarest in their region.  The sets with such a shingle are its list,
+    in size order; in step d every member meets the d-th after it, so that memory
+    stays in proportion to the input.  A member is done where sizes are too far apart
+    or everything after it in the list is connected to it.
+    """
+    n = len(size)
+    own = np.repeat(np.arange(n, dtype=np.int32), size)
+    flat = flat ^ mix(region.view(np.uint64))[own]  # shingles of two regions differ
+    order = np.argsort(flat)
+    flat = flat[order]
+    new = np.append(True, flat[1:] != flat[:-1])
+    del flat
+    count = np.diff(np.append(np.flatnonzero(new), len(new)))
+    lone, kinds = int((count == 1).sum()), len(count)
+    rank = np.empty(kinds, np.int32)
+    rank[np.argsort(count, kind="stable")] = np.arange(kinds, dtype=np.int32)
+    key = np.empty(len(own), np.int64)  # set and rank of every shingle, sorted
+    key[order] = rank[np.cumsum(new) - 1]
+    del order, new, count, rank
+    key += own.astype(np.int64) * kinds
+    key.sort()
+    begin = np.cumsum(size) - size
+    place = np.arange(len(key)) - begin[own]
+    head = np.flatnonzero(place < (size - -(-percent * size // 100) + 1)[own])
+    kind = key[head] - own[head].astype(np.int64) * kinds
+    head, kind = head[kind >= lone], kind[kind >= lone]
+    head = head[np.argsort(kind, kind="stable")]
+    kind.sort()
+    owner, after = own[head], size[own[head]] - place[head]  # from a list's shingle on
+    del own, place, head
+
+    def least_of(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Shingles that a pair that links has in common, at least."""
+        return -(-percent * (size[x] + size[y]) // (100 + percent))
+
+    def shared(x: np.ndarray, y: np.ndarray, some: np.ndarray) -> np.ndarray:
+        """How many of the first ``some`` (the rarest) shingles of x are in y, for each pair."""
+        ends = np.cumsum(some)
+        ask = np.arange(ends[-1]) + np.repeat(begin[x] - ends + some, some)
+        ask = key[ask] + np.repeat((y - x) * np.int64(kinds), some)
+        found = key[np.minimum(np.searchsorted(key, ask), len(key) - 1)] == ask
+        return np.add.reduceat(found.astype(np.int64), ends - some)
+
+    def linked(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that link: a few shingles tell most others from them, whole sets the rest."""
+        lost = size[x] - least_of(x, y)  # shingles of x that may be missing from y
+        some = np.minimum(size[x], lost + 3)
+        close = shared(x, y, some) >= some - lost
+        x, y = x[close], y[close]
+        if not len(x):
+            return x, y
+        both = shared(x, y, size[x])
+        link = 100 * both >= percent * (size[x] + size[y] - both)
+        return x[link], y[link]
+
+    group, members, out = np.arange(n), {}, []
+    at, d = np.arange(len(kind)), 1
+    while len(at):
+        at = at[:np.searchsorted(at, len(kind) - d)]
+        x, y = owner[at].astype(np.int64), owner[at + d].astype(np.int64)
+        on = (kind[at + d] == kind[at]) & (100 * size[x] >= percent * size[y])
+        at, x, y = at[on], x[on], y[on]
+        # a list of their first common shingle, if they link
+        meet = (group[x] != group[y]) & (np.minimum(after[at], after[at + d]) >= least_of(x, y))
+        pairs = np.unique(x[meet] * n + y[meet])
+        x, y = pairs // n, pairs % n
+        cuts = np.flatnonzero(np.diff(np.cumsum(size[x]) // QUERIES, prepend=-1, append=-1))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            a, b = linked(x[i:j], y[i:j])
+            used = unite(group, members, a, b)
+            out.append((a[used], b[used]))
+        if d & d - 1 == 0:  # members that everything after them in their list is connected to
+            of = group[owner]
+            turn = np.append((of[1:] != of[:-1]) & (kind[1:] == kind[:-1]), False)
+            turns = np.append(0, np.cumsum(turn))
+            last = np.searchsorted(kind, kind[at], "right") - 1
+            at = at[turns[last] > turns[at]]
+        d += 1
+    return tuple(np.concatenate([o[i] for o in out] or [np.zeros(0, np.int64)]) for i in (0, 1))
+
+
+def resolve_whole_sets(percent: int):
+    """Links of the regions of a partition, sorted by region, size and id, whose sets meet by all of their shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+
+        def close(rows: int | None) -> pa.RecordBatch:
+            """Resolves what is held up to a row (None: all), and holds the rest."""
+            nonlocal held, n
+            region, ids, size, flat = (np.concatenate(x) for x in zip(*held))
+            end = int(size[:rows].sum())
+            rest = region[rows:], ids[rows:], size[rows:], flat[end:].copy()
+            held, n = ([], 0) if rows is None else ([rest], len(rest[3]))
+            region, ids, size, flat = distinct_sets(region[:rows], ids[:rows], size[:rows], flat[:end])
+            a, b = links_by_prefixes(region, size, flat, percent)
+            return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            size = b.column(2).value_lengths().to_numpy().astype(np.int64)
+            held.append(distinct_sets(b.column(0).to_numpy(), b.column(1).to_numpy(), size, b.column(2).flatten().to_numpy().view(np.uint64)))
+            n += len(held[-1][3])
+            if n >= TASK_SHINGLES and held[0][0][0] != held[-1][0][-1]:
+                last = held[-1][0]
+                first = np.searchsorted(last, last[-1])
+                if first or held[-2][0][-1] != last[-1]:
+                    yield close(sum(len(h[0]) for h in held[:-1]) + int(first))
+        if held:
+            yield close(None)
+        trim()
+
+    return run
+
+
 def resolve_regions(percent: int, meeting=None):
     """Links of the regions of a partition, sorted by region, size and id; ``meeting``: a broadcast (window_of, left_out)."""
 
@@ -307,7 +456,7 @@ def resolve_regions(percent: int, meeting=None):
 
 
 def split_regions(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Ids of the small regions with their region (comp, id), and ids of the large ones."""
+    """Ids of the small and of the large regions with their region (comp, id)."""
     hubs = cells.groupBy("cell").agg(F.min("id").alias("hub"))
     star = cells.join(hubs, "cell").filter("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b"))
     region = cut(components(star))
@@ -318,13 +467,25 @@ def split_regions(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
         sizes, fits = region.groupBy("comp").agg(F.count("*").alias("m")), F.col("m") <= REGION_SETS
     sizes = cut(sizes.withColumn("small", fits).select("comp", "small"))
     return (region.join(sizes.filter("small"), "comp").select("comp", "id"),
-            region.join(sizes.filter("not small"), "comp").select("id"))
+            region.join(sizes.filter("not small"), "comp").select("comp", "id"))
 
 
 def links_in_tasks(small: DataFrame, sets: DataFrame, percent: int, meeting) -> DataFrame:
     """Links of the small regions, one task's work each."""
     dealt = sets.join(bounded(small), "id").repartition("comp").sortWithinPartitions("comp", "n", "id").select("comp", "id", "arr")
-    return cut(dealt.mapInArrow(resolve_regions(percent, meeting), "a long, b long"))
+    task = resolve_whole_sets(percent) if meeting == WHOLE_SETS else resolve_regions(percent, meeting)
+    return cut(dealt.mapInArrow(task, "a long, b long"))
+
+
+def prefix_cells(sets: DataFrame, percent: int) -> DataFrame:
+    """(cell, id, n) of sets (comp, id, n, arr) that share one of the shingles that are the rarest in their region, as in
+    ``links_by_prefixes``: sets that can link meet there, and few others."""
+    held = sets.select("id", "n", F.explode("arr").alias("s"), "comp").select("id", "n", F.xxhash64("comp", "s").alias("cell"))
+    common = held.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1")
+    own = Window.partitionBy("id")  # a set's own shingles
+    held = held.join(common, "cell").withColumns({"r": F.row_number().over(own.orderBy("m", "cell")), "common": F.count("*").over(own)})
+    # a set's other shingles, n - common, are the rarest
+    return held.filter(F.col("n") - F.col("common") + F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).select("cell", "id", "n")
 
 
 def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80, outside: Callable[[Column], Column] | None = None,
@@ -336,16 +497,22 @@ def resolve(cells: DataFrame, sets: DataFrame, percent: int = 80, outside: Calla
     global order, the number of its elements outside the window, by its size;
     common cells then bound a pair's overlap before whole sets are compared.
     ``meeting`` gives tasks the same rule, as functions of a set's array and of
-    sizes; then ``cells`` must hold n.
+    sizes, or is WHOLE_SETS; then ``cells`` must hold n.
     """
     small, large = split_regions(cells)
     links = links_in_tasks(small, sets, percent, meeting)
     large = cut(large)
     if large.isEmpty():
         return links
-    some = bounded(large)
-    own = cut(sets.join(some, "id").groupBy("id").agg(F.first("n").alias("n"), F.first("arr").alias("arr")))
-    left = cells.join(some, "id").select("cell", "id").join(bounded(own.select("id", "n")), "id")
+    own = cut(sets.join(bounded(large.select("id")), "id").groupBy("id").agg(F.first("n").alias("n"), F.first("arr").alias("arr")))
+    if meeting == WHOLE_SETS:
+        cells = cut(prefix_cells(own.join(large, "id"), percent))
+        small, large = split_regions(cells)
+        links = links.union(links_in_tasks(small, own, percent, meeting))
+        large = cut(large)
+        if large.isEmpty():
+            return links
+    left = cells.join(bounded(large.select("id")), "id").select("cell", "id").join(bounded(own.select("id", "n")), "id")
     return links.union(rounds(left, own, percent, outside, meeting))
 
 
@@ -403,7 +570,7 @@ def rounds(cells: DataFrame, sets: DataFrame, percent: int, outside: Callable[[C
         if meeting is not None:
             small, large = split_regions(cells)
             links = cut(links.union(links_in_tasks(small, sets, percent, meeting)))
-            cells = cut(cells.join(bounded(cut(large)), "id"))
+            cells = cut(cells.join(bounded(cut(large.select("id"))), "id"))
         if cells.isEmpty():
             break
         first, k = False, 2 if first else 2 * k
