@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.llm.components import components
 from reelhouse.llm.jaccard import text_rows
-from reelhouse.llm.setjoin import LEAST_BUCKETS, WHOLE_SETS, bounded, key_filter, node_ids, resolve, shared_cells
+from reelhouse.llm.setjoin import LEAST_BUCKETS, WHOLE_SETS, key_filter, node_ids, resolve, shared_cells
 from reelhouse.llm.util import cut, drop_tables
 from reelhouse.llm.words import SHINGLE, mix, shingles, word_hashes, word_spans
 
@@ -336,7 +336,7 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT, recall: float =
     order = by_text.orderBy("para")
     near = {name: F.min("id").over(order.rangeBetween(k, k)) for name, k in (("to_left", -1), ("to_right", 1))}
     in_run = Window.partitionBy("th", "doc", "__run")
-    spans = cut(spans.join(bounded(known), "id").withColumns(near).withColumn("__run", F.col("para") - F.dense_rank().over(order))
+    spans = cut(spans.join(known, "id").withColumns(near).withColumn("__run", F.col("para") - F.dense_rank().over(order))
                 .withColumns({"run": F.min("para").over(in_run),
                               "words": F.max(F.col("first") + F.col("n_words")).over(in_run) - F.min("first").over(in_run)})
                 .drop("__run", "id", "first"))

@@ -177,7 +177,7 @@ def key_filter(keys: DataFrame) -> KeyFilter:
 
     sent = keys.select("key").mapInArrow(pieces, "piece int, bits binary")
     bits = np.zeros((size // 8 // piece, piece), np.uint8)
-    for r in sent.groupBy("piece").applyInPandas(merge, "piece int, bits binary").toLocalIterator():
+    for r in sent.groupBy("piece").applyInPandas(merge, "piece int, bits binary").collect():  # one job; at most FILTER_BITS bits
         bits[r["piece"]] = np.frombuffer(r["bits"], np.uint8)
     return KeyFilter(bits.ravel())
 
@@ -288,10 +288,9 @@ def distinct_sets(region: np.ndarray, ids: np.ndarray, size: np.ndarray, flat: n
     return (region, ids, size, flat) if keep.all() else (region[keep], ids[keep], size[keep], flat[np.repeat(keep, size)])
 
 
-def unite(group: np.ndarray, members: dict[int, list[int]], x: np.ndarray, y: np.ndarray) -> list[int]:
-    """Joins the groups of linked sets, the smaller to the larger; the numbers of the links that did."""
-    used = []
-    for k, (i, j) in enumerate(zip(x.tolist(), y.tolist())):
+def unite(group: np.ndarray, members: dict[int, list[int]], x: np.ndarray, y: np.ndarray) -> None:
+    """Joins the groups of linked sets, the smaller to the larger."""
+    for i, j in zip(x.tolist(), y.tolist()):
         a, b = int(group[i]), int(group[j])
         if a == b:
             continue
@@ -301,12 +300,10 @@ def unite(group: np.ndarray, members: dict[int, list[int]], x: np.ndarray, y: np
         group[of_b] = a
         of_a += of_b
         members[a] = of_a
-        used.append(k)
-    return used
 
 
-def links_by_prefixes(region: np.ndarray, size: np.ndarray, flat: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (positions of both sets) that connect the sets inside each region; whole sets in a row, by region and size.
+def groups_by_prefixes(region: np.ndarray, size: np.ndarray, flat: np.ndarray, percent: int) -> np.ndarray:
+    """Number of the group of linked sets of each set, inside its region; whole sets in a row, by region and size.
 
     Two sets of similarity t share one of the |x| - ceil(t |x|) + 1 shingles of each
     that are the rarest in their region.  The sets with such a shingle are its list,
@@ -364,7 +361,7 @@ def links_by_prefixes(region: np.ndarray, size: np.ndarray, flat: np.ndarray, pe
         link = 100 * both >= percent * (size[x] + size[y] - both)
         return x[link], y[link]
 
-    group, members, out = np.arange(n), {}, []
+    group, members = np.arange(n), {}
     at, d = np.arange(len(kind)), 1
     while len(at):
         at = at[:np.searchsorted(at, len(kind) - d)]
@@ -377,9 +374,7 @@ def links_by_prefixes(region: np.ndarray, size: np.ndarray, flat: np.ndarray, pe
         x, y = pairs // n, pairs % n
         cuts = np.flatnonzero(np.diff(np.cumsum(size[x]) // QUERIES, prepend=-1, append=-1))
         for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            a, b = linked(x[i:j], y[i:j])
-            used = unite(group, members, a, b)
-            out.append((a[used], b[used]))
+            unite(group, members, *linked(x[i:j], y[i:j]))
         if d & d - 1 == 0:  # members that everything after them in their list is connected to
             of = group[owner]
             turn = np.append((of[1:] != of[:-1]) & (kind[1:] == kind[:-1]), False)
@@ -387,11 +382,14 @@ def links_by_prefixes(region: np.ndarray, size: np.ndarray, flat: np.ndarray, pe
             last = np.searchsorted(kind, kind[at], "right") - 1
             at = at[turns[last] > turns[at]]
         d += 1
-    return tuple(np.concatenate([o[i] for o in out] or [np.zeros(0, np.int64)]) for i in (0, 1))
+    return group
 
 
 def resolve_whole_sets(percent: int):
-    """Links of the regions of a partition, sorted by region, size and id, whose sets meet by all of their shingles."""
+    """Links of the regions of a partition, sorted by region, size and id, whose sets meet by all of their shingles.
+
+    A group of linked sets comes as a star: every set with the smallest id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -404,8 +402,11 @@ def resolve_whole_sets(percent: int):
             rest = region[rows:], ids[rows:], size[rows:], flat[end:].copy()
             held, n = ([], 0) if rows is None else ([rest], len(rest[3]))
             region, ids, size, flat = distinct_sets(region[:rows], ids[:rows], size[:rows], flat[:end])
-            a, b = links_by_prefixes(region, size, flat, percent)
-            return pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.array(ids[b])], names=["a", "b"])
+            group = groups_by_prefixes(region, size, flat, percent)
+            least = ids.copy()
+            np.minimum.at(least, group, ids)
+            least = least[group]
+            return pa.RecordBatch.from_arrays([pa.array(least[least != ids]), pa.array(ids[least != ids])], names=["a", "b"])
 
         for b in batches:
             if not b.num_rows:
@@ -479,7 +480,7 @@ def links_in_tasks(small: DataFrame, sets: DataFrame, percent: int, meeting) ->
 
 def prefix_cells(sets: DataFrame, percent: int) -> DataFrame:
     """(cell, id, n) of sets (comp, id, n, arr) that share one of the shingles that are the rarest in their region, as in
-    ``links_by_prefixes``: sets that can link meet there, and few others."""
+    ``groups_by_prefixes``: sets that can link meet there, and few others."""
     held = sets.select("id", "n", F.explode("arr").alias("s"), "comp").select("id", "n", F.xxhash64("comp", "s").alias("cell"))
     common = held.groupBy("cell").agg(F.count("*").alias("m")).filter("m > 1")
     own = Window.partitionBy("id")  # a set's own shingles
